@@ -1,0 +1,157 @@
+"""Ordered per-key work that survives a very frequent key.
+
+A running maximum per key needs the rows of a key in order.  If one key holds a large share of all
+rows, a plain window would put that share into one task.  Here such keys -- found with one
+``approx_top_k`` sketch over the key column -- are cut into *slices* of consecutive rows.  Each slice
+is its own window group, and the maximum of the earlier slices, a few hundred numbers, is added
+afterwards.  The result is exact; only the placement of rows depends on the sketch and the edges.
+
+Sizes: a key is cut into ``rows / (share * total)`` slices, so all cut keys together have at most
+``2 / share`` slices.  That bounds everything collected or broadcast here, whatever the data size.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SLICE = "_slice"
+_HASH = "_key_hash"
+_EDGES = "_edge_groups"
+_HEADS = "_edge_heads"
+_COUNT = "_edge_count"
+
+# A key below this many rows is never cut: one task sorts that many rows in seconds.
+MIN_ROWS = 1_000_000
+# A key above this share of all rows is cut, into pieces of about this share.
+SHARE = 0.001
+# Rows that take no part in the ordering are spread over this many groups.
+STRAY_GROUPS = 1024
+
+
+@dataclass(frozen=True)
+class SlicePlan:
+    """Where frequent keys are cut.  ``edges`` is a pinned small frame, or None if no key is frequent."""
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    edges: DataFrame | None = None
+
+    def tag(self, df: DataFrame, stray: Column | None = None) -> DataFrame:
+        """Add the slice number.  ``stray`` rows are spread over negative slices instead."""
+        if self.edges is None:
+            number = F.lit(0)
+            tagged = df
+        else:
+            here = F.struct(*self.order)
+            head = F.size(F.filter(F.col(_HEADS), lambda e: e <= here))
+            inside = F.size(F.filter(F.element_at(F.col(_EDGES), head), lambda e: e <= here))
+            width = F.size(F.element_at(F.col(_EDGES), 1))
+            number = F.when(F.col(_COUNT).isNull() | (head == 0), F.lit(0)).otherwise((head - 1) * width + inside)
+            tagged = df.withColumn(_HASH, F.xxhash64(*self.keys)).join(F.broadcast(self.edges), _HASH, "left")
+        if stray is not None:
+            spread = -1 - F.pmod(F.xxhash64(*self.order), F.lit(STRAY_GROUPS))
+            number = F.when(stray, spread.cast("int")).otherwise(number)
+        return tagged.withColumn(SLICE, number.cast("int")).drop(_HASH, _HEADS, _EDGES, _COUNT)
+
+    def spread(self, per_key: DataFrame) -> DataFrame:
+        """Repeat a one-row-per-key frame for every slice of its key, for a join on keys + slice."""
+        if self.edges is None:
+            return per_key.withColumn(SLICE, F.lit(0))
+        counts = self.edges.select(_HASH, _COUNT)
+        return (
+            per_key.withColumn(_HASH, F.xxhash64(*self.keys))
+            .join(F.broadcast(counts), _HASH, "left")
+            .withColumn(SLICE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_COUNT), F.lit(0)))))
+            .drop(_HASH, _COUNT)
+        )
+
+
+def plan_slices(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    where: Column | None = None,
+    share: float = SHARE,
+    min_rows: int = MIN_ROWS,
+) -> SlicePlan:
+    """Find frequent keys and choose the slice edges.  Runs one small aggregate over the key columns."""
+    rows = df if where is None else df.filter(where)
+    top = math.ceil(1 / share)
+    names = ", ".join(f"`{k}`" for k in keys)
+    found = rows.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.expr(f"approx_top_k(xxhash64({names}), {top}, {min(1_000_000, 16 * top)})").alias("top"),
+    ).first()
+    floor = max(min_rows, share * found["total"])
+    hot = [(r["item"], r["count"]) for r in (found["top"] or []) if r["count"] > floor]
+    if not hot:
+        return SlicePlan(tuple(keys), tuple(order))
+    pieces = [(h, max(2, math.ceil(n / floor))) for h, n in hot]
+    return SlicePlan(tuple(keys), tuple(order), _choose_edges(rows, keys, order, pieces))
+
+
+def _choose_edges(rows: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: list[tuple[int, int]]) -> DataFrame:
+    """One pseudo-random row per (key, piece) serves as an edge: at most sum(pieces) rows come back."""
+    spark = rows.sparkSession
+    hot = spark.createDataFrame(pieces, f"{_HASH} long, pieces int")
+    here = F.struct(*order)
+    edges = (
+        rows.select(F.xxhash64(*keys).alias(_HASH), here.alias("here"))
+        .join(F.broadcast(hot), _HASH)
+        .withColumn("piece", F.pmod(F.xxhash64("here"), F.col("pieces")))
+        .groupBy(_HASH, "piece")
+        .agg(F.min_by("here", F.xxhash64(F.lit(1), "here")).alias("edge"))
+        .groupBy(_HASH)
+        .agg(F.sort_array(F.collect_set("edge")).alias("edges"))
+    )
+    edge_type = edges.schema["edges"].dataType
+    pinned = []
+    for row in edges.collect():
+        width = max(1, math.isqrt(len(row["edges"])))
+        groups = [row["edges"][i : i + width] for i in range(0, len(row["edges"]), width)]
+        pinned.append((row[_HASH], [g[0] for g in groups], groups, len(row["edges"])))
+    schema = T.StructType(
+        [
+            T.StructField(_HASH, T.LongType()),
+            T.StructField(_HEADS, edge_type),
+            T.StructField(_EDGES, T.ArrayType(edge_type)),
+            T.StructField(_COUNT, T.IntegerType()),
+        ]
+    )
+    return spark.createDataFrame(pinned, schema)
+
+
+def running_max(tagged: DataFrame, plan: SlicePlan, value: Column, out: str) -> DataFrame:
+    """``out`` = max of ``value`` over the earlier rows of the same key, null for the first.
+
+    ``tagged`` must come from ``plan.tag``.  Null values never raise the maximum.
+    """
+    keys = list(plan.keys)
+    earlier = (
+        Window.partitionBy(*keys, SLICE).orderBy(*plan.order).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    marked = tagged.withColumn(out, F.max(value).over(earlier))
+    if plan.edges is None:
+        return marked
+    hot = plan.edges.select(_HASH)
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        tagged.filter(F.col(SLICE) >= 0)
+        .withColumn(_HASH, F.xxhash64(*keys))
+        .join(F.broadcast(hot), _HASH, "left_semi")
+        .groupBy(*keys, SLICE)
+        .agg(F.max(value).alias("_slice_max"))
+        .select(*keys, SLICE, F.max("_slice_max").over(before).alias("_carry"))
+    )
+    # carry has one row per slice of a frequent key, at most 2 / share rows
+    return (
+        marked.join(F.broadcast(carry), [*keys, SLICE], "left")
+        .withColumn(out, F.greatest(F.col(out), F.col("_carry")))
+        .drop("_carry")
+    )
