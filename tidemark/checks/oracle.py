@@ -174,7 +174,7 @@ SELECT {STORE} FROM store s WHERE NOT EXISTS
 ORACLE = {
     "jsonl_scan": sql(
         """SELECT ok AS parsed, trade_id, version, maturity_text AS maturity_date,
-  json_extract_string(j, '$.created_date') AS created_date, payload FROM fields""",
+  json_extract_string(j, '$.created_date') AS created_date, cast(json_extract(j, '$.payload.k') AS int) AS k FROM fields""",
         "fields",
     ),
     "csv_scan": sql(f"SELECT {TRADE} FROM incoming", "incoming"),

@@ -72,8 +72,12 @@ def jsonl_scan(spark, sf):
     views.raw_lines(spark, sf).select("line").write.text(path)
     rows = files.read_jsonl(spark, path)
     parsed = F.col(files.CORRUPT).isNull()
-    names = ["trade_id", "version", "maturity_date", "created_date", "payload"]
-    return rows.select(parsed.alias("parsed"), *[F.when(parsed, F.col(c)).alias(c) for c in names])
+    names = ["trade_id", "version", "maturity_date", "created_date"]
+    return rows.select(
+        parsed.alias("parsed"),
+        *[F.when(parsed, F.col(c)).alias(c) for c in names],
+        payload_field(F.when(parsed, F.col("payload")), "$.k", "int").alias("k"),
+    )
 
 
 @query
@@ -553,7 +557,10 @@ def small_file_flow(spark, sf):
         lines, f"{root}/out", f"{root}/checkpoint", sinks.SMALL_CHUNK, until_empty=True
     ).awaitTermination()
     sent = spark.read.json(f"{root}/out/messages").select(
-        F.lit("message").alias("place"), "key", F.lit("").alias("reasons"), F.col("correlation_id").isNotNull().alias("traced")
+        F.lit("message").alias("place"),
+        "key",
+        F.lit("").alias("reasons"),
+        F.get_json_object("value", "$.correlation_id").isNotNull().alias("traced"),
     )
     refused = spark.read.json(f"{root}/out/dlq").select(
         F.lit("dlq").alias("place"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,50 +46,49 @@ def ingest_batch(
     columns = [*TRADE_COLUMNS, *order, "reject_code", *([raw] if raw else [])]
     if "reject_code" not in records.columns:
         records = constraint_check(records)
-    # the batch is read by the sketch, the level lookup and the judgement
+    # read by the sketch, the level lookup and the judgement
     records = records.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    judged = None
     try:
-        sound = records.filter(F.col("reject_code").isNull())
-        levels = table.levels(touched=sound, before=batch.seq)
-        plan = plan_slices(records, ["trade_id"], order, where=F.col("reject_code").isNull())
+        sound = F.col("reject_code").isNull()
+        levels = table.levels(touched=records.filter(sound), before=batch.seq)
+        plan = plan_slices(records, ["trade_id"], order, where=sound)
         judged = two_tier(records, levels, order, F.lit(batch.as_of), plan=plan)
-        # four outputs are written from one evaluation
-        judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
-        _write_outcome(table, batch, judged, levels, order, raw)
+        # the other outputs are read back from this table: one evaluation, and lost executors cost no rework
+        judged.write.mode("overwrite").parquet(table.path("outcomes", batch=batch.seq))
     finally:
-        if judged is not None:
-            judged.unpersist()
         records.unpersist()
+    _write_outputs(table, batch, order, raw)
     table.commit(batch)
     return batch
 
 
-def _write_outcome(
-    table: TradeTable, batch: Batch, judged: DataFrame, levels: DataFrame, order: Sequence[str], raw: str | None
-) -> None:
+def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: str | None) -> None:
     at = F.lit(batch.at)
+    judged = table.spark.read.parquet(table.path("outcomes", batch=batch.seq))
     accepted = judged.filter(F.col("reason").isNull())
     rejected = judged.filter(F.col("reason").isNotNull())
 
     rows = as_store_rows(latest_per_key(accepted, KEY, order, [*KEY, *ATTRIBUTES]), at)
-    rows.write.mode("overwrite").parquet(table.path("accepted", batch.epoch, batch.seq))
-
     valid = judged.filter(F.col("reject_code").isNull())
     marks = valid.groupBy("trade_id").agg(
         # a judged row's seen_version already covers the earlier batches
         F.max(F.greatest("version", "seen_version")).alias("seen_version"),
         F.max(F.when(F.col("reason").isNull(), F.col("version"))).alias("active_version"),
     )
-    marks.write.mode("overwrite").parquet(table.path("marks", batch.epoch, batch.seq))
-
     letters = rejected.select(reject_envelope(at, raw).alias("value"))
-    letters.write.mode("overwrite").text(table.path("dlq", batch=batch.seq))
-
     counts = outcome_metrics(judged).withColumns(
         {"source": F.lit(batch.source), "at": at, "as_of": F.lit(batch.as_of)}
     )
-    counts.coalesce(1).write.mode("overwrite").parquet(table.path("metrics", batch=batch.seq))
+    # independent small jobs, so they are submitted together
+    writes = [
+        lambda: rows.write.mode("overwrite").parquet(table.path("accepted", batch.epoch, batch.seq)),
+        lambda: marks.write.mode("overwrite").parquet(table.path("marks", batch.epoch, batch.seq)),
+        lambda: letters.write.mode("overwrite").text(table.path("dlq", batch=batch.seq)),
+        lambda: counts.write.mode("overwrite").parquet(table.path("metrics", batch=batch.seq)),
+    ]
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(table.spark)(w)) for w in writes]:
+            done.result()
 
 
 def rebuild_store(

@@ -9,6 +9,7 @@ Layout under the table's root (``E`` is an epoch, ``S`` a batch sequence number)
 ``levels/epoch=E/bucket=B/``     (trade_id, seen_version, active_version) as of the epoch's start
 ``accepted/epoch=E/batch=S/``    store rows added by a batch, one per primary key
 ``marks/epoch=E/batch=S/``       new levels of the trades a batch touched
+``outcomes/batch=S/``            every record of a batch with its reason
 ``dlq/batch=S/``                 dead letters, JSON text
 ``metrics/batch=S/``             outcome counts
 ``loads/``                       correlation ids of finished bulk loads
@@ -32,14 +33,15 @@ from pyspark.sql import types as T
 from tidemark.functions.keys import PARTITIONS, bucket_of
 from tidemark.operators.store import (
     apply_rows,
-    expire_matured,
     delete_trades,
+    expire_matured,
     hash_layout,
     latest_active_version,
     latest_per_key,
     lookup,
 )
 from tidemark.schemas import KEY, LEVELS, STORE, STORE_COLUMNS
+from tidemark.session import no_rows, one_row
 
 _EPOCHS = "epoch long, folded_through long"
 _LOADS = "correlation_id string, seq long"
@@ -87,9 +89,9 @@ class TradeTable:
     ) -> TradeTable:
         """Start a table, empty or from a frame of store rows unique by primary key."""
         table = cls(spark, root, buckets, fold_every)
-        rows = spark.createDataFrame([], STORE) if store is None else store.select(*STORE_COLUMNS)
-        spark.createDataFrame([], _LOADS).write.mode("overwrite").parquet(table.path("loads"))
-        table._write_epoch(0, -1, rows, spark.createDataFrame([], LEVELS))
+        rows = no_rows(spark, STORE) if store is None else store.select(*STORE_COLUMNS)
+        no_rows(spark, _LOADS).write.mode("overwrite").parquet(table.path("loads"))
+        table._write_epoch(0, -1, rows, no_rows(spark, LEVELS))
         return table
 
     def _write_epoch(self, epoch: int, folded_through: int, store: DataFrame, levels: DataFrame) -> None:
@@ -104,17 +106,18 @@ class TradeTable:
         merged.select(*LEVELS.names).withColumn("bucket", bucket_of(F.col("trade_id"), self.buckets)).hint(
             "rebalance", "bucket"
         ).write.mode("overwrite").partitionBy("bucket").parquet(self.path("levels", epoch))
-        spark.createDataFrame([], STORE).write.mode("overwrite").parquet(
+        no_rows(spark, STORE).write.mode("overwrite").parquet(
             self.path("accepted", epoch, folded_through)
         )
-        spark.createDataFrame([], LEVELS).write.mode("overwrite").parquet(self.path("marks", epoch, folded_through))
+        no_rows(spark, LEVELS).write.mode("overwrite").parquet(self.path("marks", epoch, folded_through))
         carried = self._last_commits(epoch - 1) if epoch > 0 else []
-        spark.createDataFrame(carried, _JOURNAL).coalesce(1).write.mode("overwrite").parquet(
+        journal = no_rows(spark, _JOURNAL)
+        for row in carried:
+            journal = journal.unionByName(one_row(spark, _JOURNAL, row))
+        journal.coalesce(1).write.mode("overwrite").parquet(
             self.path("journal", epoch)
         )
-        spark.createDataFrame([(epoch, folded_through)], _EPOCHS).coalesce(1).write.mode("append").parquet(
-            self.path("epochs")
-        )
+        one_row(spark, _EPOCHS, (epoch, folded_through)).write.mode("append").parquet(self.path("epochs"))
 
     def _read_base(self, kind: str, epoch: int, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(_plus(schema, "bucket int")).parquet(self.path(kind, epoch))
@@ -140,9 +143,7 @@ class TradeTable:
 
     def _note(self, batch: Batch, phase: str) -> None:
         row = (batch.source, batch.source_batch, batch.seq, phase, batch.as_of, batch.at)
-        self.spark.createDataFrame([row], _JOURNAL).coalesce(1).write.mode("append").parquet(
-            self.path("journal", batch.epoch)
-        )
+        one_row(self.spark, _JOURNAL, row).write.mode("append").parquet(self.path("journal", batch.epoch))
 
     def begin(self, source: str, source_batch: int, as_of: datetime.date | None = None) -> Batch:
         """Start a batch, or resume it with the date and time pinned at its first attempt."""
@@ -179,8 +180,8 @@ class TradeTable:
         return None if row is None else row["seq"]
 
     def note_load(self, correlation_id: str, seq: int) -> None:
-        row = self.spark.createDataFrame([(correlation_id, seq)], _LOADS)
-        row.coalesce(1).write.mode("append").parquet(self.path("loads"))
+        row = one_row(self.spark, _LOADS, (correlation_id, seq))
+        row.write.mode("append").parquet(self.path("loads"))
 
     # ---- reads --------------------------------------------------------------------------------------
 
@@ -250,6 +251,9 @@ class TradeTable:
     def delete(self, trade_ids: DataFrame) -> int:
         return self.rewrite(lambda store: delete_trades(store, trade_ids))
 
+    def outcomes(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("outcomes"))
+
     def dead_letters(self) -> DataFrame:
         return self.spark.read.text(self.path("dlq"))
 

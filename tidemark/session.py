@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, app: str = "tidemark") -> SparkSession:
@@ -36,3 +38,16 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
+
+
+def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
+    """A single literal row in one partition; needs no Python worker."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values, strict=True)]
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """An empty frame of a schema."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])

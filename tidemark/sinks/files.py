@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.parts import array_chunks, assign_parts, order_free_checksum, part_sizes
 from tidemark.schemas import AUDIT
+from tidemark.session import one_row
 
 # Rows per chunk file of the small-file and the bulk flow.
 SMALL_CHUNK = 5_000
@@ -84,12 +85,13 @@ def append_audit(
     now: Column | None = None,
 ) -> bool:
     """Append one audit row.  A failure to write only warns: it must not undo a finished ingest."""
-    row = spark.createDataFrame(
-        [(correlation_id, job_id, manifest_path, status, details)],
+    row = one_row(
+        spark,
         "correlation_id string, job_id string, manifest_path string, status string, details string",
+        (correlation_id, job_id, manifest_path, status, details),
     ).withColumn("created_at", F.current_timestamp() if now is None else now)
     try:
-        row.coalesce(1).write.mode("append").parquet(path)
+        row.write.mode("append").parquet(path)
     except Exception as problem:  # noqa: BLE001 - any storage failure is only reported
         print(f"[warn] audit row for {correlation_id} not written: {problem}")
         return False

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Arrival order of a file stream: file time, then path, block and position in the scan.
+# Arrival order of a file stream: file time, then path, block and position in the block.
 ARRIVAL = ["file_time", "file_path", "block_start", "row_id"]
 
 
@@ -34,17 +34,24 @@ def line_stream(
     scan = reader.load(folder)
     if since is not None:
         scan = scan.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
-    # row_id grows along a block, so the four columns give the order of the lines whatever the split
     return scan.select(
         F.trim("value").alias("line"),
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
     ).filter(F.col("line") != "")
 
 
+def with_row_id(batch: DataFrame) -> DataFrame:
+    """Add ``row_id`` to a micro-batch straight from the scan, before any shuffle.
+
+    It grows along each block of a file, so (file, block_start, row_id) gives the order of the lines
+    however the scan was split.
+    """
+    return batch.withColumn("row_id", F.monotonically_increasing_id())
+
+
 def broker_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int | None = None) -> DataFrame:
     """The same frame from a Kafka-protocol broker, starting at the latest offsets.
 

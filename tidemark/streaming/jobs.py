@@ -16,7 +16,7 @@ from tidemark.operators.validate import not_null_rules, validate
 from tidemark.plans.ingest import ingest_batch, prepare_lines
 from tidemark.plans.table import TradeTable
 from tidemark.schemas import TRADE_COLUMNS
-from tidemark.sources.streams import ARRIVAL
+from tidemark.sources.streams import ARRIVAL, with_row_id
 
 # Fixed value: interval between batches.
 INTERVAL = "10 seconds"
@@ -38,12 +38,13 @@ def ingest_stream(
     completed or recognised as done.  A storage failure fails the query.  ``until_empty`` stops after
     the data present at the start, still in batches of the source's limits.
     """
-    prepared = prepare_lines(lines)
 
     def commit(batch: DataFrame, number: int) -> None:
-        ingest_batch(table, batch, order, source, number, as_of, raw="line")
+        if "row_id" in order and "row_id" not in batch.columns:
+            batch = with_row_id(batch)
+        ingest_batch(table, prepare_lines(batch), order, source, number, as_of, raw="line")
 
-    writer = prepared.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
+    writer = lines.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_empty else writer.trigger(processingTime=interval)).start()
 
 
