@@ -179,6 +179,9 @@ ORACLE = {
     ),
     "csv_scan": sql(f"SELECT {TRADE} FROM incoming", "incoming"),
     "infer_scan": sql("SELECT trade_id, cast(version AS bigint) AS version, book_id, arrival FROM incoming", "incoming"),
+    "landing_routes": sql(
+        "SELECT count(*) AS records, cast(0 AS bigint) AS unrouted, cast(0 AS bigint) AS misrouted FROM trades", "trades"
+    ),
     "lineage_scan": sql("SELECT arrival, true AS from_own_file FROM incoming", "incoming"),
     "manifest_scan": sql(f"SELECT {TRADE}, arrival FROM incoming", "incoming"),
     "store_lookup": sql(
@@ -350,6 +353,9 @@ CROSS JOIN LATERAL (SELECT s.trade_id IS NOT NULL AND (t.trade_id IS NULL
     "expire_matured": sql(
         f"""SELECT {TRADE}, expired_flag OR maturity_date < DATE '1997-06-01' AS expired_flag FROM store""", "store"
     ),
+    "hash_layout": sql(
+        "SELECT trade_id, count(*) AS rows, cast(1 AS bigint) AS buckets FROM store GROUP BY trade_id", "store"
+    ),
     "maturity_months": sql(
         """SELECT strftime(maturity_date, '%Y-%m') AS maturity_month, count(*) AS rows, max(version) AS top_version
 FROM store GROUP BY 1""",
@@ -425,6 +431,8 @@ SELECT 'dlq', CASE WHEN reason <> 'PARSE_ERROR' THEN trade_id END, CASE WHEN rea
 FROM reasons_of GROUP BY 1, 2, 3, 4""",
         "reasons_of",
     ),
+    # the stream reads one file in one batch, before the watermark forgets anything
+    "dedup_stream": "SELECT DISTINCT user_id, event_type FROM events",
     "generated_trades": """SELECT kind, cast(CASE kind WHEN 'v1' THEN v1 WHEN 'vn' THEN vn ELSE n - v1 - vn END AS bigint) AS records,
   cast(CASE kind WHEN 'vn' THEN 2 ELSE 1 END AS bigint) AS low_version,
   cast(CASE kind WHEN 'v1' THEN 1 ELSE 4 END AS bigint) AS high_version

@@ -98,11 +98,16 @@ def infer_scan(spark, sf):
 def landing_routes(spark, sf):
     path = scratch_path(spark, "landing")
     sinks.write_records(views.trades(spark, sf).withColumn("kind", F.col("st")), path, "json", rows_per_file=2_000)
-    found = files.landing_files(spark, path, "*.json", min_age_seconds=0)
-    return (
-        files.route_by_size(found, threshold=400_000)
-        .groupBy("route")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    routed = files.route_by_size(files.landing_files(spark, path, "*.json"), threshold=400_000)
+    records = spark.read.text(path).select(
+        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), F.col("_metadata.file_size").alias("size")
+    )
+    names = routed.select(F.element_at(F.split("path", "/"), -1).alias("name"), "route")
+    expected = F.when(F.col("size") > 400_000, F.lit("large")).otherwise(F.lit("small"))
+    return records.join(names, "name", "left").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count(F.when(F.col("route").isNull(), 1)).alias("unrouted"),
+        F.count(F.when(F.col("route") != expected, 1)).alias("misrouted"),
     )
 
 
@@ -365,8 +370,8 @@ def expire_matured(spark, sf):
 def hash_layout(spark, sf):
     path = scratch_path(spark, "buckets")
     store.write_hash_layout(views.store(spark, sf), path)
-    counts = spark.read.parquet(path).groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
-    return counts
+    rows = spark.read.parquet(path)
+    return rows.groupBy("trade_id").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("bucket").alias("buckets"))
 
 
 @query
@@ -582,7 +587,7 @@ def dedup_stream(spark, sf):
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
     unique = recon.dedup_stream(events, ["user_id", "event_type"], "ts", "6 hours")
-    unique.select("event_id", "user_id", "event_type").writeStream.format("parquet").option(
+    unique.select("user_id", "event_type").writeStream.format("parquet").option(
         "path", f"{root}/out"
     ).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out")
@@ -593,8 +598,9 @@ def dedup_stream(spark, sf):
 
 @query
 def generated_trades(spark, sf):
-    total = views.table(spark, sf, "lineitem").count()
-    made = generate.generate_trades(spark, total, 20.0, 30.0, _today(), seed=42)
+    # one generated record per given trade
+    numbers = parts.with_index(views.trades(spark, sf).select("arrival"), ORDER, out="id")
+    made = generate.generate_trades(spark, numbers.count(), 20.0, 30.0, _today(), seed=42, numbers=numbers)
     return made.groupBy("kind").agg(
         F.count(F.lit(1)).alias("records"),
         F.min("Version").alias("low_version"),

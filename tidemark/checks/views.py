@@ -21,9 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, column: str) -> DataFrame:
+    """Use all cores on a table stored in fewer pieces than there are cores.
+
+    A large table has more scan tasks than cores and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, column) if df.rdd.getNumPartitions() < cores else df
+
+
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem joined to orders as trades; repeated (order, line) pairs give repeated versions."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus", "l_shipdate"
+        ),
+        "l_orderkey",
+    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     text = lambda name: F.col(name).cast("string")
     return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -103,6 +117,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props"),
         F.lit("}"),
     )
-    return table(spark, sf_dir, "events").select(
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"), "event_id")
+    return events.select(
         "event_id", "ts", "event_type", F.when(kind == "error", F.substring(line, 1, 25)).otherwise(line).alias("line")
     )

@@ -33,12 +33,13 @@ def generate_trades(
     vn_percent: float = 30.0,
     today: Column | None = None,
     seed: int = 0,
-    partitions: int | None = None,
+    numbers: DataFrame | None = None,
 ) -> DataFrame:
     """Records in the generator's naming, plus ``kind`` (v1, vn, other) and a random ``position``.
 
     v1 records have unique ids and version 1; vn records repeat v1 ids with versions 2 to 4; the others
-    have new ids and versions 1 to 4.  Write ordered by ``position`` for a shuffled file.
+    have new ids and versions 1 to 4.  Write ordered by ``position`` for a shuffled file.  ``numbers``
+    may supply the record numbers 0..total-1 as ``id``; by default Spark makes them.
     """
     day = F.current_date() if today is None else today
     v1, vn, _ = shares(total, v1_percent, vn_percent)
@@ -64,7 +65,7 @@ def generate_trades(
     chance = F.create_map(*[F.lit(x) for pair in CREATED_TODAY.items() for x in pair])[F.col("kind")]
     is_today = uniform(n, salt=seed * 64 + 5) < chance
     created = F.when(is_today, day).otherwise(F.date_add(day, pick(-CREATED_DAYS, 0, 6)))
-    source = spark.range(0, total, 1, partitions) if partitions else spark.range(total)
+    source = spark.range(total) if numbers is None else numbers.select("id")
     return (
         source.withColumn("kind", kind)
         .withColumn("number", number)

@@ -164,17 +164,19 @@ def two_tier(
 
 def guardrail_error(lower: Column) -> Column:
     """Error text of the store guardrail."""
+    version = F.col("version").cast("string")
     # Message formats of the store.
-    higher = F.format_string(
-        "REJECTED_BY_DB_GUARDRAIL: active higher version exists for trade_id=%s, incoming_version=%s",
+    higher = F.concat(
+        F.lit("REJECTED_BY_DB_GUARDRAIL: active higher version exists for trade_id="),
         F.col("trade_id"),
-        F.col("version"),
+        F.lit(", incoming_version="),
+        version,
     )
-    matured = F.format_string(
-        "REJECTED_BY_DB_GUARDRAIL: inserting/updating active trade with maturity before today"
-        " for trade_id=%s version=%s",
+    matured = F.concat(
+        F.lit("REJECTED_BY_DB_GUARDRAIL: inserting/updating active trade with maturity before today for trade_id="),
         F.col("trade_id"),
-        F.col("version"),
+        F.lit(" version="),
+        version,
     )
     return F.when(lower, higher).otherwise(matured)
 
