@@ -19,23 +19,25 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Non-blank text lines, trimmed, with bad UTF-8 replaced, as ``line``."""
+    return clean_lines(spark.read.text(path)).select("line")
+
+
+def clean_lines(text: DataFrame) -> DataFrame:
+    """Add ``line`` to a text scan and drop blank lines."""
+    return text.withColumn("line", F.trim(F.make_valid_utf8("value"))).filter(F.col("line") != "")
+
+
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = WIRE) -> DataFrame:
     """JSON lines with a fixed schema.
 
-    Blank lines vanish; a line that does not parse or does not fit the schema keeps its text in ``_corrupt``.
+    Blank lines are dropped and bad UTF-8 is replaced; a line that does not parse or does not fit the
+    schema keeps its text in ``_corrupt``.
     """
-    return (
-        spark.read.schema(_with_corrupt(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
-
-
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Non-blank text lines, trimmed, with bad UTF-8 replaced, as ``line``."""
-    text = spark.read.text(path).withColumn("line", F.trim("value"))
-    return text.filter(F.col("line") != "").select("line")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("line", _with_corrupt(schema), options)
+    return read_lines(spark, path).select(parsed.alias("record")).select("record.*")
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:

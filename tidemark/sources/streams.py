@@ -7,6 +7,8 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import clean_lines
+
 # Arrival order of a file stream: file time, then path, block and position in the block.
 ARRIVAL = ["file_time", "file_path", "block_start", "row_id"]
 
@@ -31,16 +33,16 @@ def line_stream(
         reader = reader.option("pathGlobFilter", pattern)
     if archive_to:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
-    scan = reader.load(folder)
+    scan = clean_lines(reader.load(folder))
     if since is not None:
         scan = scan.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
     return scan.select(
-        F.trim("value").alias("line"),
+        "line",
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
-    ).filter(F.col("line") != "")
+    )
 
 
 def with_row_id(batch: DataFrame) -> DataFrame:
