@@ -17,7 +17,7 @@ from tidemark.operators.slices import plan_slices
 from tidemark.operators.store import as_store_rows, latest_per_key, upsert
 from tidemark.operators.validate import constraint_check
 from tidemark.operators.version_rules import two_tier
-from tidemark.plans.table import Batch, TradeTable
+from tidemark.plans.table import SEQ, Batch, TradeTable
 from tidemark.schemas import ATTRIBUTES, KEY, STORE, TRADE_COLUMNS
 
 
@@ -68,7 +68,8 @@ def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: s
     accepted = judged.filter(F.col("reason").isNull())
     rejected = judged.filter(F.col("reason").isNotNull())
 
-    rows = as_store_rows(latest_per_key(accepted, KEY, order, [*KEY, *ATTRIBUTES]), at)
+    latest = latest_per_key(accepted, KEY, order, [*KEY, *ATTRIBUTES])
+    rows = as_store_rows(latest, at).withColumn(SEQ, F.lit(batch.seq).cast("long"))
     valid = judged.filter(F.col("reject_code").isNull())
     marks = valid.groupBy("trade_id").agg(
         # a judged row's seen_version already covers the earlier batches
@@ -81,8 +82,8 @@ def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: s
     )
     # independent small jobs, so they are submitted together
     writes = [
-        lambda: rows.write.mode("overwrite").parquet(table.path("accepted", batch.epoch, batch.seq)),
-        lambda: marks.write.mode("overwrite").parquet(table.path("marks", batch.epoch, batch.seq)),
+        lambda: rows.write.mode("overwrite").parquet(table.path("accepted", batch=batch.seq)),
+        lambda: marks.write.mode("overwrite").parquet(table.path("marks", batch=batch.seq)),
         lambda: letters.write.mode("overwrite").text(table.path("dlq", batch=batch.seq)),
         lambda: counts.write.mode("overwrite").parquet(table.path("metrics", batch=batch.seq)),
     ]

@@ -1,28 +1,35 @@
-"""The trade table on storage: a compacted base, small per-batch additions, and a journal.
-
-Layout under the table's root (``E`` is an epoch, ``S`` a batch sequence number):
-
-===============================  =====================================================================
-``epochs/``                      one row per epoch: (epoch, folded_through)
-``journal/epoch=E/``             begin and commit rows of batches; pins each batch's date and time
-``store/epoch=E/bucket=B/``      the store as of the epoch's start
-``levels/epoch=E/bucket=B/``     (trade_id, seen_version, active_version) as of the epoch's start
-``accepted/epoch=E/batch=S/``    store rows added by a batch, one per primary key
-``marks/epoch=E/batch=S/``       new levels of the trades a batch touched
-``outcomes/batch=S/``            every record of a batch with its reason
-``dlq/batch=S/``                 dead letters, JSON text
-``metrics/batch=S/``             outcome counts
-``loads/``                       correlation ids of finished bulk loads
-===============================  =====================================================================
+"""The trade table on storage: a base, a few merged runs, small per-batch additions, and a journal.
+
+Layout under the table's root (``E`` is an epoch, ``S`` a batch number, ``B`` a hash bucket):
+
+================================  ====================================================================
+``epochs/``                       one row per epoch: what base and runs it consists of
+``journal/epoch=E/``              begin and commit rows of batches; pins each batch's date and time
+``base/id=E/store/bucket=B/``     the store as of epoch E
+``base/id=E/levels/bucket=B/``    (trade_id, seen_version, active_version) as of epoch E
+``runs/id=E/accepted|marks/``     additions of many batches, merged when epoch E began
+``accepted/batch=S/``             store rows added by a batch, one per primary key
+``marks/batch=S/``                new levels of the trades a batch touched
+``outcomes/batch=S/``             every record of a batch with its reason
+``dlq/batch=S/``                  dead letters, JSON text
+``metrics/batch=S/``              outcome counts
+``loads/``                        correlation ids of finished bulk loads
+================================  ====================================================================
 
 A batch writes only to paths fixed by its number and reads only committed batches, so running it again
-after a failure gives the same table.  The table has one writer at a time.  Every few batches a new epoch
-folds the additions into a new base, which keeps reads short.
+after a failure gives the same table.  The table has one writer at a time.
+
+Every ``fold_every`` batches a new epoch merges the batches' additions into a run.  A run is merged with
+the run before it, or with the base, only once it has grown to half of that one's rows.  So a row is
+rewritten a logarithmic number of times, a read meets a logarithmic number of runs, and a large base is
+not rewritten for small batches.  Folders that an epoch no longer names can be removed when no reader
+of an older epoch is left.
 """
 
 from __future__ import annotations
 
 import datetime
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -43,10 +50,13 @@ from tidemark.operators.store import (
 from tidemark.schemas import KEY, LEVELS, STORE, STORE_COLUMNS
 from tidemark.session import no_rows, one_row
 
-_EPOCHS = "epoch long, folded_through long"
+_EPOCHS = "epoch long, folded long, base long, base_rows long, runs string"
 _LOADS = "correlation_id string, seq long"
 _JOURNAL = "source string, source_batch long, seq long, phase string, as_of date, at timestamp"
 
+SEQ = "seq"
+ACCEPTED = T.StructType([*STORE.fields, T.StructField(SEQ, T.LongType())])
+
 
 @dataclass(frozen=True)
 class Batch:
@@ -61,15 +71,24 @@ class Batch:
     committed: bool = False
 
 
+@dataclass(frozen=True)
+class Epoch:
+    """What the table consists of: a base, runs as (id, rows) from old to new, and batches above ``folded``."""
+
+    number: int
+    folded: int
+    base: int
+    base_rows: int
+    runs: tuple[tuple[int, int], ...] = ()
+
+
 class TradeTable:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = PARTITIONS, fold_every: int = 32):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = PARTITIONS, fold_every: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.fold_every = fold_every
 
-    # ---- layout -------------------------------------------------------------------------------------
-
     def path(self, kind: str, epoch: int | None = None, batch: int | None = None) -> str:
         parts = [self.root, kind]
         if epoch is not None:
@@ -85,48 +104,89 @@ class TradeTable:
         root: str,
         store: DataFrame | None = None,
         buckets: int = PARTITIONS,
-        fold_every: int = 32,
+        fold_every: int = 64,
     ) -> TradeTable:
         """Start a table, empty or from a frame of store rows unique by primary key."""
         table = cls(spark, root, buckets, fold_every)
         rows = no_rows(spark, STORE) if store is None else store.select(*STORE_COLUMNS)
         no_rows(spark, _LOADS).write.mode("overwrite").parquet(table.path("loads"))
-        table._write_epoch(0, -1, rows, no_rows(spark, LEVELS))
+        written = table._write_base(0, rows, no_rows(spark, LEVELS))
+        table._start_epoch(Epoch(0, -1, 0, written), [])
         return table
 
-    def _write_epoch(self, epoch: int, folded_through: int, store: DataFrame, levels: DataFrame) -> None:
-        """Write a new base and then, last, the row that makes it current."""
-        spark = self.spark
-        hash_layout(store, self.buckets).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(self.path("store", epoch))
-        written = self._read_base("store", epoch, STORE)
-        active = latest_active_version(written)
-        merged = levels.select("trade_id", "seen_version").join(active, "trade_id", "full_outer")
-        merged.select(*LEVELS.names).withColumn("bucket", bucket_of(F.col("trade_id"), self.buckets)).hint(
-            "rebalance", "bucket"
-        ).write.mode("overwrite").partitionBy("bucket").parquet(self.path("levels", epoch))
-        no_rows(spark, STORE).write.mode("overwrite").parquet(
-            self.path("accepted", epoch, folded_through)
-        )
-        no_rows(spark, LEVELS).write.mode("overwrite").parquet(self.path("marks", epoch, folded_through))
-        carried = self._last_commits(epoch - 1) if epoch > 0 else []
-        journal = no_rows(spark, _JOURNAL)
+    # ---- epochs -------------------------------------------------------------------------------------
+
+    def epoch(self) -> Epoch:
+        rows = self.spark.read.schema(_EPOCHS).parquet(self.path("epochs"))
+        r = rows.agg(F.max(F.struct(*rows.columns)).alias("m")).first()["m"]
+        runs = tuple(tuple(run) for run in json.loads(r["runs"]))
+        return Epoch(r["epoch"], r["folded"], r["base"], r["base_rows"], runs)
+
+    def _start_epoch(self, epoch: Epoch, carried: list[tuple]) -> None:
+        """Make an epoch current; its row is written last."""
+        journal = no_rows(self.spark, _JOURNAL)
         for row in carried:
-            journal = journal.unionByName(one_row(spark, _JOURNAL, row))
-        journal.coalesce(1).write.mode("overwrite").parquet(
-            self.path("journal", epoch)
-        )
-        one_row(spark, _EPOCHS, (epoch, folded_through)).write.mode("append").parquet(self.path("epochs"))
+            journal = journal.unionByName(one_row(self.spark, _JOURNAL, row))
+        journal.coalesce(1).write.mode("overwrite").parquet(self.path("journal", epoch.number))
+        row = (epoch.number, epoch.folded, epoch.base, epoch.base_rows, json.dumps(epoch.runs))
+        one_row(self.spark, _EPOCHS, row).write.mode("append").parquet(self.path("epochs"))
+
+    def _write_base(self, base: int, store: DataFrame, levels: DataFrame) -> int:
+        """Write a base and return its number of rows.  Active versions are taken from the store itself."""
+        root = f"{self.path('base')}/id={base}"
+        laid = hash_layout(store, self.buckets).hint("rebalance", "bucket")
+        laid.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/store")
+        written = self._base("store", base, STORE)
+        active = latest_active_version(written)
+        merged = levels.select("trade_id", "seen_version").join(active, "trade_id", "full_outer").select(*LEVELS.names)
+        placed = merged.withColumn("bucket", bucket_of(F.col("trade_id"), self.buckets)).hint("rebalance", "bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/levels")
+        return written.count()
+
+    def fold(self) -> Epoch:
+        """Start a new epoch that merges the additions of the committed batches."""
+        old = self.epoch()
+        through = self._committed(old)
+        fresh = self._accepted_frame([self.path("accepted", batch=s) for s in range(old.folded + 1, through + 1)])
+        size, keep = fresh.count(), list(old.runs)
+        merged = []
+        while keep and keep[-1][1] <= 2 * size:
+            run = keep.pop()
+            merged.append(run[0])
+            size += run[1]
+        if not keep and old.base_rows <= 2 * size:
+            return self.rewrite()
+        number = old.number + 1
+        accepted = [f"{self.path('runs')}/id={r}/accepted" for r in merged]
+        accepted += [self.path("accepted", batch=s) for s in range(old.folded + 1, through + 1)]
+        marks = [f"{self.path('runs')}/id={r}/marks" for r in merged]
+        marks += [self.path("marks", batch=s) for s in range(old.folded + 1, through + 1)]
+        run = f"{self.path('runs')}/id={number}"
+        newest = latest_per_key(self._accepted_frame(accepted), KEY, [SEQ], ACCEPTED.names)
+        newest.write.mode("overwrite").parquet(f"{run}/accepted")
+        _top_levels(self._marks_frame(marks)).write.mode("overwrite").parquet(f"{run}/marks")
+        rows = self._accepted_frame([f"{run}/accepted"]).count()
+        epoch = Epoch(number, through, old.base, old.base_rows, (*keep, (number, rows)))
+        self._start_epoch(epoch, self._last_commits(old))
+        return epoch
+
+    def rewrite(self, change: Callable[[DataFrame], DataFrame] | None = None) -> Epoch:
+        """Start a new epoch with one base: the current store, changed by ``change``."""
+        old = self.epoch()
+        store = self.read()
+        number = old.number + 1
+        rows = self._write_base(number, change(store) if change else store, self.levels())
+        epoch = Epoch(number, self._committed(old), number, rows)
+        self._start_epoch(epoch, self._last_commits(old))
+        return epoch
 
-    def _read_base(self, kind: str, epoch: int, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(_plus(schema, "bucket int")).parquet(self.path(kind, epoch))
+    def expire(self, as_of: datetime.date | None = None) -> Epoch:
+        """Overnight expiry; run between batches."""
+        day = F.current_date() if as_of is None else F.lit(as_of)
+        return self.rewrite(lambda store: expire_matured(store, day))
 
-    def epoch(self) -> tuple[int, int]:
-        """(current epoch, last batch number folded into its base)."""
-        rows = self.spark.read.schema(_EPOCHS).parquet(self.path("epochs"))
-        row = rows.agg(F.max(F.struct("epoch", "folded_through")).alias("m")).first()["m"]
-        return row["epoch"], row["folded_through"]
+    def delete(self, trade_ids: DataFrame) -> Epoch:
+        return self.rewrite(lambda store: delete_trades(store, trade_ids))
 
     # ---- journal ------------------------------------------------------------------------------------
 
@@ -134,10 +194,10 @@ class TradeTable:
         """Begin and commit rows of the epoch: two per batch since the last fold."""
         return self.spark.read.schema(_JOURNAL).parquet(self.path("journal", epoch)).collect()
 
-    def _last_commits(self, epoch: int) -> list[tuple]:
+    def _last_commits(self, epoch: Epoch) -> list[tuple]:
         """The last committed batch of every source, carried over so that a late repeat is recognised."""
         last: dict[str, dict[str, tuple]] = {}
-        for row in sorted(self._journal(epoch), key=lambda r: r["seq"]):
+        for row in sorted(self._journal(epoch.number), key=lambda r: r["seq"]):
             last.setdefault(row["source"], {})[row["phase"]] = tuple(row)
         return [r for phases in last.values() for r in phases.values()]
 
@@ -147,31 +207,30 @@ class TradeTable:
 
     def begin(self, source: str, source_batch: int, as_of: datetime.date | None = None) -> Batch:
         """Start a batch, or resume it with the date and time pinned at its first attempt."""
-        epoch, folded = self.epoch()
-        rows = self._journal(epoch)
+        epoch = self.epoch()
+        rows = self._journal(epoch.number)
         done = {(r["source"], r["source_batch"]) for r in rows if r["phase"] == "commit"}
         begun = {(r["source"], r["source_batch"]): r for r in rows if r["phase"] == "begin"}
         mine = (source, source_batch)
         if mine in begun:
             r = begun[mine]
-            return Batch(source, source_batch, r["seq"], epoch, r["as_of"], r["at"], committed=mine in done)
-        open_ = sorted(set(begun) - done)
-        if open_:
-            raise RuntimeError(f"batch {open_[0]} was begun and not finished; run it again first")
-        seq = max([folded, *[r["seq"] for r in rows]]) + 1
-        if seq - folded > self.fold_every:
-            self.fold()
-            epoch, folded = self.epoch()
+            return Batch(source, source_batch, r["seq"], epoch.number, r["as_of"], r["at"], committed=mine in done)
+        unfinished = sorted(set(begun) - done)
+        if unfinished:
+            raise RuntimeError(f"batch {unfinished[0]} was begun and not finished; run it again first")
+        seq = max([epoch.folded, *[r["seq"] for r in rows]]) + 1
+        if seq - epoch.folded > self.fold_every:
+            epoch = self.fold()
         now = datetime.datetime.now().replace(microsecond=0)
-        batch = Batch(source, source_batch, seq, epoch, as_of or now.date(), now)
+        batch = Batch(source, source_batch, seq, epoch.number, as_of or now.date(), now)
         self._note(batch, "begin")
         return batch
 
     def commit(self, batch: Batch) -> None:
         self._note(batch, "commit")
 
-    def _committed(self, epoch: int, folded: int) -> int:
-        return max([folded, *[r["seq"] for r in self._journal(epoch) if r["phase"] == "commit"]])
+    def _committed(self, epoch: Epoch) -> int:
+        return max([epoch.folded, *[r["seq"] for r in self._journal(epoch.number) if r["phase"] == "commit"]])
 
     def loaded(self, correlation_id: str) -> int | None:
         """Batch number of a finished bulk load, or None."""
@@ -185,42 +244,53 @@ class TradeTable:
 
     # ---- reads --------------------------------------------------------------------------------------
 
-    def _added(self, kind: str, schema: T.StructType, epoch: int, through: int) -> DataFrame:
-        added = self.spark.read.schema(_plus(schema, "batch long")).parquet(self.path(kind, epoch))
-        return added.filter(F.col("batch") <= through)
+    def _base(self, kind: str, base: int, schema: T.StructType) -> DataFrame:
+        laid = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+        return self.spark.read.schema(laid).parquet(f"{self.path('base')}/id={base}/{kind}")
+
+    def _accepted_frame(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(ACCEPTED).parquet(*paths) if paths else no_rows(self.spark, ACCEPTED)
+
+    def _marks_frame(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(LEVELS).parquet(*paths) if paths else no_rows(self.spark, LEVELS)
+
+    def _additions(self, kind: str, epoch: Epoch, through: int) -> list[str]:
+        """Folders of all additions to the base; known by number, so no history is listed."""
+        runs = [f"{self.path('runs')}/id={r}/{kind}" for r, _ in epoch.runs]
+        return runs + [self.path(kind, batch=s) for s in range(epoch.folded + 1, through + 1)]
+
+    def _newest_rows(self, epoch: Epoch, through: int) -> DataFrame:
+        added = self._accepted_frame(self._additions("accepted", epoch, through))
+        return latest_per_key(added, KEY, [SEQ], STORE_COLUMNS)
 
     def read(self) -> DataFrame:
         """The store as of the last committed batch."""
-        epoch, folded = self.epoch()
-        through = self._committed(epoch, folded)
-        base = self._read_base("store", epoch, STORE).drop("bucket")
-        if through == folded:
+        epoch = self.epoch()
+        through = self._committed(epoch)
+        base = self._base("store", epoch.base, STORE).drop("bucket")
+        if through == epoch.folded and not epoch.runs:
             return base
         return apply_rows(base, self._newest_rows(epoch, through))
 
-    def _newest_rows(self, epoch: int, through: int) -> DataFrame:
-        added = self._added("accepted", STORE, epoch, through)
-        return latest_per_key(added, KEY, ["batch"], STORE_COLUMNS)
-
     def lookup(self, trade_id: str, version: int) -> DataFrame:
         """One store row; only its bucket of the base is read."""
-        epoch, folded = self.epoch()
-        through = self._committed(epoch, folded)
-        base = lookup(self._read_base("store", epoch, STORE), trade_id, version, self.buckets)
-        added = lookup(self._newest_rows(epoch, through), trade_id, version)
-        return apply_rows(base.drop("bucket"), added)
+        epoch = self.epoch()
+        base = lookup(self._base("store", epoch.base, STORE), trade_id, version, self.buckets)
+        added = self._accepted_frame(self._additions("accepted", epoch, self._committed(epoch)))
+        newest = latest_per_key(lookup(added, trade_id, version), KEY, [SEQ], STORE_COLUMNS)
+        return apply_rows(base.drop("bucket"), newest)
 
     def levels(self, touched: DataFrame | None = None, before: int | None = None) -> DataFrame:
-        """Levels per trade from the base and the batches before ``before``.
+        """Levels per trade from the base and the additions, up to the last commit or the batch ``before``.
 
         With ``touched`` (a frame of trade_ids) only those trades are read: their buckets are pruned by
         the partition column, and the rest is a semi join whose small side Spark broadcasts if its
         measured size allows.
         """
-        epoch, folded = self.epoch()
-        through = self._committed(epoch, folded) if before is None else before - 1
-        base = self._read_base("levels", epoch, LEVELS)
-        marks = self._added("marks", LEVELS, epoch, through).drop("batch")
+        epoch = self.epoch()
+        through = self._committed(epoch) if before is None else before - 1
+        base = self._base("levels", epoch.base, LEVELS)
+        marks = self._marks_frame(self._additions("marks", epoch, through))
         if touched is not None:
             ids = touched.select("trade_id").distinct()
             held = bucket_of(F.col("trade_id"), self.buckets)
@@ -230,27 +300,6 @@ class TradeTable:
             marks = marks.join(ids, "trade_id", "left_semi")
         return _top_levels(base.drop("bucket").unionByName(marks))
 
-    # ---- whole-table rewrites -----------------------------------------------------------------------
-
-    def rewrite(self, change: Callable[[DataFrame], DataFrame] | None = None) -> int:
-        """Start a new epoch whose base is the current store, changed by ``change``."""
-        epoch, folded = self.epoch()
-        through = self._committed(epoch, folded)
-        store = self.read()
-        self._write_epoch(epoch + 1, through, change(store) if change else store, self.levels())
-        return epoch + 1
-
-    def fold(self) -> int:
-        return self.rewrite()
-
-    def expire(self, as_of: datetime.date | None = None) -> int:
-        """Overnight expiry; run between batches."""
-        day = F.current_date() if as_of is None else F.lit(as_of)
-        return self.rewrite(lambda store: expire_matured(store, day))
-
-    def delete(self, trade_ids: DataFrame) -> int:
-        return self.rewrite(lambda store: delete_trades(store, trade_ids))
-
     def outcomes(self) -> DataFrame:
         return self.spark.read.parquet(self.path("outcomes"))
 
@@ -261,12 +310,6 @@ class TradeTable:
         return self.spark.read.parquet(self.path("metrics"))
 
 
-def _plus(schema: T.StructType, partition: str) -> T.StructType:
-    """A file schema and the partition column that the folder names add to it."""
-    name, kind = partition.split()
-    return T.StructType([*schema.fields, T.StructField(name, T.LongType() if kind == "long" else T.IntegerType())])
-
-
 def _top_levels(levels: DataFrame) -> DataFrame:
     return levels.groupBy("trade_id").agg(
         F.max("seen_version").alias("seen_version"), F.max("active_version").alias("active_version")
