@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import version_rules
-from tidemark.plans import bulk, ingest
+from tidemark.plans import bulk, ingest, replay
 from tidemark.plans.table import TradeTable
 from tidemark.schemas import STORE, STORE_COLUMNS
 from tidemark.sinks import files as sinks
@@ -272,3 +272,20 @@ def test_folds_merge_runs_and_leave_a_large_base(spark, tmp_path):
     assert len(letters(table)) == 4
     assert table.rewrite().base == 4
     assert {r["trade_id"]: r["book_id"] for r in table.read().collect()} == rows
+
+
+def test_replay_of_dead_letters(spark, tmp_path):
+    table = TradeTable.create(spark, f"{tmp_path}/table")
+    batch = spark.createDataFrame([(n, t) for n, t in enumerate(LINES) if t], "n int, line string")
+    ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, TODAY, raw="line")
+    before = snapshot(table)
+    lines = replay.letter_lines(table, ["CONSTRAINT_NOT_NULL", "PARSE_ERROR"])
+    assert lines.count() == 3
+    repaired = lines.withColumn(
+        "line",
+        F.when(F.col("line").startswith("{broken"), F.lit(line("D", 1))).otherwise(F.col("line")),
+    ).cache()
+    for _ in range(2):
+        done = replay.replay_letters(table, repaired, 1, TODAY)
+    assert done.committed
+    assert snapshot(table) == sorted([*before, ("D", 1, None, "2025-07-01", False)])

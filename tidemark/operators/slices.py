@@ -127,10 +127,12 @@ def _choose_edges(rows: DataFrame, keys: Sequence[str], order: Sequence[str], pi
     return spark.createDataFrame(pinned, schema)
 
 
-def running_max(tagged: DataFrame, plan: SlicePlan, value: Column, out: str) -> DataFrame:
+def running_max(
+    tagged: DataFrame, plan: SlicePlan, value: Column, out: str, stray: Column | None = None
+) -> DataFrame:
     """``out`` = max of ``value`` over the earlier rows of the same key, null for the first.
 
-    ``tagged`` must come from ``plan.tag``.  Null values never raise the maximum.
+    ``tagged`` must come from ``plan.tag`` with the same ``stray``.  Null values never raise the maximum.
     """
     keys = list(plan.keys)
     earlier = (
@@ -141,9 +143,9 @@ def running_max(tagged: DataFrame, plan: SlicePlan, value: Column, out: str) ->
         return marked
     hot = plan.edges.select(_HASH)
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    ordered = tagged if stray is None else tagged.filter(~stray)
     carry = (
-        tagged.filter(F.col(SLICE) >= 0)
-        .withColumn(_HASH, F.xxhash64(*keys))
+        ordered.withColumn(_HASH, F.xxhash64(*keys))
         .join(F.broadcast(hot), _HASH, "left_semi")
         .groupBy(*keys, SLICE)
         .agg(F.max(value).alias("_slice_max"))

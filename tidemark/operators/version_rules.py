@@ -65,7 +65,7 @@ def _mark(
     if start is not None:
         tagged = tagged.join(plan.spread(start), ["trade_id", SLICE], "left")
     counted = value if refused is None else F.when(~refused, value)
-    return running_max(tagged, plan, counted, out).drop(SLICE)
+    return running_max(tagged, plan, counted, out, stray=refused).drop(SLICE)
 
 
 def _with_code(reason: Column, trades: DataFrame) -> Column:

@@ -110,6 +110,7 @@ class TradeTable:
         table = cls(spark, root, buckets, fold_every)
         rows = no_rows(spark, STORE) if store is None else store.select(*STORE_COLUMNS)
         no_rows(spark, _LOADS).write.mode("overwrite").parquet(table.path("loads"))
+        no_rows(spark, "value string").write.mode("overwrite").text(table.path("dlq", batch=-1))
         written = table._write_base(0, rows, no_rows(spark, LEVELS))
         table._start_epoch(Epoch(0, -1, 0, written), [])
         return table
