@@ -1,22 +1,23 @@
 """Ordered per-key work that survives a very frequent key.
 
 A running maximum per key needs the rows of a key in order.  If one key holds a large share of all
-rows, a plain window would put that share into one task.  Here such keys -- found with one
-``approx_top_k`` sketch over the key column -- are cut into *slices* of consecutive rows.  Each slice
-is its own window group, and the maximum of the earlier slices, a few hundred numbers, is added
-afterwards.  The result is exact; only the placement of rows depends on the sketch and the edges.
-
-Sizes: a key is cut into ``rows / (share * total)`` slices, so all cut keys together have at most
-``2 / share`` slices.  That bounds everything collected or broadcast here, whatever the data size.
+rows, a plain window would put that share into one task.  Here such keys -- found by counting a
+sample of the key column -- are cut into *slices* of consecutive rows.  Each slice is its own window
+group, and the maximum of the earlier slices is added afterwards.  The result is exact; only the
+placement of rows depends on the sample.
+
+Sizes: with ``share`` = 1 / (number of shuffle partitions), a slice has about the rows of an average
+partition, at most ``1 / share`` keys are cut, and all slices together number at most ``2 / share``.
+That bounds everything collected or broadcast here, whatever the data size.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +29,13 @@ _COUNT = "_edge_count"
 
 # A key below this many rows is never cut: one task sorts that many rows in seconds.
 MIN_ROWS = 1_000_000
-# A key above this share of all rows is cut, into pieces of about this share.
+# A key of MIN_ROWS rows is expected to have this many rows in the sample.
+SAMPLE_ROWS = 1_000
+# A key above this share of all rows is cut, into pieces of about this share.  With more shuffle
+# partitions than 1 / SHARE, the share of one partition is used.
 SHARE = 0.001
+# Rows drawn per slice to place its edge; more draws make slices more equal.
+EDGE_DRAWS = 8
 # Rows that take no part in the ordering are spread over this many groups.
 STRAY_GROUPS = 1024
 
@@ -77,42 +83,60 @@ def plan_slices(
     keys: Sequence[str],
     order: Sequence[str],
     where: Column | None = None,
-    share: float = SHARE,
+    share: float | None = None,
     min_rows: int = MIN_ROWS,
 ) -> SlicePlan:
-    """Find frequent keys and choose the slice edges.  Runs one small aggregate over the key columns."""
+    """Find frequent keys and choose the slice edges.
+
+    Runs one count per key over a sample of about ``SAMPLE_ROWS / min_rows`` of the rows, and, if there
+    is a frequent key, a second job over its sampled rows.
+    """
+    spark = df.sparkSession
+    if share is None:
+        share = min(SHARE, 1 / int(spark.conf.get("spark.sql.shuffle.partitions")))
+    every = max(1, min_rows // SAMPLE_ROWS)
     rows = df if where is None else df.filter(where)
-    top = math.ceil(1 / share)
-    names = ", ".join(f"`{k}`" for k in keys)
-    found = rows.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.expr(f"approx_top_k(xxhash64({names}), {top}, {min(1_000_000, 16 * top)})").alias("top"),
-    ).first()
-    floor = max(min_rows, share * found["total"])
-    hot = [(r["item"], r["count"]) for r in (found["top"] or []) if r["count"] > floor]
-    if not hot:
-        return SlicePlan(tuple(keys), tuple(order))
-    pieces = [(h, max(2, math.ceil(n / floor))) for h, n in hot]
-    return SlicePlan(tuple(keys), tuple(order), _choose_edges(rows, keys, order, pieces))
-
-
-def _choose_edges(rows: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: list[tuple[int, int]]) -> DataFrame:
-    """One pseudo-random row per (key, piece) serves as an edge: at most sum(pieces) rows come back."""
-    spark = rows.sparkSession
+    sample = rows.sample(1 / every, seed=7) if every > 1 else rows
+    seen = Observation()
+    frequent = (
+        sample.select(F.xxhash64(*keys).alias(_HASH))
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        .groupBy(_HASH)
+        .agg((F.count(F.lit(1)) * every).alias("rows"))
+        .filter(F.col("rows") > min_rows)
+        .orderBy(F.desc("rows"))
+        .limit(math.ceil(1 / share))
+        .collect()
+    )
+    plain = SlicePlan(tuple(keys), tuple(order))
+    if not frequent:
+        return plain
+    floor = max(min_rows, share * seen.get["rows"] * every)
+    pieces = [(r[_HASH], max(2, math.ceil(r["rows"] / floor))) for r in frequent if r["rows"] > floor]
+    return replace(plain, edges=_choose_edges(sample, keys, order, pieces)) if pieces else plain
+
+
+def _choose_edges(sample: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: list[tuple[int, int]]) -> DataFrame:
+    """Edges per key: a few pseudo-random sampled rows per piece, sorted and thinned to one per piece.
+
+    At most sum(pieces) edges come back to the driver.
+    """
+    spark = sample.sparkSession
     hot = spark.createDataFrame(pieces, f"{_HASH} long, pieces int")
     here = F.struct(*order)
     edges = (
-        rows.select(F.xxhash64(*keys).alias(_HASH), here.alias("here"))
+        sample.select(F.xxhash64(*keys).alias(_HASH), here.alias("here"))
         .join(F.broadcast(hot), _HASH)
-        .withColumn("piece", F.pmod(F.xxhash64("here"), F.col("pieces")))
+        .withColumn("piece", F.pmod(F.xxhash64(F.lit(1), "here"), F.col("pieces") * EDGE_DRAWS))
         .groupBy(_HASH, "piece")
-        .agg(F.min_by("here", F.xxhash64(F.lit(1), "here")).alias("edge"))
+        .agg(F.min_by("here", F.xxhash64(F.lit(2), "here")).alias("edge"))
         .groupBy(_HASH)
-        .agg(F.sort_array(F.collect_set("edge")).alias("edges"))
+        .agg(F.sort_array(F.collect_set("edge")).alias("drawn"))
+        .select(_HASH, F.filter("drawn", lambda e, i: i % EDGE_DRAWS == EDGE_DRAWS - 1).alias("edges"))
     )
     edge_type = edges.schema["edges"].dataType
     pinned = []
-    for row in edges.collect():
+    for row in edges.filter(F.size("edges") > 0).collect():
         width = max(1, math.isqrt(len(row["edges"])))
         groups = [row["edges"][i : i + width] for i in range(0, len(row["edges"]), width)]
         pinned.append((row[_HASH], [g[0] for g in groups], groups, len(row["edges"])))
