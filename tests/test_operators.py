@@ -1,6 +1,7 @@
 """Store operations, reconciliation, deduplication, parts, files and generation."""
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,15 @@ def test_metrics_totals(spark):
     assert got == {"accept": (2, 1, 0), "DB_GUARDRAIL_REJECT": (1, 0, 1), "X": (1, 0, 0), "ALL": (4, 1, 1)}
 
 
+def test_metrics_lag(spark):
+    at, late = datetime.datetime(2025, 6, 1, 12), datetime.datetime(2025, 6, 1, 11, 59, 20)
+    judged = spark.createDataFrame(
+        [(None, 1, None, at), ("X", 1, 2, late)], "reason string, version int, seen_version int, t timestamp"
+    )
+    counted = metrics.outcome_metrics(judged, arrived=F.col("t"), now=F.lit(at))
+    assert {r["outcome"]: r["lag_seconds"] for r in counted.collect()} == {"accept": 0, "X": 40, "ALL": 40}
+
+
 def test_index_is_dense_and_seeded(spark):
     df = spark.range(5000)
     a = parts.with_index(df, ["id"], seed=1, ranges=64)
@@ -140,7 +150,7 @@ def test_sized_parts(spark, total, n, minsize):
 def test_array_chunks(spark):
     made = parts.array_chunks(spark.range(95), ["id"], ["id"], 20).orderBy("chunk").collect()
     assert [r["records"] for r in made] == [20, 20, 20, 20, 15]
-    ids = [i for r in made for i in eval(r["value"].replace('{"id":', "(").replace("}", ")"))]  # noqa: S307
+    ids = [item["id"] for r in made for item in json.loads(r["value"])]
     assert sorted(ids) == list(range(95))
 
 

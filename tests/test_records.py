@@ -94,6 +94,14 @@ def test_constraint_and_spec_rules(spark):
     assert [r["is_valid"] for r in checked] == [True, False, False, False]
 
 
+def test_rules_from_a_file(spark, tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text('{"rules": [\n {"code": "HIGH", "reject_when": "version > 5"}\n]}')
+    df = spark.createDataFrame([(5,), (6,)], "version int")
+    checked = validate.validate(df, validate.load_rules(spark, str(path))).collect()
+    assert [r["reasons"] for r in checked] == [[], ["HIGH"]]
+
+
 def test_envelopes(spark):
     today = D(2025, 6, 1)
     rows = [

@@ -599,8 +599,9 @@ def dedup_stream(spark, sf):
 @query
 def generated_trades(spark, sf):
     # one generated record per given trade
-    numbers = parts.with_index(views.trades(spark, sf).select("arrival"), ORDER, out="id")
-    made = generate.generate_trades(spark, numbers.count(), 20.0, 30.0, _today(), seed=42, numbers=numbers)
+    given = views.trades(spark, sf).select("arrival")
+    numbers = parts.with_index(given, ORDER, out="id")
+    made = generate.generate_trades(spark, given.count(), 20.0, 30.0, _today(), seed=42, numbers=numbers)
     return made.groupBy("kind").agg(
         F.count(F.lit(1)).alias("records"),
         F.min("Version").alias("low_version"),

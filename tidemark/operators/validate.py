@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import NOT_NULL
@@ -33,6 +33,18 @@ def rules_from_spec(spec: str | Mapping | Sequence) -> dict[str, Column]:
     return {item["code"]: F.expr(item["reject_when"]) for item in items}
 
 
+def load_rules(spark: SparkSession, path: str) -> dict[str, Column]:
+    """Compile a specification file: JSON, or YAML where a YAML reader is installed."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    if path.endswith((".yml", ".yaml")):
+        try:
+            import yaml
+        except ImportError as missing:
+            raise ValueError("no YAML reader is installed; use a JSON specification") from missing
+        return rules_from_spec(yaml.safe_load(text))
+    return rules_from_spec(text)
+
+
 def validate(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Add ``reasons`` (array of codes) and ``is_valid``."""
     return df.withColumn("reasons", reasons(rules)).withColumn("is_valid", F.size("reasons") == 0)

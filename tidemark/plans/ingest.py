@@ -77,7 +77,8 @@ def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: s
         F.max(F.when(F.col("reason").isNull(), F.col("version"))).alias("active_version"),
     )
     letters = rejected.select(reject_envelope(at, raw).alias("value"))
-    counts = outcome_metrics(judged).withColumns(
+    arrived = F.col("file_time") if "file_time" in order else F.lit(None).cast("timestamp")
+    counts = outcome_metrics(judged, arrived=arrived, now=at).withColumns(
         {"source": F.lit(batch.source), "at": at, "as_of": F.lit(batch.as_of)}
     )
     # independent small jobs, so they are submitted together
