@@ -4,9 +4,8 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from tidemark.checks.oracle import ORACLE
+from tidemark.checks.queries import REGISTRY as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,9 @@ def con(sf):
 def test_registries_agree():
     assert set(ORACLE) <= set(QUERIES)
     assert not set(QUERIES) - set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
