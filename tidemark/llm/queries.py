@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, exact, langid, mixing, ngram_join, quality, toxicity, warc
+from tidemark.llm import bpe, chat, exact, langid, mixing, ngram_join, quality, suffixes, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_and_read(spark, table(spark, sf_dir, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
@@ -69,6 +73,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_chat": op8_chat,
     "op9_toxicity": op9_toxicity,
