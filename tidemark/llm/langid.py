@@ -151,12 +151,12 @@ def sample(docs: DataFrame, fold: Column, rows: int = SAMPLE_ROWS) -> tuple[list
 
 
 def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred, score, accepted``; reads the text alone and does not shuffle."""
+    """``row`` (a struct of all columns of ``docs``), ``lang_pred, score, accepted``; reads the text alone, does not shuffle."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "accepted": F.lit(False)})
+        return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "accepted": F.lit(False)}).schema
-    names = [*docs.columns, "lang_pred", "score", "accepted"]
+    names = ["row", "lang_pred", "score", "accepted"]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -172,6 +172,7 @@ def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
                 guess = [held.languages[k] if w else UNKNOWN for k, w in zip(best, written, strict=True)]
                 score = np.where(written, score, 0.0)
                 accepted = written & (score >= held.least)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(guess), pa.array(score), pa.array(accepted)], names)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(guess), pa.array(score), pa.array(accepted)], names)
 
-    return docs.mapInArrow(predict, schema)
+    out = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "accepted": F.lit(False)}).select(*names)
+    return rows.mapInArrow(predict, out.schema)

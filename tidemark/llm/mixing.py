@@ -6,10 +6,11 @@ largest entropy relative to one copy each are exponential tilts of the base odds
 source, solve the convex dual; Newton iterations find them.  As a rate depends on the source and the size alone, gradient and
 Hessian are sums over a table of (source, size, documents), aggregated anew by Spark in every iteration.
 
-Rates are rounded into whole copies so that a source's total stays within about one document of its target: documents of a
-source are ordered by size, fractional copies accumulate along that order in integers (millionths), and a further copy is
-taken wherever the sum passes a half.  Within a size the documents are ranked by hash in salted groups, so no group of equal
-sources and sizes has to be sorted by one task.
+Rates are rounded into whole copies from the largest size of a source to the smallest: the copies of a size are the nearest
+number to what its documents and the words still owed ask for, and the remainder is owed to the next smaller size.  So a
+source's total misses its target by about a small document.  This fold reads one row per size of a source, as many as its
+longest document has words at most, in integers (millionths of a word).  Within a size the documents are ranked by hash in
+salted groups, so no group of equal sources and sizes has to be sorted by one task.
 
 Defined results: null text has size 0 and is never taken; a null source is a source of its own, the last one; rows are told
 apart by occurrence if doc_id, source and size repeat; an empty table gives no rows; reruns agree.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +60,7 @@ def targets(cells: DataFrame) -> DataFrame:
         }
     ).withColumn("level", F.col("left") / F.col("weights"))
     per = per.withColumn("free", F.col("level") * F.col("weight") <= F.col("cap"))
+    # the last source is always free, as all caps together are MOST times all words
     level = F.min(F.when(F.col("free"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(everything)["level"]
     target = F.when(F.col("weight") * level < F.col("cap"), F.col("weight") * level).otherwise(F.col("cap").cast("double"))
     return per.select("source", "source_size", target.cast("double").alias("target"))
@@ -114,6 +117,19 @@ def tilts(cells: DataFrame, wanted: DataFrame, most_steps: int = 60) -> DataFram
     return state.select("source", "source_size", "target", "mean", F.round("tilt", 9).alias("tilt"))
 
 
+def round_rates(cells: pd.DataFrame) -> pd.DataFrame:
+    """Whole copies of the sizes of one source: ``whole`` of every document and one more of ``further`` documents."""
+    cells = cells.sort_values("size", ascending=False, ignore_index=True)
+    owed, whole, further = 0, [], []
+    for size, docs, rate in zip(cells["size"].tolist(), cells["docs"].tolist(), cells["rate"].tolist(), strict=True):
+        wanted = size * docs * rate + owed
+        n = min(max((2 * wanted + size * MILLION) // (2 * size * MILLION), 0), MOST * docs) if size else 0
+        owed = wanted - n * size * MILLION
+        whole.append(n // docs)
+        further.append(n % docs)
+    return cells.assign(whole=whole, further=further)[["source", "size", "source_size", "target", "whole", "further"]]
+
+
 def copies(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, source, size, occurrence, source_size, target, copies``."""
     rows = stage(sizes(docs), "mix-sizes")
@@ -124,17 +140,8 @@ def copies(docs: DataFrame) -> DataFrame:
         F.round(_share(F.col("tilt"), F.col("size"), F.col("mean")) * MOST * MILLION).cast("long")
     )
     joined = joined.withColumn("rate", F.when(F.col("size") > 0, rate).otherwise(0).cast("long"))
-    along = Window.partitionBy("source").orderBy("size")
-    rest = F.col("docs") * (F.col("rate") % MILLION)
-    upto = F.sum(rest).over(along)
-    passed = lambda x: F.floor((x + F.lit(MILLION // 2)) / F.lit(MILLION)).cast("long")
-    plan = joined.withColumns({"__upto": upto, "__rest": rest}).select(
-        "source",
-        "size",
-        "source_size",
-        "target",
-        F.floor(F.col("rate") / MILLION).cast("long").alias("whole"),
-        (passed(F.col("__upto")) - passed(F.col("__upto") - F.col("__rest"))).alias("further"),
+    plan = joined.select("source", "size", "docs", "rate", "source_size", "target").groupBy("source").applyInPandas(
+        round_rates, "source string, size long, source_size long, target double, whole long, further long"
     )
     salted = rows.withColumns({"hash": F.xxhash64("doc_id"), "salt": F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")})
     groups = salted.groupBy("source", "size", "salt").agg(F.count("*").alias("n"))

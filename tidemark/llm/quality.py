@@ -3,9 +3,9 @@
 Base rules count words, symbols, repeated lines and repeated three-word windows of each text, with array functions.
 
 The ratio compares two multinomials over hashed one- and two-word terms (``BUCKETS`` classes, smoothed by one): the terms of
-trusted rows and the terms of the whole corpus, both counted over all documents.  A text's value is the mean of its terms'
+trusted rows (a bounded set of labelled ones) and the terms of the whole corpus, counted over all documents.  A text's value is the mean of its terms'
 log ratios, so long and short texts compare.  Every document meets the same threshold: the ``TRUST`` quantile of the values of
-trusted rows, taken from a histogram in steps of ``STEP``, so the verdict is deterministic.
+trusted rows that were not counted as the target (a half, by hash), taken from a histogram in steps of ``STEP``, so the verdict is deterministic.
 
 The table of weights has ``BUCKETS`` numbers whatever the input; it is part of the plan as one array.
 
@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stage
 
 BUCKETS = 4_096
-TRUST = 0.005
+#: Labelled rows that the trusted multinomial and the threshold are fitted on, at most.
+TRUSTED_ROWS = 20_000
+TRUST = 0.01
 STEP = 0.001
 LEAST_WORDS = 50
 MOST_REPEATED = 50
@@ -32,20 +34,21 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 
 def with_words(docs: DataFrame) -> DataFrame:
-    """``docs`` with the array ``words``."""
+    """``docs`` with the arrays ``words`` and ``hashes`` (of the words)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumn("words", F.array_remove(F.split(text, _SPACE), ""))
+    words = docs.withColumn("words", F.array_remove(F.split(text, _SPACE), ""))
+    return words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long) to rows with ``text`` and ``words``."""
+    """Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long) to rows of ``with_words``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = docs.withColumn("n_words", F.size("words").cast("long")).withColumn("__lines", lines)
     # windows as (hash, place), sorted: a window found again stands beside its like
     starts = F.sequence(F.lit(0), F.col("n_words").cast("int") - 3)
     window = lambda i: F.struct(
-        F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("i")
+        F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)).alias("h"), i.alias("i")
     )
     windows = F.when(F.col("n_words") >= 4, F.sort_array(F.transform(starts, window)))
     counted = counted.withColumn("__windows", F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>")))
@@ -68,17 +71,16 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def terms(words: Column) -> Column:
-    """Buckets (from 1) of all one- and two-word terms of an array of words."""
-    bucket = lambda *w: (F.pmod(F.xxhash64(*w), F.lit(BUCKETS)) + 1).cast("int")
-    single = F.transform(words, lambda w: bucket(w))
-    double = F.transform(words, lambda w, i: F.when(i > 0, bucket(F.get(words, i - 1), w)))
-    return F.concat(single, F.array_compact(double))
+def terms(hashes: Column) -> Column:
+    """Buckets (from 1) of all one- and two-word terms of an array of word hashes."""
+    single = F.transform(hashes, lambda h: (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int"))
+    pair = lambda h, i: (F.pmod(F.xxhash64(F.get(hashes, i), h), F.lit(BUCKETS)) + 1).cast("int")
+    return F.concat(single, F.transform(F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(0))), pair))
 
 
 def term_weights(rows: DataFrame) -> list[float]:
-    """log(share in trusted rows / share in all rows) of every bucket, from rows with ``words`` and boolean ``trusted``."""
-    found = rows.select("trusted", F.explode(terms(F.col("words"))).alias("bucket")).groupBy("bucket")
+    """log(share in trusted rows / share in all rows) of every bucket, from rows with ``hashes`` and boolean ``trusted``."""
+    found = rows.select("trusted", F.explode(terms(F.col("hashes"))).alias("bucket")).groupBy("bucket")
     counted = found.agg(F.count("*").alias("n"), F.count_if(F.col("trusted")).alias("t")).collect()  # at most BUCKETS rows
     raw, trusted = [1] * BUCKETS, [1] * BUCKETS
     for r in counted:
@@ -93,7 +95,7 @@ def term_weights(rows: DataFrame) -> list[float]:
 def with_value(docs: DataFrame, weights: list[float]) -> DataFrame:
     """Adds ``value``: the mean log ratio of the text's terms, null without terms."""
     table = F.array(*[F.lit(w) for w in weights])
-    listed = terms(F.col("words"))
+    listed = terms(F.col("hashes"))
     total = F.aggregate(listed, F.lit(0.0), lambda s, b: s + F.element_at(table, b))
     return docs.withColumn("value", F.when(F.size("words") > 0, F.round(total / (2 * F.size("words") - 1), 6)))
 
@@ -112,16 +114,23 @@ def threshold(rows: DataFrame) -> float:
     return found[-1][0] * STEP
 
 
+def _fitted() -> Column:
+    """The half of the rows that the target multinomial may count."""
+    return F.coalesce(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(2)) == 0, F.lit(False))
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, value``.
 
-    Trusted are the rows with ``labels.quality`` 1 that pass the base rules.
+    Trusted are the rows with ``labels.quality`` 1 that have enough words: all of them or, of more than TRUSTED_ROWS, those
+    with the smallest hashes of doc_id, so that they can be broadcast and texts need not move.
     """
-    good = labels.filter("quality = 1").select("doc_id").distinct().withColumn("__good", F.lit(True))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, "doc_id", "left")
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("__good", F.lit(True))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(good), "doc_id", "left")
     counted = base_counts(with_words(rows)).withColumn("base_failed", base_failed())
-    counted = counted.withColumn("trusted", F.coalesce("__good", F.lit(False)) & ~F.col("base_failed")).drop("__good")
-    words = with_words(rows).withColumn("trusted", F.coalesce("__good", F.lit(False)) & (F.size("words") >= LEAST_WORDS))
+    counted = counted.withColumn("trusted", F.coalesce("__good", F.lit(False)) & ~F.col("base_failed") & ~_fitted()).drop("__good")
+    words = with_words(rows).withColumn("trusted", F.coalesce("__good", F.lit(False)) & (F.size("words") >= LEAST_WORDS) & _fitted())
     weights = term_weights(words)
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "trusted", "value"]
     valued = stage(with_value(counted, weights).select(*columns), "quality-values")

@@ -19,7 +19,7 @@ def remainder(n: int):
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(*langid.sample(docs, remainder(3) != 1))
-    found = langid.predict_languages(docs.select("doc_id", "text"), model)
+    found = langid.predict_languages(docs.select("doc_id", "text"), model).withColumn("doc_id", F.col("row.doc_id"))
     return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score", "accepted")
 
 
@@ -58,7 +58,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(*toxicity.sample(docs, labels, remainder(4) != 2))
-    scored = toxicity.score_texts(docs.select("doc_id", "text"), model)
+    scored = toxicity.score_texts(docs.select("doc_id", "text"), model).withColumn("doc_id", F.col("row.doc_id"))
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
     return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", predicted)
 

@@ -17,6 +17,8 @@ toxic or without ordinary labelled rows every score is 0; repeated rows get equa
 from __future__ import annotations
 
 import pickle
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import text_slices
 
@@ -36,7 +39,7 @@ WINDOW = 64
 ORDINARY_BYTES = 8_000
 TOXIC_BYTES = 2_000
 #: A run must stand in so many contexts, and so many times as often per toxic text as per ordinary text.
-LEAST_CONTEXTS, LEAST_RATIO, LEAST_Z = 8, 8.0, 4.0
+LEAST_CONTEXTS, LEAST_RATIO, LEAST_Z = 5, 8.0, 3.5
 STEPS = np.array([2, 3, 4, 5, 6, 8])
 THRESHOLD = 0.3
 
@@ -63,8 +66,8 @@ def windows(text: np.ndarray, size: int = WINDOW) -> list[bytes]:
     return out
 
 
-def _runs(texts: list[np.ndarray], n: int, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Byte runs of length n without an inner space, and their numbers of distinct contexts of three bytes on each side."""
+def _runs(texts: list[np.ndarray], n: int, among: np.ndarray | None = None) -> np.ndarray:
+    """Distinct (run, context) pairs: byte runs of length n without an inner space, with three bytes on each side."""
     held = []
     for text in texts:
         data = np.concatenate([[0x20, 0x20], text, [0x20, 0x20]]).astype(np.uint64)
@@ -83,33 +86,60 @@ def _runs(texts: list[np.ndarray], n: int, among: np.ndarray | None = None) -> t
             at = np.minimum(np.searchsorted(among, run), len(among) - 1)
             inner &= among[at] == run
         held.append(np.unique(np.stack([run[inner], around[inner]], 1), axis=0))
-    if not held:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.unique(np.unique(np.concatenate(held), axis=0)[:, 0], return_counts=True)
+    return np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 2), np.uint64)
+
+
+def _in_context(run: bytes, around: int) -> bytes:
+    sides = around.to_bytes(6, "big")
+    return sides[:3] + run + sides[3:]
+
+
+def _meet(run: bytes, text: bytes) -> bool:
+    """Whether a run stands in a text or reaches into it from either side with three bytes or more."""
+    return run in text or any(text.startswith(run[-k:]) or text.endswith(run[:k]) for k in range(3, len(run)))
 
 
 def toxic_runs(toxic: list[np.ndarray], ordinary: list[np.ndarray]) -> bytes:
     """The toxic dictionary's own content, the most telling run last."""
     found = []
     for n in (5, 6, 8):
-        runs, seen = _runs(toxic, n)
-        runs, seen = runs[seen >= LEAST_CONTEXTS], seen[seen >= LEAST_CONTEXTS]
+        pairs = _runs(toxic, n)
+        runs, first, seen = np.unique(pairs[:, 0], return_index=True, return_counts=True)
+        enough = seen >= LEAST_CONTEXTS
+        runs, first, seen = runs[enough], first[enough], seen[enough]
         if not len(runs):
             continue
-        others, other_seen = _runs(ordinary, n, among=runs)
+        others, other_seen = np.unique(_runs(ordinary, n, among=runs)[:, 0], return_counts=True)
         count = np.zeros(len(runs))
         count[np.searchsorted(runs, others)] = other_seen
         p, q = seen / len(toxic), (count + 0.5) / len(ordinary)
         z = (p - q) / np.sqrt(p / len(toxic) + q / len(ordinary))
         for k in np.flatnonzero((z > LEAST_Z) & (p / q > LEAST_RATIO)):
-            found.append((round(float(z[k]), 6), int(runs[k]).to_bytes(n, "big")))
-    content = b""
-    for _, run in sorted(found, reverse=True):
-        if len(content) + len(run) > TOXIC_BYTES:
+            run = int(runs[k]).to_bytes(n, "big")
+            found.append((round(float(z[k]), 6), run, pairs[first[k] : first[k] + seen[k], 1]))
+    chosen: list[bytes] = []
+    for _, run, arounds in sorted(found, key=lambda f: (-f[0], f[1])):
+        if sum(map(len, chosen)) + len(run) > TOXIC_BYTES:
             break
-        if not any(run[i : i + 4] in content for i in range(len(run) - 3)):
-            content = run + content
-    return content
+        # what a chosen run is part of, or reaches into, is told by that run already
+        told = sum(any(_meet(c.strip(), text) for c in chosen) for text in (_in_context(run, int(a)) for a in arounds))
+        if 2 * told < len(arounds):
+            chosen.append(run)
+    whole = b"\n".join(t.tobytes() for t in toxic)
+    return b"".join(reversed([_extended(run, whole) for run in chosen]))
+
+
+def _extended(run: bytes, text: bytes, most: int = 16) -> bytes:
+    """A run with the neighbouring bytes that most of its occurrences in text share, within its word."""
+    for side in (1, -1):
+        while len(run) < most and not (run[-1:] if side == 1 else run[:1]).isspace():
+            pattern = re.escape(run) + b"(.)" if side == 1 else b"(.)" + re.escape(run)
+            seen = Counter(re.findall(pattern, text, re.S))
+            byte, count = max(seen.items(), key=lambda x: (x[1], x[0]), default=(b"", 0))
+            if 10 * count < 6 * seen.total() or not count:
+                break
+            run = run + byte if side == 1 else byte + run
+    return run
 
 
 @dataclass
@@ -196,18 +226,17 @@ def sample(docs: DataFrame, labels: DataFrame, fold: Column) -> tuple[list[str],
 
 
 def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1): higher means that the label 1 is likelier.  No shuffle."""
+    """``row`` (a struct of all columns of ``docs``) and ``score`` (0 to 1; higher: label 1 is likelier).  No shuffle."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
     if model is None:
-        return docs.withColumn("score", F.lit(0.0))
+        return rows.select("row", F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    schema = docs.withColumn("score", F.lit(0.0)).schema
-    names = [*docs.columns, "score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pickle.loads(shared.value).open()
         for batch in batches:
             for part in text_slices(batch, "text"):
                 scores = [held.score(held.features(t)) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
 
-    return docs.mapInArrow(score, schema)
+    return rows.mapInArrow(score, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
