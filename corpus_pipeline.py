@@ -16,7 +16,7 @@ from tidemark.llm.queries import remainder, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; labels train the score and decide nothing themselves."""
     model = toxicity.train(*toxicity.sample(docs, table(spark, sf_dir, "labels"), remainder(4) != 2))
-    return toxicity.score_texts(docs, model).filter(f"score < {toxicity.THRESHOLD}").select(*docs.columns)
+    return toxicity.score_texts(docs, model).filter(f"score < {toxicity.THRESHOLD}").select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
