@@ -34,7 +34,7 @@ LONG_WORD = 400
 #: Bytes of distinct words in one recursive query.
 QUERY_BYTES = 1 << 17
 #: Pieces kept between batches of a worker; beyond it the cache starts anew.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -189,15 +189,13 @@ class Codec:
         return out
 
     def learn(self, pieces: list[str]) -> None:
-        """Encode pieces that are not known yet; their distinct pre-tokens are contracted together."""
+        """Encode pieces that are not known yet; a pre-token is a piece as well, and new ones are contracted together."""
         split = [self.pattern.findall(p) for p in pieces]
-        words = list(dict.fromkeys(itertools.chain.from_iterable(split)))
-        coded = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
+        words = [w for w in dict.fromkeys(itertools.chain.from_iterable(split)) if w not in self.pieces]
+        self.pieces.update(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
         for piece, ws in zip(pieces, split, strict=True):
-            if len(ws) == 1:
-                self.pieces[piece] = coded[ws[0]]
-            else:
-                parts = [coded[w] for w in ws]
+            if len(ws) > 1:
+                parts = [self.pieces[w] for w in ws]
                 self.pieces[piece] = (",".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
