@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import generate, metrics, parts, recon, slices, store
+from tidemark.operators import generate, metrics, parts, recon, store
 from tidemark.schemas import KEY, STORE, TRADE
 from tidemark.sinks import files as sinks
 from tidemark.sources import files
@@ -99,9 +99,7 @@ def test_dedup_ttl_with_frequent_key(spark):
     start = datetime.datetime(2025, 1, 1)
     data = [(n, "hot" if n % 3 == 0 else f"k{n % 40}", start + datetime.timedelta(seconds=(n * 7919) % 50000)) for n in range(3000)]
     df = spark.createDataFrame(data, "n int, k string, ts timestamp")
-    plan = slices.plan_slices(df, ["k"], ["ts", "n"], share=0.05, min_rows=50)
-    assert plan.edges is not None
-    got = {r["n"] for r in recon.dedup_ttl(df, ["k"], "ts", ["n"], 40, plan=plan).collect()}
+    got = {r["n"] for r in recon.dedup_ttl(df, ["k"], "ts", ["n"], 40).collect()}
     last, want = {}, set()
     for n, k, ts in sorted(data, key=lambda r: (r[2], r[0])):
         if k not in last or ts - last[k] > datetime.timedelta(seconds=40):

@@ -8,7 +8,7 @@ import sequential as seq
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import DB_GUARDRAIL, RULE_1, RULE_2
-from tidemark.operators import slices, store, version_rules
+from tidemark.operators import marks, store, version_rules
 from tidemark.schemas import LEVELS, STORE, TRADE
 
 TODAY = datetime.date(2025, 6, 1)
@@ -137,42 +137,51 @@ def test_maturity_regression_equals_simulation(spark):
     assert {r["arrival"]: r["reason"] is not None for r in judged.collect()} == want
 
 
-def test_frequent_key_is_cut_and_stays_exact(spark):
-    """A third of all rows under one key: the slices spread it and change nothing."""
+def test_frequent_key_stays_exact(spark):
+    """A third of all rows under one key, judged by the plan that every size gets."""
     stored, arriving = random_case(7, keys=1500, hot=3000)
     stored += [("HOT", 3, TODAY + DAY, False)]
     want, _ = simulate(seq.two_tier, stored, arriving)
-    df = trades_df(spark, arriving)
-    plan = slices.plan_slices(df, ["trade_id"], ["arrival"], share=0.02, min_rows=20)
-    assert plan.edges is not None
-    sizes = plan.tag(df).groupBy("trade_id", slices.SLICE).count()
-    hot = [r["count"] for r in sizes.filter("trade_id = 'HOT'").collect()]
-    assert len(hot) > 10 and sum(hot) == 3000 and max(hot) < 1200
-    cold = sizes.filter("trade_id <> 'HOT'").agg(F.max(slices.SLICE)).first()[0]
-    assert cold == 0
     levels = store.latest_active_version(store_df(spark, stored)).withColumn("seen_version", F.lit(None).cast("int"))
-    judged = version_rules.two_tier(df, levels, ["arrival"], F.lit(TODAY), plan=plan)
+    judged = version_rules.two_tier(trades_df(spark, arriving), levels, ["arrival"], F.lit(TODAY))
     assert {r["arrival"]: r["reason"] for r in judged.collect()} == want
 
 
-def test_slices_with_refused_rows_and_struct_order(spark):
-    """Refused rows with null keys are spread, raise nothing, and keep their code."""
+def test_earlier_max_over_many_values(spark):
+    """Values in several blocks, ties in place order by two columns, nulls and refused rows without a key."""
+    import random
+
+    random.seed(8)
+    data = [(random.choice(["a", "b", None]), k // 7, k, random.choice([None, random.randrange(-9000, 30000)]), k % 5 == 0) for k in range(2000)]
+    df = spark.createDataFrame(data, "k string, p int, n int, v int, bad boolean").repartition(7)
+    start = spark.createDataFrame([("a", 5), ("c", 6)], "k string, s int")
+    got = {r["n"]: (r["m"], r["s"]) for r in marks.earlier_max(df, "k", ["p", "n"], F.col("v"), "m", start, F.col("bad")).collect()}
+    top, want = {}, {}
+    for k, _, n, v, bad in data:
+        alive = not bad and k is not None
+        want[n] = (top.get(k) if alive else None, 5 if alive and k == "a" else None)
+        if alive and v is not None:
+            top[k] = max(v, top.get(k, v))
+    assert got == want
+
+
+def test_refused_rows_keep_their_code(spark):
     _, arriving = random_case(8, keys=50, hot=800)
     df = trades_df(spark, arriving).withColumn("reject_code", F.when(F.col("arrival") % 5 == 0, F.lit("PARSE_ERROR")))
     df = df.withColumn("trade_id", F.when(F.col("reject_code").isNull(), F.col("trade_id")))
-    df = df.withColumn("part", (F.col("arrival") / 100).cast("int"))
-    order = ["part", "arrival"]
-    good = F.col("reject_code").isNull()
-    plan = slices.plan_slices(df, ["trade_id"], order, where=good, share=0.05, min_rows=20)
-    assert plan.edges is not None
-    plain = slices.SlicePlan(("trade_id",), tuple(order))
-    cut = version_rules.two_tier(df, None, order, F.lit(TODAY), plan=plan).select("arrival", "reason", "seen_version")
-    whole = version_rules.two_tier(df, None, order, F.lit(TODAY), plan=plain).select("arrival", "reason", "seen_version")
-    a, b = sorted(map(tuple, cut.collect()), key=str), sorted(map(tuple, whole.collect()), key=str)
-    assert a == b
-    assert cut.filter("reason = 'PARSE_ERROR'").count() == df.filter(~good).count()
-    spread = plain.tag(df, stray=~good).filter(~good).select(slices.SLICE).distinct().count()
-    assert spread > 50
+    judged = version_rules.two_tier(df, None, ["arrival"], F.lit(TODAY))
+    sound = [r for r in arriving if r[3] % 5]
+    want, _ = simulate(seq.two_tier, [], sound)
+    got = {r["arrival"]: r["reason"] for r in judged.collect()}
+    assert {n: r for n, r in got.items() if n % 5} == want
+    assert {r for n, r in got.items() if n % 5 == 0} == {"PARSE_ERROR"}
+
+
+def test_status_of_a_refused_record_is_its_code(spark):
+    df = trades_df(spark, [("T1", 3, TODAY + DAY, 1), ("T1", 4, TODAY + DAY, 2)])
+    df = df.withColumn("reject_code", F.when(F.col("arrival") == 1, F.lit("CONSTRAINT_NOT_NULL")))
+    judged = version_rules.upsert_status(df, store_df(spark, []), ["arrival"], F.lit(TODAY))
+    assert {r["arrival"]: r["status"] for r in judged.collect()} == {1: "CONSTRAINT_NOT_NULL", 2: "OK"}
 
 
 def test_scope_active_ignores_the_stream_mark(spark):
@@ -184,14 +193,11 @@ def test_scope_active_ignores_the_stream_mark(spark):
     assert spec["reason"] is None
 
 
-def test_one_shuffle_of_the_records(spark):
-    """Level join and window share one exchange of the records, and the scan reads only what is needed."""
+def test_building_a_judgement_runs_no_job(spark):
     df = trades_df(spark, [("T1", 3, TODAY + DAY, 1)])
     levels = spark.createDataFrame([("T1", 9, 2)], LEVELS)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        judged = version_rules.two_tier(df, levels, ["arrival"], F.lit(TODAY))
-        text = judged._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Exchange hashpartitioning") == 2  # records once, levels once
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup()
+    judged = version_rules.two_tier(df, levels, ["arrival"], F.lit(TODAY))
+    assert tracker.getJobIdsForGroup() == before
+    assert judged.first()["reason"] == RULE_1

@@ -158,6 +158,9 @@ class Model:
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         return zstandard.ZstdCompressor(dict_data=held, compression_params=fitted)
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
     def open(self) -> Model:
         self._toxic, self._ordinary = self._compressor(self.toxic), self._compressor(self.ordinary)
         return self
@@ -207,7 +210,6 @@ def train(toxic: list[str], ordinary: list[str]) -> Model | None:
     cut = (best + below.max()) / 2 if len(below) else best
     w[-1] += (np.log(THRESHOLD / (1 - THRESHOLD)) - cut) * model.scale[-1]
     model.weights = w
-    del model._toxic, model._ordinary
     return model
 
 

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.slices import SLICE, SlicePlan, plan_slices, running_max
-
 
 def converge(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Union of the same records from several sources, labelled with ``source_system``."""
@@ -56,26 +54,22 @@ def reconcile_summary(mismatches: DataFrame) -> DataFrame:
     return mismatches.groupBy("status", "differing").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def dedup_ttl(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tie: Sequence[str],
-    ttl_seconds: int,
-    plan: SlicePlan | None = None,
-) -> DataFrame:
+def dedup_ttl(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], ttl_seconds: int) -> DataFrame:
     """Keep a record if no earlier record of its key lies within the TTL before it.
 
-    In time order the previous timestamp is the running maximum, so frequent keys are sliced as in the
-    version rules.  ``tie`` columns make the order total.
+    The previous record that matters lies in the same span of one TTL or in the span before.  Records are put in order inside
+    (key, span), so a key with very many records is as many groups as it has spans; the last time of the span before comes from
+    a grouped maximum.  ``tie`` columns make the order total.
     """
-    order = [ts, *tie]
-    plan = plan or plan_slices(df, keys, order)
-    marked = running_max(plan.tag(df), plan, F.col(ts), "_previous").drop(SLICE)
-    fresh = F.col("_previous").isNull() | (
-        F.col(ts) > F.col("_previous") + F.make_dt_interval(secs=F.lit(ttl_seconds))
-    )
-    return marked.filter(fresh).drop("_previous")
+    spanned = df.withColumn("_span", F.expr(f"unix_micros(cast(`{ts}` AS timestamp)) div {ttl_seconds * 1_000_000}"))
+    inside = Window.partitionBy(*keys, "_span").orderBy(ts, *tie)
+    last = spanned.groupBy(*keys, "_span").agg(F.max(ts).alias("_last"))
+    last = last.select(*[F.col(k).alias(f"_of_{k}") for k in keys], (F.col("_span") + 1).alias("_of_span"), "_last")
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys] + [F.col("_span") == F.col("_of_span")]
+    marked = spanned.withColumn("_previous", F.lag(ts).over(inside)).join(last, same, "left")
+    previous = F.coalesce("_previous", "_last")
+    fresh = previous.isNull() | (F.col(ts) > previous + F.make_dt_interval(secs=F.lit(ttl_seconds)))
+    return marked.filter(fresh).select(*df.columns)
 
 
 def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, ttl: str) -> DataFrame:

@@ -43,7 +43,7 @@ def upsert(
     """Replace or insert accepted records by (trade_id, version).
 
     ``on_expired="reactivate"`` lets a record overwrite an expired row and makes it active again;
-    ``"keep"`` leaves expired rows as they are.  One full outer join, each side read once.
+    ``"keep"`` leaves expired rows as they are.
     """
     if on_expired not in ("reactivate", "keep"):
         raise ValueError(f"on_expired must be 'reactivate' or 'keep', not {on_expired!r}")
@@ -53,18 +53,15 @@ def upsert(
 
 
 def apply_rows(store: DataFrame, rows: DataFrame, on_expired: str = "reactivate") -> DataFrame:
-    """Overlay unique store rows on a store."""
-    values = [c for c in STORE_COLUMNS if c not in KEY]
-    old = store.select(*KEY, F.struct(*values).alias("_old"))
-    new = rows.select(*KEY, F.struct(*values).alias("_new"))
-    winner = F.coalesce("_new", "_old")
+    """Overlay unique store rows on a store.
+
+    The store is only an anti-joined side: Spark can broadcast the keys of a small batch, and then no store row moves.
+    """
+    kept = rows.select(*STORE_COLUMNS)
     if on_expired == "keep":
-        winner = F.when(F.col("_old.expired_flag"), F.col("_old")).otherwise(winner)
-    return (
-        old.join(new, KEY, "full_outer")
-        .withColumn("_row", winner)
-        .select(*KEY, *[F.col(f"_row.{c}").alias(c) for c in values])
-    )
+        expired = store.filter("expired_flag").select(*KEY)
+        kept = kept.join(expired, KEY, "left_anti")
+    return store.select(*STORE_COLUMNS).join(kept.select(*KEY), KEY, "left_anti").select(*STORE_COLUMNS).unionByName(kept)
 
 
 def insert_if_absent(store: DataFrame, rows: DataFrame, order: Sequence[str], now: Column | None = None) -> DataFrame:
@@ -83,20 +80,15 @@ def merge_last_wins(target: DataFrame, source: DataFrame) -> DataFrame:
     """Conditional merge of one-row-per-trade frames.
 
     A source row replaces its target row if neither version nor maturity goes backwards, is inserted
-    if the trade is missing, and is ignored otherwise.
+    if the trade is missing, and is ignored otherwise.  Source rows that lose are found first, by a join that keeps the
+    source; the target is then only anti-joined by what wins.
     """
-    values = [c for c in target.columns if c != "trade_id"]
-    old = target.select("trade_id", F.struct(*values).alias("_old"))
-    new = source.select("trade_id", F.struct(*values).alias("_new"))
-    forward = (F.col("_new.version") >= F.col("_old.version")) & (
-        F.col("_new.maturity_date") >= F.col("_old.maturity_date")
-    )
-    row = F.when(F.col("_old").isNull() | forward, F.col("_new")).otherwise(F.col("_old"))
-    return (
-        old.join(new, "trade_id", "full_outer")
-        .withColumn("_row", F.when(F.col("_new").isNull(), F.col("_old")).otherwise(row))
-        .select("trade_id", *[F.col(f"_row.{c}").alias(c) for c in values])
-    )
+    held = target.select("trade_id", F.col("version").alias("_version"), F.col("maturity_date").alias("_maturity"))
+    held = held.join(source.select("trade_id"), "trade_id", "left_semi")
+    forward = (F.col("version") >= F.col("_version")) & (F.col("maturity_date") >= F.col("_maturity"))
+    wins = source.join(held.withColumn("_there", F.lit(True)), "trade_id", "left")
+    wins = wins.filter(F.col("_there").isNull() | forward).select(*target.columns)
+    return target.join(wins.select("trade_id"), "trade_id", "left_anti").select(*target.columns).unionByName(wins)
 
 
 def expire_matured(store: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import DB_GUARDRAIL, RULE_1, RULE_2
-from tidemark.operators.slices import SLICE, SlicePlan, plan_slices, running_max
+from tidemark.operators.marks import earlier_max
 from tidemark.operators.store import latest_active_version
 from tidemark.schemas import KEY
 
@@ -46,26 +46,13 @@ def _today(as_of: Column | None) -> Column:
     return F.current_date() if as_of is None else as_of
 
 
-def _mark(
-    trades: DataFrame,
-    order: Sequence[str],
-    value: Column,
-    out: str,
-    start: DataFrame | None = None,
-    plan: SlicePlan | None = None,
-) -> DataFrame:
-    """Join the per-trade ``start`` columns and add the running maximum, in one shuffle of ``trades``.
+def _mark(trades: DataFrame, order: Sequence[str], value: Column, out: str, start: DataFrame | None = None) -> DataFrame:
+    """Add the per-trade ``start`` columns and the maximum of ``value`` over the earlier rows of the trade.
 
-    Rows with a ``reject_code`` stay in the frame but outside the rules: they get no start values, raise
-    nothing, and are spread over tasks.
+    Rows with a ``reject_code`` stay in the frame but outside the rules.
     """
     refused = F.col("reject_code").isNotNull() if "reject_code" in trades.columns else None
-    plan = plan or plan_slices(trades, ["trade_id"], order, where=None if refused is None else ~refused)
-    tagged = plan.tag(trades, stray=refused)
-    if start is not None:
-        tagged = tagged.join(plan.spread(start), ["trade_id", SLICE], "left")
-    counted = value if refused is None else F.when(~refused, value)
-    return running_max(tagged, plan, counted, out, stray=refused).drop(SLICE)
+    return earlier_max(trades, "trade_id", order, value, out, start, refused)
 
 
 def _with_code(reason: Column, trades: DataFrame) -> Column:
@@ -78,14 +65,13 @@ def prefilter(
     as_of: Column | None = None,
     state: DataFrame | None = None,
     names: Mapping[str, str] = PREFILTER_REASONS,
-    plan: SlicePlan | None = None,
 ) -> DataFrame:
     """Stream tier: add ``reason`` (null = accepted) and ``seen_version``.
 
     ``state`` (trade_id, seen_version) carries the mark of earlier batches.
     """
     start = None if state is None else state.select("trade_id", F.col("seen_version").alias("_start"))
-    marked = _mark(trades, order, F.col("version"), "_run", start, plan)
+    marked = _mark(trades, order, F.col("version"), "_run", start)
     seen = F.col("_run") if state is None else F.greatest("_run", "_start")
     v = F.col("version")
     matured = F.col("maturity_date") < _today(as_of)
@@ -104,11 +90,10 @@ def guardrail(
     store: DataFrame,
     order: Sequence[str],
     as_of: Column | None = None,
-    plan: SlicePlan | None = None,
 ) -> DataFrame:
     """Store tier alone: add ``reason`` and ``db_error`` for records that meet active rows of the store."""
     levels = latest_active_version(store).withColumn("seen_version", F.lit(None).cast("int"))
-    judged = two_tier(trades, levels, order, as_of, plan=plan, tiers=("store",))
+    judged = two_tier(trades, levels, order, as_of, tiers=("store",))
     return judged.drop("seen_version")
 
 
@@ -117,7 +102,6 @@ def two_tier(
     levels: DataFrame | None,
     order: Sequence[str],
     as_of: Column | None = None,
-    plan: SlicePlan | None = None,
     tiers: Sequence[str] = ("stream", "store"),
 ) -> DataFrame:
     """Both tiers in one pass: add ``reason``, ``seen_version``, ``active_version`` and ``db_error``.
@@ -133,7 +117,7 @@ def two_tier(
             F.col("seen_version").alias("_seen"),
             F.col("active_version").alias("_active"),
         )
-    marked = _mark(trades, order, F.col("version"), "_run", start, plan)
+    marked = _mark(trades, order, F.col("version"), "_run", start)
     if start is None:
         marked = marked.withColumns({"_seen": F.lit(None).cast("int"), "_active": F.lit(None).cast("int")})
     marked = marked.withColumn("seen_version", F.greatest("_run", "_seen")).withColumn(
@@ -186,19 +170,17 @@ def upsert_status(
     store: DataFrame,
     order: Sequence[str],
     as_of: Column | None = None,
-    plan: SlicePlan | None = None,
 ) -> DataFrame:
     """Status per record of an upsert that refuses to touch expired rows: add ``status``.
 
-    A record whose (trade_id, version) is expired in the store never becomes active, so it does not
+    A record that was refused before has its ``reject_code`` as the status.  A record whose (trade_id, version) is expired in the store never becomes active, so it does not
     raise the mark.
     """
-    plan = plan or plan_slices(trades, ["trade_id"], order)
     expired = store.filter("expired_flag").select(*KEY, F.lit(True).alias("_expired_key"))
     keyed = trades.join(expired, KEY, "left")
     blocked = F.coalesce(F.col("_expired_key"), F.lit(False))
     start = latest_active_version(store).withColumnRenamed("active_version", "_active")
-    marked = _mark(keyed, order, F.when(~blocked, F.col("version")), "_run", start, plan)
+    marked = _mark(keyed, order, F.when(~blocked, F.col("version")), "_run", start)
     v, top = F.col("version"), F.greatest("_run", "_active")
     matured = F.col("maturity_date") < _today(as_of)
     status = (
@@ -207,22 +189,21 @@ def upsert_status(
         .when(blocked, F.lit(STATUS[EXPIRED_KEY]))
         .otherwise(F.lit(STATUS_OK))
     )
-    return marked.withColumn("status", status).drop("_run", "_active", "_expired_key")
+    return marked.withColumn("status", _with_code(status, trades)).drop("_run", "_active", "_expired_key")
 
 
 def maturity_regression(
     trades: DataFrame,
     stored: DataFrame,
     order: Sequence[str],
-    plan: SlicePlan | None = None,
 ) -> DataFrame:
     """Reject records that mature before the latest accepted maturity of their trade.
 
     ``stored`` has one row per trade with its ``maturity_date``.  Adds ``floor_maturity`` and ``reason``.
     """
     start = stored.select("trade_id", F.col("maturity_date").alias("_stored"))
-    marked = _mark(trades, order, F.col("maturity_date"), "_run", start, plan)
-    floor = F.greatest("_run", "_stored")
+    marked = _mark(trades, order, F.unix_date("maturity_date"), "_run", start)
+    floor = F.greatest(F.date_from_unix_date("_run"), "_stored")
     return (
         marked.withColumn("floor_maturity", floor)
         .withColumn(

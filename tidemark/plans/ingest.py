@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.envelope import reject_envelope
 from tidemark.operators.canonical import decode_lines
 from tidemark.operators.metrics import outcome_metrics
-from tidemark.operators.slices import plan_slices
 from tidemark.operators.store import as_store_rows, latest_per_key, upsert
 from tidemark.operators.validate import constraint_check
 from tidemark.operators.version_rules import two_tier
@@ -51,8 +50,7 @@ def ingest_batch(
     try:
         sound = F.col("reject_code").isNull()
         levels = table.levels(touched=records.filter(sound), before=batch.seq)
-        plan = plan_slices(records, ["trade_id"], order, where=sound)
-        judged = two_tier(records, levels, order, F.lit(batch.as_of), plan=plan)
+        judged = two_tier(records, levels, order, F.lit(batch.as_of))
         # the other outputs are read back from this table: one evaluation, and lost executors cost no rework
         judged.write.mode("overwrite").parquet(table.path("outcomes", batch=batch.seq))
     finally:
