@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import pathlib
+import tempfile
 import time
 
 from tidemark.checks import queries as q
@@ -49,7 +50,8 @@ HEADLINE = [
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(int(os.environ.get("BENCH_CPUS", "8")), app="tidemark-bench")
+    scratch = tempfile.mkdtemp(prefix="run-")
+    spark = local_session(scratch, int(os.environ.get("BENCH_CPUS", "8")), app="tidemark-bench")
     # start the session's threads and code paths before timing
     views.incoming(spark, sf_dir).limit(1).collect()
 

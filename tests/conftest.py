@@ -12,8 +12,9 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, shuffle_partitions=8, app="tidemark-tests")
+def spark(tmp_path_factory):
+    scratch = str(tmp_path_factory.mktemp("scratch"))
+    session = local_session(scratch, 8, shuffle_partitions=8, app="tidemark-tests")
     yield session
     session.stop()
 

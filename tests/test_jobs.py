@@ -61,7 +61,7 @@ def land(folder, pieces):
 
 def stream(spark, root, pieces, table=None, **kwargs):
     land(f"{root}/landing", pieces)
-    table = table or TradeTable.create(spark, f"{root}/table", fold_every=2)
+    table = table or TradeTable.create(spark, f"{root}/table", compact_every=2)
     lines = streams.line_stream(spark, f"{root}/landing", files_per_batch=1, pattern="*.txt")
     jobs.ingest_stream(lines, table, f"{root}/checkpoint", ORDER, as_of=TODAY, until_empty=True, **kwargs).awaitTermination()
     return table
@@ -106,16 +106,16 @@ def test_any_split_gives_the_same_table(spark, tmp_path, whole, cuts):
     table = stream(spark, tmp_path, pieces)
     assert (snapshot(table), letters(table)) == whole
     if len(cuts) > 2:
-        assert table.epoch().number > 0  # folded on the way
+        assert table.state().snapshot > 0  # compacted on the way
 
 
 def test_failed_batch_is_completed_on_restart(spark, tmp_path, whole, monkeypatch):
     pieces = [LINES[:6], LINES[6:]]
-    table = TradeTable.create(spark, f"{tmp_path}/table", fold_every=50)
+    table = TradeTable.create(spark, f"{tmp_path}/table", compact_every=50)
     real, calls = TradeTable.commit, []
 
     def failing(self, batch):
-        calls.append(batch.seq)
+        calls.append(batch.base)
         if len(calls) == 2:
             raise OSError("storage lost")
         return real(self, batch)
@@ -124,26 +124,26 @@ def test_failed_batch_is_completed_on_restart(spark, tmp_path, whole, monkeypatc
     with pytest.raises(Exception, match="storage lost"):
         stream(spark, tmp_path, pieces, table)
     assert len(snapshot(table)) == 3  # the failed batch is not visible
-    with pytest.raises(RuntimeError, match="not finished"):
-        table.begin("other", 0)
+    assert not table.begin("other", 0).committed  # another source is not held up
     stream(spark, tmp_path, pieces, table)
     assert (snapshot(table), letters(table)) == whole
-    assert calls == [0, 1, 1]
+    assert calls == [-1, 0, 0]
 
 
 def test_repeated_batch_changes_nothing(spark, tmp_path):
-    table = TradeTable.create(spark, f"{tmp_path}/table", fold_every=1)
+    table = TradeTable.create(spark, f"{tmp_path}/table", compact_every=1)
     batch = spark.createDataFrame([(n, t) for n, t in enumerate(LINES) if t], "n int, line string")
-    first = ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, TODAY, raw="line")
+    first = ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, TODAY)
     before = snapshot(table), letters(table)
-    again = ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, datetime.date(2030, 1, 1), raw="line")
+    again = ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, datetime.date(2030, 1, 1))
     assert again.committed and again.as_of == first.as_of == TODAY and again.at == first.at
     assert (snapshot(table), letters(table)) == before
     # also after a fold by another source's batch
     other = spark.createDataFrame([(1, line("Z", 1))], "n int, line string")
-    ingest.ingest_batch(table, ingest.prepare_lines(other), ["n"], "t", 0, TODAY, raw="line")
-    assert table.epoch().number == 1
-    assert ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, TODAY, raw="line").committed
+    ingest.ingest_batch(table, ingest.prepare_lines(other), ["n"], "t", 0, TODAY)
+    assert table.state().snapshot == 1
+    assert table.retire() and snapshot(table) == sorted([*before[0], ("Z", 1, None, "2025-07-01", False)])
+    assert ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, TODAY).committed
 
 
 def test_stream_mark_survives_expiry(spark, tmp_path):
@@ -160,8 +160,11 @@ def test_stream_mark_survives_expiry(spark, tmp_path):
     assert len(letters(table)) == 1
     assert table.lookup("A", 3).first()["maturity_date"] == datetime.date(2025, 7, 1)
     assert table.lookup("A", 2).count() == 0
-    table.delete(spark.createDataFrame([("A",)], "trade_id string"))
-    assert table.read().count() == 0
+    assert spark.read.parquet(f"{tmp_path}/table/accepted").count() == 3  # expiry wrote the one row it changed
+    table.delete(spark.createDataFrame([("A",)], "trade_id string"), "gone-1")
+    assert table.read().count() == 0 and table.lookup("A", 3).count() == 0
+    table.compact()
+    assert table.read().count() == 0 and table.levels().first()["seen_version"] == 3
 
 
 def test_stored_table_equals_one_plan(spark, tmp_path):
@@ -191,36 +194,89 @@ def bulk_rows(spark):
     )
 
 
+BULK_ORDER = {"n": "CAST(get_json_object(line, '$.n') AS INT)"}
+
+
 def test_bulk_ingest_and_repeat(spark, tmp_path):
     table = TradeTable.create(spark, f"{tmp_path}/table")
     path = bulk.stage_bulk(bulk_rows(spark), f"{tmp_path}/stage", "run-1", rows_per_chunk=4)
-    order = [T.StructField("n", T.IntegerType())]
     for _ in range(2):
-        done = bulk.bulk_ingest(spark, table, path, "run-1", order, TODAY, f"{tmp_path}/audit")
+        done = bulk.bulk_ingest(spark, table, path, "run-1", BULK_ORDER, TODAY, f"{tmp_path}/audit")
         assert done == {"seq": 0}
     assert [(r["trade_id"], r["version"]) for r in table.read().collect()] == [("A", 1)]
     assert letters(table) == [(("B", 2), "CONSTRAINT_NOT_NULL")]
     audit = sinks.read_audit(spark, f"{tmp_path}/audit", "run-1")
     assert [r["status"] for r in audit.collect()] == ["SUCCESS", "SUCCESS"]
     with pytest.raises(ValueError, match="no manifest"):
-        bulk.bulk_ingest(spark, table, path, "run-2", order, TODAY, f"{tmp_path}/audit")
+        bulk.bulk_ingest(spark, table, path, "run-2", BULK_ORDER, TODAY, f"{tmp_path}/audit")
     failed = sinks.read_audit(spark, f"{tmp_path}/audit", "run-2").first()
     assert failed["status"] == "FAILED" and "no manifest" in failed["details"]
     assert sinks.recent_audit(sinks.read_audit(spark, f"{tmp_path}/audit"), 1).count() == 1
 
 
+def test_bulk_refuses_bad_records_with_their_text(spark, tmp_path):
+    """A good line, a version that is no number, a payload that is no JSON, the generator's field names, a cut line."""
+    named = {"Trade Id": "G", "Version": 1, "Maturity_Date": "01/07/2025", "Created_Date": "01/01/2025"}
+    lines = [
+        line("A", 1), line("A", "abc"), line("P", 1, payload="not json"), json.dumps(named), line("C", 1)[:30],
+    ]
+    frame = spark.createDataFrame([(text,) for text in lines], "line string")
+    table = TradeTable.create(spark, f"{tmp_path}/table")
+    path = bulk.stage_bulk(frame, f"{tmp_path}/stage", "five")
+    bulk.bulk_ingest(spark, table, path, "five", {"arrival": "line"}, TODAY)
+    assert [(r[0], r[1]) for r in snapshot(table)] == [("A", 1), ("G", 1)]
+    found = dlq.decode_dlq(table.dead_letters()).collect()
+    assert sorted((r["reason"], r["raw"]) for r in found) == sorted(("PARSE_ERROR", lines[k]) for k in (1, 2, 4))
+    assert replay.letter_lines(table).count() == 3
+
+
+def test_sources_commit_beside_each_other(spark, tmp_path):
+    """The stream judges a batch, two loads commit meanwhile, and the stream judges again on top of them."""
+    table = TradeTable.create(spark, f"{tmp_path}/table")
+    one = lambda text: ingest.prepare_lines(spark.createDataFrame([(1, text)], "n int, line string"))
+    real, inner = TradeTable.commit, []
+
+    def interleaved(self, batch):
+        if batch.source == "stream" and not inner:
+            inner.append(batch.base)
+            ingest.ingest_batch(table, one(line("A", 5)), ["n"], "bulk", "load-a", TODAY)
+            ingest.ingest_batch(table, one(line("B", 1)), ["n"], "bulk", "load-b", TODAY)
+        return real(self, batch)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(TradeTable, "commit", interleaved)
+        done = ingest.ingest_batch(table, one(line("A", 3)), ["n"], "stream", 0, TODAY)
+    assert inner == [-1] and done.seq == 2
+    assert [(r[0], r[1]) for r in snapshot(table)] == [("A", 5), ("B", 1)]
+    assert letters(table) == [(("A", 3), "RULE_1_LOWER_VERSION_THAN_ACTIVE")]
+
+
+def test_a_load_is_known_by_its_name(spark, tmp_path):
+    """Two names whose checksums of 32 bits are equal are two loads; a load repeated after a compaction is one."""
+    table = TradeTable.create(spark, f"{tmp_path}/table", compact_every=1)
+    for name, trade in (("plumless", "A"), ("buckeroo", "B"), ("plumless", "A")):
+        frame = spark.createDataFrame([(line(trade, 1),)], "line string")
+        path = bulk.stage_bulk(frame, f"{tmp_path}/{name}", name)
+        bulk.bulk_ingest(spark, table, path, name, {"arrival": "line"}, TODAY)
+    assert [(r[0], r[1]) for r in snapshot(table)] == [("A", 1), ("B", 1)]
+    assert table.metrics().filter("outcome = 'ALL'").agg(F.sum("records")).first()[0] == 2
+
+
 def test_manifest_checks(spark, tmp_path):
     path = bulk.stage_bulk(bulk_rows(spark), f"{tmp_path}/stage", "run-1", rows_per_chunk=4)
     manifest = files.read_manifest(spark, path, "run-1")
-    row = manifest.first()
-    assert row["rows"] == 26 and row["chunkCount"] == len(row["chunk_paths"]) >= 7
-    per_chunk = spark.read.text(row["chunk_paths"]).groupBy("_metadata.file_path").count()
-    assert max(r["count"] for r in per_chunk.collect()) <= 4
-    schema = bulk_rows(spark).schema
-    assert files.read_chunks(spark, manifest, schema).count() == 26
-    wrong = manifest.withColumn("rows", F.lit(27).cast("long"))
-    with pytest.raises(ValueError, match="promises 27"):
-        files.read_chunks(spark, wrong, schema)
+    listed = manifest.collect()
+    assert {r["total_rows"] for r in listed} == {26} and {r["chunk_count"] for r in listed} == {len(listed)} and len(listed) >= 7
+    assert max(r["rows"] for r in listed) <= 4 and sum(r["rows"] for r in listed) == 26
+    assert files.read_chunks(spark, manifest).count() == 26
+    for broken, text in (
+        (manifest.withColumn("total_rows", F.lit(27).cast("long")), "promises 27"),
+        (manifest.withColumn("checksum", F.lit("WRONG")), "checksum"),
+        (manifest.filter(F.col("chunk_path") != listed[0]["chunk_path"]), "promises"),
+        (manifest.withColumn("chunk_path", F.concat("chunk_path", F.lit("x"))), "differ"),
+    ):
+        with pytest.raises(ValueError, match=text):
+            files.read_chunks(spark, broken)
     with pytest.raises(ValueError, match="required"):
         files.read_manifest(spark, path, "")
 
@@ -253,31 +309,31 @@ def test_start_at_latest_files(spark, tmp_path):
     assert table.read().count() == 0
 
 
-def test_folds_merge_runs_and_leave_a_large_base(spark, tmp_path):
-    """Small batches on a large base make runs; the base is not rewritten, and reads see everything."""
+def test_small_batches_leave_the_snapshot_alone(spark, tmp_path):
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORE.fields)
     stamp, far = datetime.datetime(2025, 1, 1), datetime.date(2030, 1, 1)
     held = [(f"B{k}", 1, None, "old", far, far, "{}", False, stamp) for k in range(200)]
-    table = TradeTable.create(spark, f"{tmp_path}/table", spark.createDataFrame(held, columns), fold_every=1)
+    table = TradeTable.create(spark, f"{tmp_path}/table", spark.createDataFrame(held, columns))
     for k in range(4):
         texts = [line(f"B{k}", 1, book_id=f"new{k}"), line("B9", 1, book_id=f"new{k}"), line("B7", 0)]
         df = spark.createDataFrame(list(enumerate(texts)), "n int, line string")
         ingest.ingest_batch(table, ingest.prepare_lines(df), ["n"], "s", k, TODAY)
-    epoch = table.epoch()
-    assert (epoch.number, epoch.base) == (3, 0)
-    assert 1 <= len(epoch.runs) <= 2
+    state = table.state()
+    assert (state.snapshot, state.last, len(state.since)) == (0, 3, 4)
     rows = {r["trade_id"]: r["book_id"] for r in table.read().collect()}
     assert len(rows) == 200 == table.read().count()
     assert {t: b for t, b in rows.items() if b != "old"} == {"B0": "new0", "B1": "new1", "B2": "new2", "B3": "new3", "B9": "new3"}
     assert len(letters(table)) == 4
-    assert table.rewrite().base == 4
+    text = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in text
+    assert table.compact().snapshot == 1 and table.state().since == {}
     assert {r["trade_id"]: r["book_id"] for r in table.read().collect()} == rows
 
 
 def test_replay_of_dead_letters(spark, tmp_path):
     table = TradeTable.create(spark, f"{tmp_path}/table")
     batch = spark.createDataFrame([(n, t) for n, t in enumerate(LINES) if t], "n int, line string")
-    ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, TODAY, raw="line")
+    ingest.ingest_batch(table, ingest.prepare_lines(batch), ["n"], "s", 0, TODAY)
     before = snapshot(table)
     lines = replay.letter_lines(table, ["CONSTRAINT_NOT_NULL", "PARSE_ERROR"])
     assert lines.count() == 3

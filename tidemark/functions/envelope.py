@@ -27,10 +27,11 @@ def trade_struct(columns: list[str] | None = None, payload_as_object: bool = Tru
     return F.struct(*fields)
 
 
-def reject_envelope(at: Column, raw: str | None = None) -> Column:
+def reject_envelope(at: Column, raw: str) -> Column:
     """DLQ message text for a row carrying ``reason``, ``seen_version`` and ``db_error``.
 
-    Fields that do not apply are null and ``to_json`` leaves them out.
+    ``raw`` is the column with the record's own text.  A record that could not be read has it instead of the trade, so nothing
+    is lost and a repaired record can be replayed.  Fields that do not apply are null and ``to_json`` leaves them out.
     """
     reason = F.col("reason")
     by_sink = reason.isin(DB_GUARDRAIL, PARSE_ERROR, NOT_NULL)
@@ -42,9 +43,8 @@ def reject_envelope(at: Column, raw: str | None = None) -> Column:
         F.when(~by_sink, at).alias("detected_at"),
         F.when(reason == DB_GUARDRAIL, F.col("db_error")).alias("db_error"),
         F.when(by_sink, at).alias("rejected_at"),
+        F.when(unreadable, F.col(raw)).alias("raw"),
     ]
-    if raw is not None:
-        fields.append(F.when(unreadable, F.col(raw)).alias("raw"))
     return F.to_json(F.struct(*fields))
 
 
@@ -52,7 +52,7 @@ def accept_envelope(at: Column) -> Column:
     return F.to_json(F.struct(trade_struct().alias("trade"), at.alias("accepted_at")))
 
 
-def route_tagged(judged: DataFrame, at: Column, raw: str | None = None) -> DataFrame:
+def route_tagged(judged: DataFrame, at: Column, raw: str) -> DataFrame:
     """(route, value): ``dlq`` with the reject envelope, ``accept`` with the accept envelope."""
     refused = F.col("reason").isNotNull()
     return judged.select(

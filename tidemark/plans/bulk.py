@@ -4,29 +4,24 @@ from __future__ import annotations
 
 import datetime
 import json
-import zlib
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.envelope import PARSE_ERROR
-from tidemark.operators.canonical import canonicalize
-from tidemark.operators.validate import constraint_check
-from tidemark.plans.ingest import ingest_batch
+from tidemark.plans.ingest import ingest_batch, prepare_lines
 from tidemark.plans.table import TradeTable
-from tidemark.schemas import WIRE
 from tidemark.sinks.files import BULK_CHUNK, append_audit, build_manifest, write_records
 from tidemark.sources.files import read_chunks, read_manifest
 
 
 def stage_bulk(records: DataFrame, folder: str, correlation_id: str, rows_per_chunk: int = BULK_CHUNK) -> str:
-    """Write records as chunk files with a manifest; returns the manifest's path."""
-    write_records(records, f"{folder}/chunks", "json", rows_per_chunk)
-    scan = records.sparkSession.read.schema(records.schema).json(f"{folder}/chunks")
+    """Write records as chunk files with a manifest; returns the manifest's path.
+
+    A frame with a single ``line`` column is written as it stands, any other as JSON lines.
+    """
+    write_records(records, f"{folder}/chunks", "text" if records.columns == ["line"] else "json", rows_per_chunk)
     path = f"{folder}/manifest"
-    build_manifest(scan, correlation_id, path).write.mode("overwrite").json(path)
+    build_manifest(records.sparkSession, f"{folder}/chunks", correlation_id, path).write.mode("overwrite").json(path)
     return path
 
 
@@ -35,31 +30,24 @@ def bulk_ingest(
     table: TradeTable,
     manifest_path: str,
     correlation_id: str,
-    order: Sequence[T.StructField],
+    order: dict[str, str],
     as_of: datetime.date | None = None,
     audit_path: str | None = None,
 ) -> dict:
     """Read a manifest's chunks, judge them against the table, commit, and audit.
 
-    ``order`` gives the fields of the chunk records, beyond the wire format, that order them.  Running the
-    same correlation id again changes nothing.
+    Chunks are read as lines and take the stream's way: the same aliases, parse and payload checks, and dead letters with the
+    record's text.  ``order`` names the columns that order the records, as SQL over ``line``.  The correlation id
+    is the batch's name in the commit, so running it again changes nothing.
     """
-    job_id = zlib.crc32(correlation_id.encode())
-    names = [f.name for f in order]
     status, details = "FAILED", {}
     try:
-        seq = table.loaded(correlation_id)
-        if seq is None:
-            manifest = read_manifest(spark, manifest_path, correlation_id)
-            scan = read_chunks(spark, manifest, T.StructType([*WIRE.fields, *order]))
-            records = canonicalize(scan, keep=names)
-            bad_version = F.when(F.col("version").isNull(), F.lit(PARSE_ERROR))
-            records = constraint_check(records.withColumn("reject_code", bad_version))
-            seq = ingest_batch(table, records, names, "bulk", job_id, as_of).seq
-            table.note_load(correlation_id, seq)
-        status, details = "SUCCESS", {"seq": seq}
+        manifest = read_manifest(spark, manifest_path, correlation_id)
+        lines = read_chunks(spark, manifest).withColumns({name: F.expr(text) for name, text in order.items()})
+        done = ingest_batch(table, prepare_lines(lines), list(order), "bulk", correlation_id, as_of)
+        status, details = "SUCCESS", {"seq": done.seq}
     except Exception as problem:
-        details = {"error": str(problem)[:500]}
+        details = {"error": str(problem)}
         raise
     finally:
         if audit_path:
@@ -68,7 +56,7 @@ def bulk_ingest(
                 audit_path,
                 correlation_id,
                 status,
-                job_id=f"bulk-{job_id}",
+                job_id=f"bulk-{correlation_id}",
                 manifest_path=manifest_path,
                 details=json.dumps(details),
             )

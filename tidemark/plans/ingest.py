@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +16,7 @@ from tidemark.operators.metrics import outcome_metrics
 from tidemark.operators.store import as_store_rows, latest_per_key, upsert
 from tidemark.operators.validate import constraint_check
 from tidemark.operators.version_rules import two_tier
-from tidemark.plans.table import SEQ, Batch, TradeTable
+from tidemark.plans.table import GONE, Batch, TradeTable
 from tidemark.schemas import ATTRIBUTES, KEY, STORE, TRADE_COLUMNS
 
 
@@ -30,61 +30,59 @@ def ingest_batch(
     records: DataFrame,
     order: Sequence[str],
     source: str,
-    source_batch: int,
+    name: str | int,
     as_of: datetime.date | None = None,
-    raw: str | None = None,
+    raw: str = "line",
+    arrived: str | None = None,
 ) -> Batch:
     """Judge a batch of prepared records and commit its outcome.
 
-    A batch that was committed before is left alone.  Dates and times are those pinned at the first
-    attempt, so a repeat writes the same rows to the same paths.
+    ``name`` tells the batch apart from others of its source; one that was committed before is left alone.  Dates and times
+    are those pinned at the first attempt, so a repeat writes the same rows to the same paths.  ``raw`` is the column with the
+    record's own text, which dead letters need; ``arrived`` one with its arrival time, for the lag.
     """
-    batch = table.begin(source, source_batch, as_of)
-    if batch.committed:
-        return batch
-    columns = [*TRADE_COLUMNS, *order, "reject_code", *([raw] if raw else [])]
+    columns = list(dict.fromkeys([*TRADE_COLUMNS, *order, "reject_code", raw, *([arrived] if arrived else [])]))
     if "reject_code" not in records.columns:
         records = constraint_check(records)
-    # read by the sketch, the level lookup and the judgement
-    records = records.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sound = F.col("reject_code").isNull()
-        levels = table.levels(touched=records.filter(sound), before=batch.seq)
-        judged = two_tier(records, levels, order, F.lit(batch.as_of))
+    batch = table.begin(source, name, as_of)
+    if batch.committed:
+        return batch
+    # read for the levels and for the judgement, and once more if another batch commits first
+    prepared = table.path("prepared", batch.key)
+    records.select(*columns).write.mode("overwrite").parquet(prepared)
+    held = table.spark.read.parquet(prepared)
+
+    def judge(batch: Batch) -> None:
+        levels = table.levels(touched=held.filter("reject_code IS NULL"))
+        judged = two_tier(held, levels, order, F.lit(batch.as_of))
         # the other outputs are read back from this table: one evaluation, and lost executors cost no rework
-        judged.write.mode("overwrite").parquet(table.path("outcomes", batch=batch.seq))
-    finally:
-        records.unpersist()
-    _write_outputs(table, batch, order, raw)
-    table.commit(batch)
-    return batch
+        judged.write.mode("overwrite").parquet(table.path("outcomes", batch.key))
+        _write_outputs(table, batch, order, raw, arrived)
+
+    return table.apply(source, name, judge, as_of)
 
 
-def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: str | None) -> None:
+def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: str, arrived: str | None) -> None:
     at = F.lit(batch.at)
-    judged = table.spark.read.parquet(table.path("outcomes", batch=batch.seq))
+    judged = table.spark.read.parquet(table.path("outcomes", batch.key))
     accepted = judged.filter(F.col("reason").isNull())
     rejected = judged.filter(F.col("reason").isNotNull())
 
     latest = latest_per_key(accepted, KEY, order, [*KEY, *ATTRIBUTES])
-    rows = as_store_rows(latest, at).withColumn(SEQ, F.lit(batch.seq).cast("long"))
+    rows = as_store_rows(latest, at).withColumn(GONE, F.lit(False))
     valid = judged.filter(F.col("reject_code").isNull())
-    marks = valid.groupBy("trade_id").agg(
-        # a judged row's seen_version already covers the earlier batches
-        F.max(F.greatest("version", "seen_version")).alias("seen_version"),
-        F.max(F.when(F.col("reason").isNull(), F.col("version"))).alias("active_version"),
-    )
+    # a judged row's seen_version already covers the earlier batches
+    marks = valid.groupBy("trade_id").agg(F.max(F.greatest("version", "seen_version")).alias("seen_version"))
     letters = rejected.select(reject_envelope(at, raw).alias("value"))
-    arrived = F.col("file_time") if "file_time" in order else F.lit(None).cast("timestamp")
-    counts = outcome_metrics(judged, arrived=arrived, now=at).withColumns(
+    came = F.col(arrived) if arrived else F.lit(None).cast("timestamp")
+    counts = outcome_metrics(judged, arrived=came, now=at).withColumns(
         {"source": F.lit(batch.source), "at": at, "as_of": F.lit(batch.as_of)}
     )
     # independent small jobs, so they are submitted together
     writes = [
-        lambda: rows.write.mode("overwrite").parquet(table.path("accepted", batch=batch.seq)),
-        lambda: marks.write.mode("overwrite").parquet(table.path("marks", batch=batch.seq)),
-        lambda: letters.write.mode("overwrite").text(table.path("dlq", batch=batch.seq)),
-        lambda: counts.write.mode("overwrite").parquet(table.path("metrics", batch=batch.seq)),
+        lambda: table.write_changes(batch, rows, marks),
+        lambda: letters.write.mode("overwrite").text(table.path("dlq", batch.key)),
+        lambda: counts.write.mode("overwrite").parquet(table.path("metrics", batch.key)),
     ]
     with ThreadPoolExecutor(len(writes)) as pool:
         for done in [pool.submit(inheritable_thread_target(table.spark)(w)) for w in writes]:

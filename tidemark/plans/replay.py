@@ -11,22 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.plans.ingest import ingest_batch, prepare_lines
 from tidemark.plans.table import Batch, TradeTable
 from tidemark.sources.dlq import decode_dlq
-from tidemark.sources.streams import with_row_id
 
-ORDER = ["batch", "file_path", "block_start", "row_id"]
+ORDER = ["batch", "file_path", "file_block_start", "row_id"]
 
 
 def letter_lines(table: TradeTable, reasons: Sequence[str] | None = None) -> DataFrame:
     """The records inside a table's dead letters as lines, in their order, optionally of some reasons only."""
-    text = with_row_id(
-        table.dead_letters().select(
-            "value",
-            "batch",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-        )
-    )
-    letters = decode_dlq(text)
+    letters = decode_dlq(table.dead_letters())
     if reasons is not None:
         letters = letters.filter(F.col("reason").isin(list(reasons)))
     return letters.select(F.coalesce("raw", F.to_json("trade")).alias("line"), *ORDER)
@@ -44,4 +35,4 @@ def replay_letters(
     ``lines`` comes from ``letter_lines``, repaired as needed.  ``number`` names the replay; the same number
     is not applied twice.  Letters refused again become new dead letters.
     """
-    return ingest_batch(table, prepare_lines(lines), ORDER, source, number, as_of, raw="line")
+    return ingest_batch(table, prepare_lines(lines), ORDER, source, number, as_of)

@@ -1,317 +1,340 @@
-"""The trade table on storage: a base, a few merged runs, small per-batch additions, and a journal.
-
-Layout under the table's root (``E`` is an epoch, ``S`` a batch number, ``B`` a hash bucket):
-
-================================  ====================================================================
-``epochs/``                       one row per epoch: what base and runs it consists of
-``journal/epoch=E/``              begin and commit rows of batches; pins each batch's date and time
-``base/id=E/store/bucket=B/``     the store as of epoch E
-``base/id=E/levels/bucket=B/``    (trade_id, seen_version, active_version) as of epoch E
-``runs/id=E/accepted|marks/``     additions of many batches, merged when epoch E began
-``accepted/batch=S/``             store rows added by a batch, one per primary key
-``marks/batch=S/``                new levels of the trades a batch touched
-``outcomes/batch=S/``             every record of a batch with its reason
-``dlq/batch=S/``                  dead letters, JSON text
-``metrics/batch=S/``              outcome counts
-``loads/``                        correlation ids of finished bulk loads
-================================  ====================================================================
-
-A batch writes only to paths fixed by its number and reads only committed batches, so running it again
-after a failure gives the same table.  The table has one writer at a time.
-
-Every ``fold_every`` batches a new epoch merges the batches' additions into a run.  A run is merged with
-the run before it, or with the base, only once it has grown to half of that one's rows.  So a row is
-rewritten a logarithmic number of times, a read meets a logarithmic number of runs, and a large base is
-not rewritten for small batches.  Folders that an epoch no longer names can be removed when no reader
-of an older epoch is left.
+"""The trade table on storage: one snapshot, a folder per batch, one commit marker per batch, and a compaction job.
+
+Layout under the table's root (``K`` is a batch's key, made from its source and its number or name):
+
+=====================================  =================================================================
+``snapshot=N/store|seen|commits/``     the table as of N: store rows and stream marks by bucket, batches folded in
+``begun/batch=K/``                     pins a batch's business date and time at its first attempt
+``accepted|marks/batch=K/``            store rows that a batch changes, and the stream marks of its trades
+``outcomes|dlq|metrics/batch=K/``      its records with their reasons, dead letters, counts
+``commits/S``                          marker of the S-th commit: which batch it was
+``snapshots/N``                        marker of a snapshot: the commits it has folded in
+=====================================  =================================================================
+
+A marker is a small file that is created only if it does not exist.  That is all that writers share, so several sources may
+run at once: a writer judges its batch against the commits it has seen, and if another one commits first, it finds its
+marker's number taken, reads the levels of its trades again, and judges once more.  Readers open what markers name.  A batch
+writes to folders fixed by its key, so running it again after a failure gives the same table.
+
+``compact`` writes the next snapshot with one plan; ``retire`` removes what no marker needs any more.
 """
 
 from __future__ import annotations
 
 import datetime
+import hashlib
 import json
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import PARTITIONS, bucket_of
-from tidemark.operators.store import (
-    apply_rows,
-    delete_trades,
-    expire_matured,
-    hash_layout,
-    latest_active_version,
-    latest_per_key,
-    lookup,
-)
-from tidemark.schemas import KEY, LEVELS, STORE, STORE_COLUMNS
+from tidemark.operators.store import apply_rows, expire_matured, hash_layout, latest_active_version, latest_per_key, lookup
+from tidemark.schemas import KEY, STORE, STORE_COLUMNS
 from tidemark.session import no_rows, one_row
 
-_EPOCHS = "epoch long, folded long, base long, base_rows long, runs string"
-_LOADS = "correlation_id string, seq long"
-_JOURNAL = "source string, source_batch long, seq long, phase string, as_of date, at timestamp"
-
-SEQ = "seq"
-ACCEPTED = T.StructType([*STORE.fields, T.StructField(SEQ, T.LongType())])
+BATCH, GONE = "batch", "gone"
+CHANGES = T.StructType([*STORE.fields, T.StructField(GONE, T.BooleanType())])
+_SEEN = "trade_id string, seen_version int"
+_COMMITS = "batch string, seq long, as_of date, at timestamp"
 
 
 @dataclass(frozen=True)
 class Batch:
-    """A begun batch with its pinned number, business date and time."""
+    """A begun batch with its pinned business date and time; ``base`` is the last commit it was judged against."""
 
+    key: str
     source: str
-    source_batch: int
-    seq: int
-    epoch: int
     as_of: datetime.date
     at: datetime.datetime
-    committed: bool = False
+    base: int = -1
+    seq: int | None = None
+
+    @property
+    def committed(self) -> bool:
+        return self.seq is not None
 
 
 @dataclass(frozen=True)
-class Epoch:
-    """What the table consists of: a base, runs as (id, rows) from old to new, and batches above ``folded``."""
+class State:
+    """What a reader sees: a snapshot, the last commit folded into it, and the batches committed since, in their order."""
 
-    number: int
+    snapshot: int
     folded: int
-    base: int
-    base_rows: int
-    runs: tuple[tuple[int, int], ...] = ()
+    last: int
+    since: dict[str, int] = field(default_factory=dict)
+
+
+def batch_key(source: str, name: str | int) -> str:
+    return hashlib.sha256(json.dumps([source, str(name)]).encode()).hexdigest()[:32]
 
 
 class TradeTable:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = PARTITIONS, fold_every: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = PARTITIONS, compact_every: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
-        self.fold_every = fold_every
+        self.compact_every = compact_every
 
-    def path(self, kind: str, epoch: int | None = None, batch: int | None = None) -> str:
-        parts = [self.root, kind]
-        if epoch is not None:
-            parts.append(f"epoch={epoch}")
-        if batch is not None:
-            parts.append(f"batch={batch}")
-        return "/".join(parts)
+    def path(self, kind: str, key: str | None = None) -> str:
+        return f"{self.root}/{kind}" + (f"/{BATCH}={key}" if key else "")
 
     @classmethod
     def create(
-        cls,
-        spark: SparkSession,
-        root: str,
-        store: DataFrame | None = None,
-        buckets: int = PARTITIONS,
-        fold_every: int = 64,
+        cls, spark: SparkSession, root: str, store: DataFrame | None = None, buckets: int = PARTITIONS, compact_every: int = 64
     ) -> TradeTable:
         """Start a table, empty or from a frame of store rows unique by primary key."""
-        table = cls(spark, root, buckets, fold_every)
+        table = cls(spark, root, buckets, compact_every)
         rows = no_rows(spark, STORE) if store is None else store.select(*STORE_COLUMNS)
-        no_rows(spark, _LOADS).write.mode("overwrite").parquet(table.path("loads"))
-        no_rows(spark, "value string").write.mode("overwrite").text(table.path("dlq", batch=-1))
-        written = table._write_base(0, rows, no_rows(spark, LEVELS))
-        table._start_epoch(Epoch(0, -1, 0, written), [])
+        table._write_snapshot(0, rows, no_rows(spark, _SEEN), no_rows(spark, _COMMITS))
+        no_rows(spark, "value string").write.mode("overwrite").text(table.path("dlq", "none"))
+        table._mark("snapshots/0", {"folded": -1})
         return table
 
-    # ---- epochs -------------------------------------------------------------------------------------
-
-    def epoch(self) -> Epoch:
-        rows = self.spark.read.schema(_EPOCHS).parquet(self.path("epochs"))
-        r = rows.agg(F.max(F.struct(*rows.columns)).alias("m")).first()["m"]
-        runs = tuple(tuple(run) for run in json.loads(r["runs"]))
-        return Epoch(r["epoch"], r["folded"], r["base"], r["base_rows"], runs)
-
-    def _start_epoch(self, epoch: Epoch, carried: list[tuple]) -> None:
-        """Make an epoch current; its row is written last."""
-        journal = no_rows(self.spark, _JOURNAL)
-        for row in carried:
-            journal = journal.unionByName(one_row(self.spark, _JOURNAL, row))
-        journal.coalesce(1).write.mode("overwrite").parquet(self.path("journal", epoch.number))
-        row = (epoch.number, epoch.folded, epoch.base, epoch.base_rows, json.dumps(epoch.runs))
-        one_row(self.spark, _EPOCHS, row).write.mode("append").parquet(self.path("epochs"))
-
-    def _write_base(self, base: int, store: DataFrame, levels: DataFrame) -> int:
-        """Write a base and return its number of rows.  Active versions are taken from the store itself."""
-        root = f"{self.path('base')}/id={base}"
-        laid = hash_layout(store, self.buckets).hint("rebalance", "bucket")
-        laid.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/store")
-        written = self._base("store", base, STORE)
-        active = latest_active_version(written)
-        merged = levels.select("trade_id", "seen_version").join(active, "trade_id", "full_outer").select(*LEVELS.names)
-        placed = merged.withColumn("bucket", bucket_of(F.col("trade_id"), self.buckets)).hint("rebalance", "bucket")
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/levels")
-        return written.count()
-
-    def fold(self) -> Epoch:
-        """Start a new epoch that merges the additions of the committed batches."""
-        old = self.epoch()
-        through = self._committed(old)
-        fresh = self._accepted_frame([self.path("accepted", batch=s) for s in range(old.folded + 1, through + 1)])
-        size, keep = fresh.count(), list(old.runs)
-        merged = []
-        while keep and keep[-1][1] <= 2 * size:
-            run = keep.pop()
-            merged.append(run[0])
-            size += run[1]
-        if not keep and old.base_rows <= 2 * size:
-            return self.rewrite()
-        number = old.number + 1
-        accepted = [f"{self.path('runs')}/id={r}/accepted" for r in merged]
-        accepted += [self.path("accepted", batch=s) for s in range(old.folded + 1, through + 1)]
-        marks = [f"{self.path('runs')}/id={r}/marks" for r in merged]
-        marks += [self.path("marks", batch=s) for s in range(old.folded + 1, through + 1)]
-        run = f"{self.path('runs')}/id={number}"
-        newest = latest_per_key(self._accepted_frame(accepted), KEY, [SEQ], ACCEPTED.names)
-        newest.write.mode("overwrite").parquet(f"{run}/accepted")
-        _top_levels(self._marks_frame(marks)).write.mode("overwrite").parquet(f"{run}/marks")
-        rows = self._accepted_frame([f"{run}/accepted"]).count()
-        epoch = Epoch(number, through, old.base, old.base_rows, (*keep, (number, rows)))
-        self._start_epoch(epoch, self._last_commits(old))
-        return epoch
-
-    def rewrite(self, change: Callable[[DataFrame], DataFrame] | None = None) -> Epoch:
-        """Start a new epoch with one base: the current store, changed by ``change``."""
-        old = self.epoch()
-        store = self.read()
-        number = old.number + 1
-        rows = self._write_base(number, change(store) if change else store, self.levels())
-        epoch = Epoch(number, self._committed(old), number, rows)
-        self._start_epoch(epoch, self._last_commits(old))
-        return epoch
-
-    def expire(self, as_of: datetime.date | None = None) -> Epoch:
-        """Overnight expiry; run between batches."""
-        day = F.current_date() if as_of is None else F.lit(as_of)
-        return self.rewrite(lambda store: expire_matured(store, day))
-
-    def delete(self, trade_ids: DataFrame) -> Epoch:
-        return self.rewrite(lambda store: delete_trades(store, trade_ids))
-
-    # ---- journal ------------------------------------------------------------------------------------
-
-    def _journal(self, epoch: int) -> list:
-        """Begin and commit rows of the epoch: two per batch since the last fold."""
-        return self.spark.read.schema(_JOURNAL).parquet(self.path("journal", epoch)).collect()
-
-    def _last_commits(self, epoch: Epoch) -> list[tuple]:
-        """The last committed batch of every source, carried over so that a late repeat is recognised."""
-        last: dict[str, dict[str, tuple]] = {}
-        for row in sorted(self._journal(epoch.number), key=lambda r: r["seq"]):
-            last.setdefault(row["source"], {})[row["phase"]] = tuple(row)
-        return [r for phases in last.values() for r in phases.values()]
-
-    def _note(self, batch: Batch, phase: str) -> None:
-        row = (batch.source, batch.source_batch, batch.seq, phase, batch.as_of, batch.at)
-        one_row(self.spark, _JOURNAL, row).write.mode("append").parquet(self.path("journal", batch.epoch))
-
-    def begin(self, source: str, source_batch: int, as_of: datetime.date | None = None) -> Batch:
+    # ---- markers ------------------------------------------------------------------------------------
+
+    def _files(self):
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        return jvm.org.apache.hadoop.fs.Path, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _mark(self, name: str, content: dict) -> bool:
+        """Create a marker, whole or not at all; False if it exists."""
+        path, files = self._files()
+        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+        place, draft = path(f"{self.root}/{name}"), path(f"{self.root}/drafts/{uuid.uuid4().hex}")
+        out = files.create(draft, False)
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
+        files.mkdirs(place.getParent())
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), files.getConf())
+        plain = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(draft, place, plain)  # refuses to replace
+        except Exception:
+            if not files.exists(place):
+                raise
+            files.delete(draft, False)
+            return False
+        return True
+
+    def _numbers(self, folder: str) -> list[int]:
+        path, files = self._files()
+        place = path(f"{self.root}/{folder}")
+        names = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def _markers(self, folder: str, above: int = -1) -> dict[int, dict]:
+        """Contents of a folder's markers by number: one file per commit since the last snapshot."""
+        path, files = self._files()
+        read = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString
+        found = {}
+        for n in self._numbers(folder):
+            if n > above:
+                stream = files.open(path(f"{self.root}/{folder}/{n}"))
+                found[n] = json.loads(read(stream, "UTF-8"))
+                stream.close()
+        return found
+
+    def state(self) -> State:
+        snapshot, marker = max(self._markers("snapshots", self._numbers("snapshots")[-1] - 1).items())
+        commits = self._markers("commits", marker["folded"])
+        return State(snapshot, marker["folded"], max([marker["folded"], *commits]), {c["batch"]: n for n, c in commits.items()})
+
+    # ---- batches ------------------------------------------------------------------------------------
+
+    def _committed(self, key: str, state: State) -> int | None:
+        if key in state.since:
+            return state.since[key]
+        folded = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits")
+        row = folded.filter(F.col("batch") == key).first()
+        return None if row is None else row["seq"]
+
+    def begin(self, source: str, name: str | int, as_of: datetime.date | None = None) -> Batch:
         """Start a batch, or resume it with the date and time pinned at its first attempt."""
-        epoch = self.epoch()
-        rows = self._journal(epoch.number)
-        done = {(r["source"], r["source_batch"]) for r in rows if r["phase"] == "commit"}
-        begun = {(r["source"], r["source_batch"]): r for r in rows if r["phase"] == "begin"}
-        mine = (source, source_batch)
-        if mine in begun:
-            r = begun[mine]
-            return Batch(source, source_batch, r["seq"], epoch.number, r["as_of"], r["at"], committed=mine in done)
-        unfinished = sorted(set(begun) - done)
-        if unfinished:
-            raise RuntimeError(f"batch {unfinished[0]} was begun and not finished; run it again first")
-        seq = max([epoch.folded, *[r["seq"] for r in rows]]) + 1
-        if seq - epoch.folded > self.fold_every:
-            epoch = self.fold()
-        now = datetime.datetime.now().replace(microsecond=0)
-        batch = Batch(source, source_batch, seq, epoch.number, as_of or now.date(), now)
-        self._note(batch, "begin")
+        key = batch_key(source, name)
+        path, files = self._files()
+        pinned = self.path("begun", key)
+        if not files.exists(path(f"{pinned}/_SUCCESS")):
+            clock = self.spark.range(1).select(F.current_date().alias("d"), F.current_timestamp().alias("t")).first()
+            at = clock["t"].replace(microsecond=0)
+            row = one_row(self.spark, "as_of date, at timestamp", (as_of or clock["d"], at))
+            row.write.mode("overwrite").parquet(pinned)
+        row = self.spark.read.schema("as_of date, at timestamp").parquet(pinned).first()
+        state = self.state()
+        return Batch(key, source, row["as_of"], row["at"], state.last, self._committed(key, state))
+
+    def commit(self, batch: Batch) -> Batch | None:
+        """Make a batch part of the table; None if another batch was committed after ``batch.base``: judge again."""
+        seq = batch.base + 1
+        content = {"batch": batch.key, "as_of": str(batch.as_of), "at": batch.at.isoformat()}
+        if not self._mark(f"commits/{seq}", content):
+            return None
+        return Batch(batch.key, batch.source, batch.as_of, batch.at, batch.base, seq)
+
+    def apply(self, source: str, name: str | int, judge: Callable[[Batch], None], as_of: datetime.date | None = None) -> Batch:
+        """Begin a batch, let ``judge`` write its folders, and commit it; again as often as others commit first."""
+        batch = self.begin(source, name, as_of)
+        while not batch.committed:
+            judge(batch)
+            batch = self.commit(batch) or self.begin(source, name)
+        state = self.state()
+        if len(state.since) > self.compact_every:
+            self.compact()
         return batch
 
-    def commit(self, batch: Batch) -> None:
-        self._note(batch, "commit")
-
-    def _committed(self, epoch: Epoch) -> int:
-        return max([epoch.folded, *[r["seq"] for r in self._journal(epoch.number) if r["phase"] == "commit"]])
-
-    def loaded(self, correlation_id: str) -> int | None:
-        """Batch number of a finished bulk load, or None."""
-        rows = self.spark.read.schema(_LOADS).parquet(self.path("loads"))
-        row = rows.filter(F.col("correlation_id") == correlation_id).first()
-        return None if row is None else row["seq"]
-
-    def note_load(self, correlation_id: str, seq: int) -> None:
-        row = one_row(self.spark, _LOADS, (correlation_id, seq))
-        row.write.mode("append").parquet(self.path("loads"))
+    def expire(self, as_of: datetime.date | None = None) -> Batch:
+        """Overnight expiry: one batch of the newly matured rows alone."""
+
+        def judge(batch: Batch) -> None:
+            active = self.read().filter("NOT expired_flag")
+            due = expire_matured(active, F.lit(batch.as_of)).filter("expired_flag")
+            self.write_changes(batch, due.withColumn(GONE, F.lit(False)))
+
+        day = as_of or self.spark.range(1).select(F.current_date().alias("d")).first()["d"]
+        return self.apply("expire", str(day), judge, day)
+
+    def delete(self, trade_ids: DataFrame, name: str) -> Batch:
+        """Remove all versions of the listed trades, as one batch of their rows marked as gone."""
+
+        def judge(batch: Batch) -> None:
+            listed = self.read().join(trade_ids.select("trade_id").distinct(), "trade_id", "left_semi")
+            self.write_changes(batch, listed.withColumn(GONE, F.lit(True)))
+
+        return self.apply("delete", name, judge)
+
+    def write_changes(self, batch: Batch, rows: DataFrame, marks: DataFrame | None = None) -> None:
+        """Store rows that a batch changes, one per primary key, and the stream marks of its trades."""
+        rows.select(*CHANGES.names).write.mode("overwrite").parquet(self.path("accepted", batch.key))
+        seen = no_rows(self.spark, _SEEN) if marks is None else marks
+        seen.select("trade_id", "seen_version").write.mode("overwrite").parquet(self.path("marks", batch.key))
+
+    # ---- snapshots ----------------------------------------------------------------------------------
+
+    def _write_snapshot(self, number: int, store: DataFrame, seen: DataFrame, commits: DataFrame) -> None:
+        root = self.path(f"snapshot={number}")
+        hash_layout(store, self.buckets).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/store")
+        hash_layout(seen, self.buckets).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/seen")
+        commits.write.mode("overwrite").parquet(f"{root}/commits")
+
+    def compact(self) -> State:
+        """Write the table as it is now as the next snapshot.  Batches committed meanwhile stay beside it."""
+        state = self.state()
+        number = state.snapshot + 1
+        commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits")
+        for seq, c in self._markers("commits", state.folded).items():
+            if seq <= state.last:
+                row = (c["batch"], seq, datetime.date.fromisoformat(c["as_of"]), datetime.datetime.fromisoformat(c["at"]))
+                commits = commits.unionByName(one_row(self.spark, _COMMITS, row))
+        self._write_snapshot(number, self.read(state), self._seen(state), commits)
+        self._mark(f"snapshots/{number}", {"folded": state.last})
+        return self.state()
+
+    def retire(self, keep_history: bool = True) -> list[str]:
+        """Remove superseded snapshots, folded batches' changes and markers; returns the removed paths.
+
+        Outcomes, dead letters and metrics are history and stay, unless ``keep_history`` is false.  Call it when no reader of
+        an older snapshot is left.
+        """
+        path, files = self._files()
+        state = self.state()
+        folded = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits")
+        gone = [self.path(f"snapshot={n}") for n in range(state.snapshot)] + [f"{self.root}/snapshots/{n}" for n in range(state.snapshot)]
+        kinds = ["accepted", "marks", *([] if keep_history else ["outcomes", "dlq", "metrics"])]
+        for row in folded.filter(F.col("seq") <= state.folded).toLocalIterator():
+            gone += [self.path(kind, row["batch"]) for kind in kinds] + [f"{self.root}/commits/{row['seq']}"]
+        return [p for p in gone if files.exists(path(p)) and files.delete(path(p), True)]
 
     # ---- reads --------------------------------------------------------------------------------------
 
-    def _base(self, kind: str, base: int, schema: T.StructType) -> DataFrame:
+    def _laid(self, kind: str, state: State, schema: T.StructType) -> DataFrame:
         laid = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-        return self.spark.read.schema(laid).parquet(f"{self.path('base')}/id={base}/{kind}")
-
-    def _accepted_frame(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(ACCEPTED).parquet(*paths) if paths else no_rows(self.spark, ACCEPTED)
-
-    def _marks_frame(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(LEVELS).parquet(*paths) if paths else no_rows(self.spark, LEVELS)
-
-    def _additions(self, kind: str, epoch: Epoch, through: int) -> list[str]:
-        """Folders of all additions to the base; known by number, so no history is listed."""
-        runs = [f"{self.path('runs')}/id={r}/{kind}" for r, _ in epoch.runs]
-        return runs + [self.path(kind, batch=s) for s in range(epoch.folded + 1, through + 1)]
-
-    def _newest_rows(self, epoch: Epoch, through: int) -> DataFrame:
-        added = self._accepted_frame(self._additions("accepted", epoch, through))
-        return latest_per_key(added, KEY, [SEQ], STORE_COLUMNS)
-
-    def read(self) -> DataFrame:
+        return self.spark.read.schema(laid).parquet(f"{self.path(f'snapshot={state.snapshot}')}/{kind}")
+
+    def _since(self, kind: str, state: State, schema: T.StructType) -> DataFrame:
+        """Rows of the batches committed since the snapshot, with their ``seq``; folders are named, none is listed."""
+        found = no_rows(self.spark, T.StructType([*schema.fields, T.StructField("seq", T.LongType())]))
+        if not state.since:
+            return found
+        paths = [self.path(kind, key) for key in state.since]
+        numbers = F.create_map(*[F.lit(x) for key, seq in state.since.items() for x in (key, seq)])
+        rows = self.spark.read.schema(schema).option("basePath", self.path(kind)).parquet(*paths)
+        key = F.regexp_extract(F.col("_metadata.file_path"), f"{BATCH}=([0-9a-f]+)", 1)
+        return rows.withColumn("seq", F.element_at(numbers, key).cast("long")).select(*found.columns)
+
+    def _newest(self, state: State) -> DataFrame:
+        return latest_per_key(self._since("accepted", state, CHANGES), KEY, ["seq"], CHANGES.names)
+
+    def _overlaid(self, base: DataFrame, newest: DataFrame) -> DataFrame:
+        rest = apply_rows(base, newest.select(*STORE_COLUMNS))
+        return rest.join(newest.filter(GONE).select(*KEY), KEY, "left_anti")
+
+    def read(self, state: State | None = None) -> DataFrame:
         """The store as of the last committed batch."""
-        epoch = self.epoch()
-        through = self._committed(epoch)
-        base = self._base("store", epoch.base, STORE).drop("bucket")
-        if through == epoch.folded and not epoch.runs:
-            return base
-        return apply_rows(base, self._newest_rows(epoch, through))
+        state = state or self.state()
+        base = self._laid("store", state, STORE).drop("bucket")
+        return self._overlaid(base, self._newest(state)) if state.since else base
 
     def lookup(self, trade_id: str, version: int) -> DataFrame:
-        """One store row; only its bucket of the base is read."""
-        epoch = self.epoch()
-        base = lookup(self._base("store", epoch.base, STORE), trade_id, version, self.buckets)
-        added = self._accepted_frame(self._additions("accepted", epoch, self._committed(epoch)))
-        newest = latest_per_key(lookup(added, trade_id, version), KEY, [SEQ], STORE_COLUMNS)
-        return apply_rows(base.drop("bucket"), newest)
-
-    def levels(self, touched: DataFrame | None = None, before: int | None = None) -> DataFrame:
-        """Levels per trade from the base and the additions, up to the last commit or the batch ``before``.
-
-        With ``touched`` (a frame of trade_ids) only those trades are read: their buckets are pruned by
-        the partition column, and the rest is a semi join whose small side Spark broadcasts if its
-        measured size allows.
+        """One store row; only its bucket of the snapshot is read."""
+        state = self.state()
+        base = lookup(self._laid("store", state, STORE), trade_id, version, self.buckets).drop("bucket")
+        newest = latest_per_key(lookup(self._since("accepted", state, CHANGES), trade_id, version), KEY, ["seq"], CHANGES.names)
+        return self._overlaid(base, newest)
+
+    def _seen(self, state: State, ids: DataFrame | None = None, buckets: list[int] | None = None) -> DataFrame:
+        kind = T.StructType.fromDDL(_SEEN)
+        base, marks = self._laid("seen", state, kind), self._since("marks", state, kind)
+        if ids is not None:
+            base = base.filter(F.col("bucket").isin(buckets)).join(ids, "trade_id", "left_semi")
+            marks = marks.join(ids, "trade_id", "left_semi")
+        both = base.select("trade_id", "seen_version").unionByName(marks.select("trade_id", "seen_version"))
+        return both.groupBy("trade_id").agg(F.max("seen_version").alias("seen_version"))
+
+    def levels(self, touched: DataFrame | None = None) -> DataFrame:
+        """(trade_id, seen_version, active_version) of all trades, or of the trades in ``touched``.
+
+        With ``touched`` only the buckets of those trades are read (partition pruning, at most one number per bucket is
+        collected), and the rest is a semi join whose small side Spark broadcasts if its measured size allows.
         """
-        epoch = self.epoch()
-        through = self._committed(epoch) if before is None else before - 1
-        base = self._base("levels", epoch.base, LEVELS)
-        marks = self._marks_frame(self._additions("marks", epoch, through))
+        state = self.state()
+        base, newest = self._laid("store", state, STORE), self._newest(state)
+        ids = buckets = None
         if touched is not None:
             ids = touched.select("trade_id").distinct()
             held = bucket_of(F.col("trade_id"), self.buckets)
-            # at most one number per bucket
-            numbers = [r["b"] for r in touched.select(held.alias("b")).distinct().collect()]
-            base = base.filter(F.col("bucket").isin(numbers)).join(ids, "trade_id", "left_semi")
-            marks = marks.join(ids, "trade_id", "left_semi")
-        return _top_levels(base.drop("bucket").unionByName(marks))
+            buckets = [r["b"] for r in ids.select(held.alias("b")).distinct().collect()]
+            base = base.filter(F.col("bucket").isin(buckets)).join(ids, "trade_id", "left_semi")
+            newest = newest.join(ids, "trade_id", "left_semi")
+        active = latest_active_version(self._overlaid(base.drop("bucket"), newest))
+        return self._seen(state, ids, buckets).join(active, "trade_id", "full_outer").select("trade_id", "seen_version", "active_version")
+
+    def _history(self, kind: str) -> DataFrame:
+        """All batches' rows of a kind; an unfinished batch's are told by ``batch`` and left out."""
+        state = self.state()
+        folded = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits").select(BATCH)
+        done = folded
+        for key in state.since:
+            done = done.unionByName(one_row(self.spark, f"{BATCH} string", (key,)))
+        if kind == "dlq":
+            text = self.spark.read.text(self.path(kind))
+            place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start")]
+            # numbered in the scan, before the join can move a row
+            rows = text.select("value", BATCH, *place).withColumn("row_id", F.monotonically_increasing_id())
+        else:
+            rows = self.spark.read.parquet(self.path(kind))
+        return rows.join(done, BATCH, "left_semi")
 
     def outcomes(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("outcomes"))
+        return self._history("outcomes")
 
     def dead_letters(self) -> DataFrame:
-        return self.spark.read.text(self.path("dlq"))
+        """``value`` and, for the order of letters, ``batch, file_path, file_block_start, row_id``."""
+        return self._history("dlq")
 
     def metrics(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("metrics"))
-
-
-def _top_levels(levels: DataFrame) -> DataFrame:
-    return levels.groupBy("trade_id").agg(
-        F.max("seen_version").alias("seen_version"), F.max("active_version").alias("active_version")
-    )
+        return self._history("metrics")

@@ -57,10 +57,11 @@ LEVELS = T.StructType(
 MANIFEST = T.StructType(
     [
         T.StructField("manifest_path", T.StringType()),
-        T.StructField("chunk_paths", T.ArrayType(T.StringType())),
-        T.StructField("chunkCount", T.LongType()),
+        T.StructField("chunk_path", T.StringType()),
         T.StructField("rows", T.LongType()),
         T.StructField("checksum", T.StringType()),
+        T.StructField("chunk_count", T.LongType()),
+        T.StructField("total_rows", T.LongType()),
         T.StructField("correlation_id", T.StringType()),
     ]
 )

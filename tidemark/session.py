@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,11 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, app: str = "tidemark") -> SparkSession:
-    """A local session for tests and benchmarks.  On a cluster, use the session you are given."""
+def local_session(
+    scratch: str, cores: int | str = 8, shuffle_partitions: int | None = None, app: str = "tidemark"
+) -> SparkSession:
+    """A local session for tests and benchmarks, with ``scratch`` as its folder for intermediate tables.
+
+    On a cluster, use the session you are given.
+    """
     parts = shuffle_partitions or (cores if isinstance(cores, int) else 8)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.checkpoint.dir", scratch)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.session.timeZone", "UTC")
@@ -31,12 +38,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh path for written intermediate tables.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; only where that is unset
-    (unit tests on one machine) does this fall back to a new temporary folder.
+    The cluster names its shared folder in ``spark.checkpoint.dir``.  There is no other place that all executors see, so an
+    unset one is an error on a cluster.  In local mode all run in one process, and an unset one gets a folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if not base and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         base = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
 
 

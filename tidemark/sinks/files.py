@@ -14,12 +14,10 @@ from tidemark.session import one_row
 # Rows per chunk file of the small-file and the bulk flow.
 SMALL_CHUNK = 5_000
 BULK_CHUNK = 50_000
-# A manifest row lists about this many chunks; longer lists go to further rows.
-CHUNKS_PER_MANIFEST = 500
 
 
 def write_records(df: DataFrame, path: str, format: str = "json", rows_per_file: int | None = None) -> None:
-    """Write records as json (lines), csv (with header) or parquet, in chunks of at most ``rows_per_file`` rows."""
+    """Write records as json (lines), csv (with header), text or parquet, in chunks of at most ``rows_per_file`` rows."""
     writer = df.write.mode("overwrite").format(format)
     if format == "csv":
         writer = writer.option("header", True)
@@ -41,36 +39,28 @@ def write_parts(df: DataFrame, path: str, id_cols: Sequence[str], parts: int, mi
     return sizes
 
 
-def build_manifest(chunks: DataFrame, correlation_id: str, manifest_path: str) -> DataFrame:
-    """Manifest of a file scan: chunk paths, their number, rows and an order-free checksum.
+def build_manifest(spark: SparkSession, chunks: str, correlation_id: str, manifest_path: str) -> DataFrame:
+    """Manifest of a folder of chunk files: a row per chunk with its path, rows and checksum, and the load's totals on each.
 
-    ``chunks`` is a scan of the written chunk files.  A manifest of very many chunks has several rows, so
-    that no list grows with the data.
+    The shape is the same for any number of chunks, and no list of them is made.
     """
-    columns = chunks.columns
-    per_file = (
-        chunks.withColumn("_path", F.col("_metadata.file_path"))
-        .groupBy("_path")
-        .agg(F.count(F.lit(1)).alias("_rows"), order_free_checksum(columns).alias("_sum"))
+    per_file = chunk_sums(spark.read.text(chunks))
+    total = per_file.agg(F.count(F.lit(1)).alias("chunk_count"), F.sum("rows").alias("total_rows"))
+    return per_file.join(F.broadcast(total)).select(  # total is one row
+        F.lit(manifest_path).alias("manifest_path"),
+        "chunk_path",
+        "rows",
+        "checksum",
+        "chunk_count",
+        "total_rows",
+        F.lit(correlation_id).alias("correlation_id"),
     )
-    files = len(chunks.inputFiles())
-    pages = max(1, -(-files // CHUNKS_PER_MANIFEST))
-    return (
-        per_file.groupBy(F.pmod(F.xxhash64("_path"), F.lit(pages)).alias("_page"))
-        .agg(
-            F.sort_array(F.collect_list("_path")).alias("chunk_paths"),
-            F.count(F.lit(1)).alias("chunkCount"),
-            F.sum("_rows").alias("rows"),
-            F.sum(F.col("_sum").cast("decimal(38,0)")).cast("string").alias("checksum"),
-        )
-        .select(
-            F.lit(manifest_path).alias("manifest_path"),
-            "chunk_paths",
-            "chunkCount",
-            "rows",
-            "checksum",
-            F.lit(correlation_id).alias("correlation_id"),
-        )
+
+
+def chunk_sums(lines: DataFrame) -> DataFrame:
+    """Of a text scan: ``chunk_path, rows, checksum`` per file.  The checksum ignores the order of lines."""
+    return lines.groupBy(F.col("_metadata.file_path").alias("chunk_path")).agg(
+        F.count(F.lit(1)).alias("rows"), order_free_checksum(["value"]).alias("checksum")
     )
 
 

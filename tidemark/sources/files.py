@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import MANIFEST, WIRE
+from tidemark.sinks.files import chunk_sums
 
 CORRUPT = "_corrupt"
 # Fixed value: files above this many bytes take the bulk route.
@@ -120,17 +121,29 @@ def read_manifest(spark: SparkSession, path: str, correlation_id: str) -> DataFr
     return rows
 
 
-def manifest_chunks(manifest: DataFrame) -> list[str]:
-    """Chunk paths of a manifest.  The driver needs the paths to plan the scan, like any file listing."""
-    paths = manifest.select(F.explode("chunk_paths").alias("path")).toLocalIterator()
-    return [row["path"] for row in paths]
+def read_chunks(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """The lines of a manifest's chunks, after comparing rows and checksum of every file with the manifest.
 
-
-def read_chunks(spark: SparkSession, manifest: DataFrame, schema: T.StructType, columns: Sequence[str] | None = None) -> DataFrame:
-    """The records of a manifest's chunks; raises if their number differs from the manifest's ``rows``."""
-    scan = spark.read.schema(schema).json(manifest_chunks(manifest))
-    expected = manifest.agg(F.sum("rows").alias("n")).first()["n"]
-    found = scan.count()
-    if found != expected:
-        raise ValueError(f"manifest promises {expected} rows, chunks hold {found}")
-    return scan.select(*columns) if columns else scan
+    The chunks' folders are scanned and joined to the manifest by path, so the driver holds no list of files.
+    Raises if a chunk is missing, holds other lines, or the chunks do not add up to the manifest's totals.
+    """
+    folders = [r["f"] for r in manifest.select(F.regexp_replace("chunk_path", "/[^/]*$", "").alias("f")).distinct().collect()]
+    scan = spark.read.text(folders)
+    found = chunk_sums(scan).withColumnsRenamed({"rows": "found_rows", "checksum": "found_checksum"})
+    same = F.col("rows").eqNullSafe(F.col("found_rows")) & F.col("checksum").eqNullSafe(F.col("found_checksum"))
+    check = manifest.join(found, "chunk_path", "left").agg(
+        F.count_if(~same).alias("wrong"),
+        F.min_by("chunk_path", F.when(~same, F.col("chunk_path"))).alias("first"),
+        F.count(F.lit(1)).alias("chunks"),
+        F.sum("rows").alias("rows"),
+        F.max("chunk_count").alias("chunk_count"),
+        F.max("total_rows").alias("total_rows"),
+    ).first()
+    if check["wrong"]:
+        raise ValueError(f"{check['wrong']} chunks differ from the manifest in rows or checksum, such as {check['first']}")
+    if (check["chunks"], check["rows"]) != (check["chunk_count"], check["total_rows"]):
+        promised = f"{check['total_rows']} rows in {check['chunk_count']} chunks"
+        raise ValueError(f"manifest promises {promised}, it lists {check['rows']} in {check['chunks']}")
+    listed = manifest.select("chunk_path")
+    lines = clean_lines(scan).select("line", F.col("_metadata.file_path").alias("chunk_path"))
+    return lines.join(listed, "chunk_path", "left_semi").select("line", "chunk_path")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -42,7 +41,8 @@ def ingest_stream(
     def commit(batch: DataFrame, number: int) -> None:
         if "row_id" in order and "row_id" not in batch.columns:
             batch = with_row_id(batch)
-        ingest_batch(table, prepare_lines(batch), order, source, number, as_of, raw="line")
+        arrived = "file_time" if "file_time" in batch.columns else None
+        ingest_batch(table, prepare_lines(batch), order, source, number, as_of, arrived=arrived)
 
     writer = lines.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_empty else writer.trigger(processingTime=interval)).start()
@@ -74,18 +74,15 @@ def small_file_flow(
     lineage = ["correlation_id", "manifest_path"]
 
     def publish(batch: DataFrame, number: int) -> None:
-        kept = batch.select("line", "reasons", "is_valid", *TRADE_COLUMNS, *lineage).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        try:
-            messages = keyed_messages(kept.filter("is_valid").select(*TRADE_COLUMNS, *lineage), "trade_id")
-            letters = kept.filter("NOT is_valid").select("reasons", F.col("line").alias("raw"), *lineage)
-            for name, df in (("messages", messages), ("dlq", letters)):
-                df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).json(
-                    f"{target}/{name}/batch={number}"
-                )
-        finally:
-            kept.unpersist()
+        kept = batch.select("line", "reasons", "is_valid", *TRADE_COLUMNS, *lineage)
+        # two outputs of one batch: written once to the shared folder, then split
+        held = f"{target}/judged/batch={number}"
+        kept.write.mode("overwrite").parquet(held)
+        kept = batch.sparkSession.read.schema(kept.schema).parquet(held)
+        messages = keyed_messages(kept.filter("is_valid").select(*TRADE_COLUMNS, *lineage), "trade_id")
+        letters = kept.filter("NOT is_valid").select("reasons", F.col("line").alias("raw"), *lineage)
+        for name, df in (("messages", messages), ("dlq", letters)):
+            df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).json(f"{target}/{name}/batch={number}")
 
     writer = judged.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_empty else writer.trigger(processingTime=interval)).start()
