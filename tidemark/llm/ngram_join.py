@@ -14,8 +14,10 @@ size: a bitmap of shingles seen twice (the others need no index entry) and one o
 positives at most, which cost time and never a link.
 
 Documents with equal sets become one node first, so copies never form pairs.  Candidates are verified in two steps: each node
-with the smallest node of one of its index entries; then, where an index entry still spans several components, all pairs
-across components.  Links inside a component need no further proof, as only components are returned.
+with the smallest node of one of its index entries; then, where an index entry still spans several components, the pairs
+across components.  Links inside a component need no further proof, as only components are returned.  Before the second step
+the shingles of the nodes that are left are counted among them: a shingle of one node alone is in no intersection, so a pair
+with too few others is ruled out by the numbers, without its texts.  In a large group of near copies that leaves few pairs.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; repeated rows are copies; rows with a null
 doc_id get a null component; an empty table gives no rows.
@@ -62,10 +64,10 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
         if b - a >= WORDS:
             yield np.unique(runs[a : b - WORDS + 1])
         elif b > a:
-            short = np.uint64(int(b - a) * 0x9E3779B97F4A7C15 % 2**64)
+            short = np.array([int(b - a) * 0x9E3779B97F4A7C15 % 2**64], np.uint64)
             for k in range(b - a):
-                short = np.bitwise_xor(short, words[a + k] * _PLACE[k])
-            yield mix(np.array([short], np.uint64))
+                short = np.bitwise_xor(short, words[a + k : a + k + 1] * _PLACE[k])
+            yield mix(short)
         else:
             yield np.zeros(0, np.uint64)
 
@@ -215,6 +217,25 @@ def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.withColumn("h", F.xxhash64("doc_id")).mapInArrow(pick, "doc_id long, text string")
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, sets in _read(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).astype(np.int64))], ["key"])
+
+
+def _met(docs: DataFrame) -> DataFrame:
+    """``node, met``: how many of a document's shingles stand in another of these documents, or more (bitmap)."""
+    counts = docs.mapInArrow(_tokens, "key long").groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = _shared(docs.sparkSession, bitmaps(counts, "key", BITS, twice="true"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        twice = np.frombuffer(shared.value["twice"], np.uint64)
+        for part, sets in _read(batches):
+            met = [int(has_bit(twice, s).sum()) for s in sets]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(met, pa.int64())], ["node", "met"])
+
+    return docs.mapInArrow(count, "node long, met long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts link."""
 
@@ -261,8 +282,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     placed = buckets.join(joined, "node", "left").select("entry", "node", "n", F.coalesce("component", "node").alias("c"))
     open_entries = placed.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("entry")
     placed = stage(placed.join(open_entries, "entry"), "ngram-open")
-    one, two = placed.toDF("entry", "a", "n", "ca"), placed.toDF("entry", "b", "m", "cb")
-    across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m"))).select("a", "b").distinct()
+    left = stage(_among(texts, placed.select(F.col("node").alias("id"))), "ngram-left").dropDuplicates(["doc_id"])
+    placed = placed.join(_met(left), "node", "left").select("entry", "node", "n", "c", F.coalesce("met", "n").alias("met"))
+    one, two = placed.toDF("entry", "a", "n", "ca", "v"), placed.toDF("entry", "b", "m", "cb", "w")
+    # the intersection is at most least(v, w), and a link needs PERCENT * (n + m) <= (100 + PERCENT) * intersection
+    enough = PERCENT * (F.col("n") + F.col("m")) <= (100 + PERCENT) * F.least("v", "w")
+    across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m")) & enough).select("a", "b").distinct()
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = stage(verified(stage(across, "ngram-across"), texts), "ngram-links")
     joined = components(links.union(more))
