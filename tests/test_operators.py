@@ -108,6 +108,21 @@ def test_dedup_ttl_with_frequent_key(spark):
     assert got == want
 
 
+def test_dedup_stream_forgets_after_the_watermark(spark, tmp_path):
+    """Repeats inside the delay are dropped, a key returns once the watermark has passed, a late record is dropped."""
+    start = datetime.datetime(2025, 1, 1)
+    batches = [[(1, 0), (2, 0), (1, 1)], [(1, 2), (3, 100)], [(4, 200)], [(1, 300), (9, 0)]]
+    for n, batch in enumerate(batches):
+        rows = [(k, start + datetime.timedelta(hours=h)) for k, h in batch]
+        spark.createDataFrame(rows, "k int, ts timestamp").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema("k int, ts timestamp").parquet(f"{tmp_path}/in/*")
+        writer = recon.dedup_stream(stream, ["k"], "ts", "6 hours").writeStream.format("parquet")
+        writer = writer.option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    kept = sorted(r["k"] for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert kept == [1, 1, 2, 3, 4]
+
+
 def test_metrics_totals(spark):
     judged = spark.createDataFrame(
         [(None, 1, None), (None, 1, 1), ("DB_GUARDRAIL_REJECT", 1, 2), ("X", 1, 2)], "reason string, version int, seen_version int"

@@ -22,6 +22,13 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
         """SELECT trade_id, version, counter_party_id, book_id, maturity_date, created_date, payload,
   maturity_date < DATE '1996-06-01' AS expired_flag
 FROM (SELECT *, row_number() OVER (PARTITION BY trade_id, version ORDER BY arrival DESC) AS rn FROM filed)
+WHERE rn = 1""",
+    ),
+    "whole_store": (
+        ["trades"],
+        """SELECT trade_id, version, counter_party_id, book_id, maturity_date, created_date, payload,
+  maturity_date < DATE '1996-06-01' AS expired_flag
+FROM (SELECT *, row_number() OVER (PARTITION BY trade_id, version ORDER BY arrival DESC) AS rn FROM trades)
 WHERE rn = 1""",
     ),
     "levels": (
@@ -121,19 +128,27 @@ FROM (SELECT *, CASE WHEN regexp_full_match(maturity_text, '[0-9]{4}-[0-9]{2}-[0
   THEN try_cast(maturity_text AS date) END AS maturity_date FROM fields)""",
     ),
     "recon_left": (
-        ["store"],
-        """SELECT *, version + length(trade_id) + cast(substr(book_id, 2, 2) AS int) AS mix FROM store""",
+        ["whole_store"],
+        """SELECT *, version + length(trade_id) + cast(substr(book_id, 2, 2) AS int) AS mix FROM whole_store""",
     ),
-    "mismatches": (
+    "recon_right": (
         ["recon_left"],
-        """SELECT coalesce(a.trade_id, b.trade_id) AS trade_id, coalesce(a.version, b.version) AS version,
-  CASE WHEN a.trade_id IS NULL THEN 'missing_left' WHEN b.trade_id IS NULL THEN 'missing_right' ELSE 'differs' END AS status,
-  CASE WHEN a.trade_id IS NOT NULL AND b.trade_id IS NOT NULL THEN 'book_id' END AS differing
-FROM (SELECT * FROM recon_left WHERE mix % 11 <> 0) a
-FULL OUTER JOIN (SELECT trade_id, version, CASE WHEN mix % 5 = 0 THEN 'B99' ELSE book_id END AS book_id
-  FROM recon_left WHERE mix % 7 <> 0) b
-ON a.trade_id = b.trade_id AND a.version = b.version
-WHERE a.trade_id IS NULL OR b.trade_id IS NULL OR a.book_id <> b.book_id""",
+        """SELECT * REPLACE (CASE WHEN mix % 5 = 0 THEN 'B99' ELSE book_id END AS book_id,
+  CASE WHEN mix % 4 <> 0 THEN counter_party_id END AS counter_party_id,
+  CASE WHEN mix % 9 = 0 THEN maturity_date + 1 ELSE maturity_date END AS maturity_date) FROM recon_left WHERE mix % 7 <> 0""",
+    ),
+    "mismatches": (
+        ["recon_left", "recon_right"],
+        """SELECT trade_id, version, CASE WHEN no_a THEN 'missing_left' WHEN no_b THEN 'missing_right' ELSE 'differs' END AS status,
+  CASE WHEN NOT no_a AND NOT no_b THEN columns END AS differing
+FROM (SELECT coalesce(a.trade_id, b.trade_id) AS trade_id, coalesce(a.version, b.version) AS version,
+    a.trade_id IS NULL AS no_a, b.trade_id IS NULL AS no_b,
+    concat_ws(',', CASE WHEN a.counter_party_id IS DISTINCT FROM b.counter_party_id THEN 'counter_party_id' END,
+      CASE WHEN a.book_id IS DISTINCT FROM b.book_id THEN 'book_id' END,
+      CASE WHEN a.maturity_date IS DISTINCT FROM b.maturity_date THEN 'maturity_date' END) AS columns
+  FROM (SELECT * FROM recon_left WHERE mix % 11 <> 0) a
+  FULL OUTER JOIN recon_right b ON a.trade_id = b.trade_id AND a.version = b.version)
+WHERE no_a OR no_b OR columns <> ''""",
     ),
     "replayed": (
         ["trades"],
@@ -171,19 +186,34 @@ UNION ALL
 SELECT {STORE} FROM store s WHERE NOT EXISTS
   (SELECT 1 FROM newest n WHERE n.trade_id = s.trade_id AND n.version = s.version)"""
 
+LINES_OUTCOME = """SELECT DISTINCT 'store' AS place, trade_id, version, NULL AS reason, NULL AS raw, 1 AS records
+FROM line_judged WHERE reason IS NULL
+UNION ALL
+SELECT 'dlq', CASE WHEN reason <> 'PARSE_ERROR' THEN trade_id END, CASE WHEN reason <> 'PARSE_ERROR' THEN version END,
+  reason, raw, cast(count(*) AS int)
+FROM (SELECT j.*, CASE WHEN reason = 'PARSE_ERROR' THEN r.line END AS raw
+  FROM line_judged j JOIN raw_lines r ON r.event_id = j.event_id WHERE reason IS NOT NULL)
+GROUP BY 2, 3, 4, 5"""
+
 ORACLE = {
     "jsonl_scan": sql(
         """SELECT ok AS parsed, trade_id, version, maturity_text AS maturity_date,
   json_extract_string(j, '$.created_date') AS created_date, cast(json_extract(j, '$.payload.k') AS int) AS k FROM fields""",
         "fields",
     ),
-    "csv_scan": sql(f"SELECT {TRADE} FROM incoming", "incoming"),
-    "infer_scan": sql("SELECT trade_id, cast(version AS bigint) AS version, book_id, arrival FROM incoming", "incoming"),
+    "csv_scan": sql(f"SELECT {TRADE} FROM trades", "trades"),
+    "infer_scan": sql("""SELECT trade_id, cast(version AS bigint) AS version, counter_party_id, book_id, cast(maturity_date AS varchar) AS maturity_date,
+  cast(created_date AS varchar) AS created_date, payload, arrival FROM trades""",
+        "trades",
+    ),
     "landing_routes": sql(
-        "SELECT count(*) AS records, cast(0 AS bigint) AS unrouted, cast(0 AS bigint) AS misrouted FROM trades", "trades"
+        """SELECT line, book_id, cast(size AS bigint) AS size, CASE WHEN size > 60000 THEN 'large' ELSE 'small' END AS route
+FROM (SELECT line, book_id, sum(strlen(line) + 1) OVER (PARTITION BY book_id) AS size
+  FROM (SELECT book_id, concat(arrival, '|', trade_id) AS line FROM trades))""",
+        "trades",
     ),
-    "lineage_scan": sql("SELECT arrival, true AS from_own_file FROM incoming", "incoming"),
-    "manifest_scan": sql(f"SELECT {TRADE}, arrival FROM incoming", "incoming"),
+    "lineage_scan": sql("SELECT arrival, version AS folder, true AS from_own_file FROM trades", "trades"),
+    "manifest_scan": sql(f"SELECT {TRADE}, arrival FROM trades", "trades"),
     "store_lookup": sql(
         f"SELECT {STORE} FROM store WHERE (trade_id, version) IN (SELECT trade_id, version FROM incoming)",
         "store",
@@ -206,7 +236,7 @@ FROM trades""",
     ),
     "strict_decode": sql("SELECT event_id, trade_id, version, maturity_date, reject_code FROM strict", "strict"),
     "payload_fields": sql(
-        "SELECT arrival, notional, st AS status, cast(NULL AS varchar) AS missing FROM incoming", "incoming"
+        "SELECT arrival, notional, st AS status, cast(NULL AS varchar) AS missing FROM trades", "trades"
     ),
     "reject_envelopes": sql(
         """SELECT arrival, trade_id, version, cast(notional AS varchar) AS notional, reason,
@@ -224,8 +254,8 @@ FROM judged WHERE reason IS NOT NULL""",
     "message_keys": sql(
         """SELECT trade_id AS key, concat('{"trade_id":"', trade_id, '","version":', cast(version AS varchar),
   ',"counter_party_id":"', counter_party_id, '","book_id":"', book_id, '","maturity_date":"', cast(maturity_date AS varchar),
-  '","created_date":"', cast(created_date AS varchar), '"}') AS value FROM incoming""",
-        "incoming",
+  '","created_date":"', cast(created_date AS varchar), '","payload":"', replace(payload, '"', '\\"'), '"}') AS value, true AS placed FROM trades""",
+        "trades",
     ),
     "convert_roundtrip": sql(
         """SELECT event_id, trade_id, version, maturity_date, created_date, payload FROM checked
@@ -243,22 +273,15 @@ WHERE reject_code IS NULL""",
 FROM trades""",
         "trades",
     ),
-    "active_trades": sql(f"SELECT {STORE} FROM store WHERE NOT expired_flag", "store"),
+    "active_trades": sql(f"SELECT {STORE} FROM whole_store WHERE NOT expired_flag", "whole_store"),
     "active_by_maturity": sql(
-        f"""SELECT {STORE} FROM store
+        f"""SELECT {STORE} FROM whole_store
 WHERE NOT expired_flag AND maturity_date BETWEEN DATE '1997-01-15' AND DATE '1997-12-15'""",
-        "store",
-    ),
-    "prefilter_accepts": sql(
-        f"""SELECT {TRADE}, arrival FROM marked
-WHERE NOT coalesce(version < s OR (version = s AND maturity_date < DATE '1998-09-01'), false)""",
-        "marked",
+        "whole_store",
     ),
+    "prefilter_accepts": sql(f"SELECT {TRADE}, arrival FROM replayed WHERE reason IS NULL", "replayed"),
     "prefilter_rejects": sql(
-        """SELECT arrival, trade_id, version, s AS seen_version, CASE WHEN version < s
-  THEN 'RULE_1_LOWER_VERSION_THAN_ACTIVE' ELSE 'RULE_2_MATURITY_BEFORE_TODAY_FOR_ACTIVE_VERSION' END AS reason
-FROM marked WHERE version < s OR (version = s AND maturity_date < DATE '1998-09-01')""",
-        "marked",
+        "SELECT arrival, trade_id, version, s AS seen_version, reason FROM replayed WHERE reason IS NOT NULL", "replayed"
     ),
     "prefilter_strict": sql(
         """SELECT event_id, trade_id, version, CASE WHEN version < s THEN 'lower_version'
@@ -351,27 +374,27 @@ CROSS JOIN LATERAL (SELECT s.trade_id IS NOT NULL AND (t.trade_id IS NULL
         "incoming",
     ),
     "expire_matured": sql(
-        f"""SELECT {TRADE}, expired_flag OR maturity_date < DATE '1997-06-01' AS expired_flag FROM store""", "store"
+        f"""SELECT {TRADE}, expired_flag OR maturity_date < DATE '1997-06-01' AS expired_flag FROM whole_store""", "whole_store"
     ),
     "hash_layout": sql(
-        "SELECT trade_id, count(*) AS rows, cast(1 AS bigint) AS buckets FROM store GROUP BY trade_id", "store"
+        "SELECT trade_id, count(*) AS rows, cast(1 AS bigint) AS buckets FROM whole_store GROUP BY trade_id", "whole_store"
     ),
     "maturity_months": sql(
         """SELECT strftime(maturity_date, '%Y-%m') AS maturity_month, count(*) AS rows, max(version) AS top_version
-FROM store GROUP BY 1""",
-        "store",
+FROM whole_store GROUP BY 1""",
+        "whole_store",
     ),
     "latest_per_trade": sql(
         f"""SELECT {TRADE}, arrival FROM (SELECT *, row_number() OVER (PARTITION BY trade_id
-  ORDER BY version DESC, arrival DESC) AS rn FROM incoming) WHERE rn = 1""",
-        "incoming",
+  ORDER BY version DESC, arrival DESC) AS rn FROM trades) WHERE rn = 1""",
+        "trades",
     ),
     "rebuild_store": sql(
         f"""SELECT {TRADE}, false AS expired_flag FROM (SELECT *, row_number() OVER (PARTITION BY trade_id, version
   ORDER BY arrival DESC) AS rn FROM replayed WHERE reason IS NULL) WHERE rn = 1""",
         "replayed",
     ),
-    "latest_active_version": sql("SELECT trade_id, active_version FROM levels", "levels"),
+    "latest_active_version": sql("SELECT trade_id, max(version) AS active_version FROM whole_store WHERE NOT expired_flag GROUP BY trade_id", "whole_store"),
     "active_counts": sql(
         """SELECT p.trade_id, p.version, count(*) FILTER (s.version > p.version) AS higher_active,
   count(*) FILTER (s.version = p.version) AS same_active
@@ -382,20 +405,17 @@ GROUP BY p.trade_id, p.version""",
         "store",
     ),
     "array_chunks": sql(
-        """SELECT cast(chunk AS bigint) AS chunk, least(1000, n - chunk * 1000) AS records,
-  least(1000, n - chunk * 1000) AS parsed
-FROM (SELECT count(*) AS n FROM incoming) t, LATERAL (SELECT unnest(range((n + 999) // 1000)) AS chunk) c""",
-        "incoming",
+        """SELECT 'chunk' AS kind, cast(chunk AS varchar) AS trade_id, least(1000, n - chunk * 1000) AS number
+FROM (SELECT count(*) AS n FROM trades) t, LATERAL (SELECT unnest(range((n + 999) // 1000)) AS chunk) c
+UNION ALL SELECT 'record', trade_id, cast(version AS bigint) FROM trades""",
+        "trades",
     ),
     "chunk_manifest": sql(
-        """SELECT 'load-2' AS correlation_id, count(*) AS rows, true AS all_listed, true AS within_limit FROM incoming""",
-        "incoming",
-    ),
-    "sized_parts": sql(
-        """SELECT count(*) AS total, count(DISTINCT arrival) AS distinct_rows, cast(5 AS bigint) AS parts,
-  true AS has_exact_part FROM incoming""",
-        "incoming",
+        """SELECT 'load-2' AS correlation_id, count(*) AS rows, true AS all_listed, true AS same_checksums, true AS within_limit
+FROM trades""",
+        "trades",
     ),
+    "sized_parts": sql("SELECT arrival, true AS as_drawn, true AS known_part FROM trades", "trades"),
     "audit_recent": """SELECT concat('load-', cast(o_orderkey AS varchar)) AS correlation_id,
   concat('job-', cast(o_custkey AS varchar)) AS job_id,
   CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'RUNNING' END AS status, cast(o_orderdate AS date) AS created_on
@@ -418,12 +438,15 @@ FROM replayed""",
     ),
     "dedup_ttl": """SELECT event_id, user_id, event_type FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type
   ORDER BY ts, event_id) AS previous FROM events) WHERE previous IS NULL OR ts > previous + INTERVAL 6 HOUR""",
-    "stream_ingest": sql(
-        """SELECT DISTINCT 'store' AS place, trade_id, version, NULL AS reason, 1 AS records FROM line_judged WHERE reason IS NULL
-UNION ALL
-SELECT 'dlq', CASE WHEN reason <> 'PARSE_ERROR' THEN trade_id END, CASE WHEN reason <> 'PARSE_ERROR' THEN version END,
-  reason, cast(count(*) AS int) FROM line_judged WHERE reason IS NOT NULL GROUP BY 2, 3, 4""",
-        "line_judged",
+    "stream_ingest": sql(LINES_OUTCOME, "line_judged", "raw_lines"),
+    "bulk_rejects": sql(LINES_OUTCOME, "line_judged", "raw_lines"),
+    "line_status": sql(
+        """SELECT event_id, trade_id, version, CASE WHEN version < s THEN 'REJECTED: lower_version'
+  WHEN version = s AND maturity_date < DATE '2024-01-15' THEN 'REJECTED: same_version_maturity_before_today' ELSE 'OK' END AS status
+FROM (SELECT *, max(version) OVER (PARTITION BY trade_id ORDER BY event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s FROM checked WHERE reject_code IS NULL)
+UNION ALL SELECT event_id, trade_id, version, reject_code FROM checked WHERE reject_code IS NOT NULL""",
+        "checked",
     ),
     "small_file_flow": sql(
         """SELECT CASE WHEN reasons = '' THEN 'message' ELSE 'dlq' END AS place,

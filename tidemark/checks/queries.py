@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 from tidemark.checks import views
 from tidemark.checks.views import AS_OF, LINES_AS_OF, ORDER
 from tidemark.functions.envelope import keyed_messages, reject_envelope, route_tagged
+from tidemark.functions.keys import PARTITIONS
 from tidemark.functions.payload import payload_field
 from tidemark.operators import canonical, generate, metrics, parts, recon, store, validate, version_rules
 from tidemark.plans import bulk, ingest
 from tidemark.plans.table import TradeTable
-from tidemark.schemas import KEY, STORE_COLUMNS, TRADE, TRADE_COLUMNS
-from tidemark.session import scratch_path
+from tidemark.schemas import KEY, STORE, STORE_COLUMNS, TRADE, TRADE_COLUMNS
+from tidemark.session import no_rows, scratch_path
 from tidemark.sinks import files as sinks
 from tidemark.sources import dlq, files, streams
 from tidemark.streaming import jobs
@@ -33,6 +34,9 @@ RULE_SPEC = """
 ]}
 """
 
+# Files above this many bytes are large in landing_routes.
+LANDING_THRESHOLD = 60_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -83,50 +87,44 @@ def jsonl_scan(spark, sf):
 @query
 def csv_scan(spark, sf):
     path = scratch_path(spark, "csv")
-    sinks.write_records(views.incoming(spark, sf).select(*TRADE_COLUMNS), path, "csv")
+    sinks.write_records(views.all_trades(spark, sf).select(*TRADE_COLUMNS), path, "csv")
     return files.read_csv(spark, path, TRADE).select(*TRADE_COLUMNS)
 
 
 @query
 def infer_scan(spark, sf):
     path = scratch_path(spark, "infer") + ".jsonl"
-    views.incoming(spark, sf).select("trade_id", "version", "book_id", "arrival").write.json(path)
+    views.all_trades(spark, sf).write.json(path)
     return files.read_inferred(spark, path)
 
 
 @query
 def landing_routes(spark, sf):
     path = scratch_path(spark, "landing")
-    sinks.write_records(views.trades(spark, sf).withColumn("kind", F.col("st")), path, "json", rows_per_file=2_000)
-    routed = files.route_by_size(files.landing_files(spark, path, "*.json"), threshold=400_000)
-    records = spark.read.text(path).select(
-        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), F.col("_metadata.file_size").alias("size")
-    )
-    names = routed.select(F.element_at(F.split("path", "/"), -1).alias("name"), "route")
-    expected = F.when(F.col("size") > 400_000, F.lit("large")).otherwise(F.lit("small"))
-    return records.join(names, "name", "left").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count(F.when(F.col("route").isNull(), 1)).alias("unrouted"),
-        F.count(F.when(F.col("route") != expected, 1)).alias("misrouted"),
-    )
+    lines = views.trades(spark, sf).select("book_id", F.concat_ws("|", "arrival", "trade_id").alias("line"))
+    # a file per book, so its size is known from its lines
+    lines.repartition("book_id").write.partitionBy("book_id").text(path)
+    routed = files.route_by_size(files.landing_files(spark, path, "*.txt"), threshold=LANDING_THRESHOLD)
+    routed = routed.select(F.regexp_extract("path", "book_id=([^/]+)/", 1).alias("book"), "length", "route")
+    return lines.join(routed, F.col("book_id") == F.col("book")).select("line", "book_id", F.col("length").alias("size"), "route")
 
 
 @query
 def lineage_scan(spark, sf):
     path = scratch_path(spark, "lineage")
-    sinks.write_records(views.incoming(spark, sf), path, "json")
+    views.all_trades(spark, sf).withColumn("v", F.col("version")).write.partitionBy("v").json(path)
     scan = files.with_lineage(spark.read.schema(T.StructType([*TRADE.fields, ARRIVAL_FIELD])).json(path))
     from_own_file = F.col("correlation_id").startswith(F.element_at(F.split("manifest_path", "/"), -1))
-    return scan.select("arrival", from_own_file.alias("from_own_file"))
+    folder = F.regexp_extract("manifest_path", "/v=([0-9]+)/", 1).cast("int")
+    return scan.select("arrival", folder.alias("folder"), from_own_file.alias("from_own_file"))
 
 
 @query
 def manifest_scan(spark, sf):
     path = scratch_path(spark, "manifest")
-    manifest_path = bulk.stage_bulk(views.incoming(spark, sf), path, "load-1", rows_per_chunk=5_000)
-    manifest = files.read_manifest(spark, manifest_path, "load-1")
-    chunks = files.read_chunks(spark, manifest, T.StructType([*TRADE.fields, ARRIVAL_FIELD]))
-    return chunks.select(*TRADE_COLUMNS, *ORDER)
+    manifest_path = bulk.stage_bulk(views.all_trades(spark, sf), path, "load-1", rows_per_chunk=5_000)
+    lines = files.read_chunks(spark, files.read_manifest(spark, manifest_path, "load-1"))
+    return lines.select(F.from_json("line", T.StructType([*TRADE.fields, ARRIVAL_FIELD])).alias("r")).select("r.*")
 
 
 @query
@@ -138,7 +136,7 @@ def store_lookup(spark, sf):
 @query
 def dlq_scan(spark, sf):
     path = scratch_path(spark, "dlq")
-    rejects = _judged(spark, sf).filter(F.col("reason").isNotNull()).select(reject_envelope(_now()).alias("value"))
+    rejects = _judged(spark, sf).filter(F.col("reason").isNotNull()).select(reject_envelope(_now(), "arrival").alias("value"))
     broken = views.raw_lines(spark, sf).filter("event_type = 'error'").select(F.col("line").alias("value"))
     rejects.unionByName(broken).write.text(path)
     found = dlq.decode_dlq(dlq.read_dlq(spark, path))
@@ -177,7 +175,7 @@ def strict_decode(spark, sf):
 
 @query
 def payload_fields(spark, sf):
-    return views.incoming(spark, sf).select(
+    return views.all_trades(spark, sf).select(
         "arrival",
         payload_field(F.col("payload"), "$.notional", "decimal(18,2)").alias("notional"),
         payload_field(F.col("payload"), "$.status").alias("status"),
@@ -188,7 +186,7 @@ def payload_fields(spark, sf):
 @query
 def reject_envelopes(spark, sf):
     rejects = _judged(spark, sf).filter(F.col("reason").isNotNull())
-    found = dlq.decode_dlq(rejects.select("arrival", reject_envelope(_now()).alias("value")))
+    found = dlq.decode_dlq(rejects.select("arrival", reject_envelope(_now(), "arrival").alias("value")))
     return found.select(
         "arrival",
         "trade.trade_id",
@@ -204,7 +202,7 @@ def reject_envelopes(spark, sf):
 
 @query
 def tagged_routes(spark, sf):
-    routed = route_tagged(_judged(spark, sf), _now())
+    routed = route_tagged(_judged(spark, sf), _now(), "arrival")
     return routed.select(
         "route",
         F.get_json_object("value", "$.trade.trade_id").alias("trade_id"),
@@ -216,8 +214,8 @@ def tagged_routes(spark, sf):
 
 @query
 def message_keys(spark, sf):
-    columns = ["trade_id", "version", "counter_party_id", "book_id", "maturity_date", "created_date"]
-    return keyed_messages(views.incoming(spark, sf).select(*columns), "trade_id").select("key", "value")
+    messages = keyed_messages(views.all_trades(spark, sf).select(*TRADE_COLUMNS), "trade_id")
+    return messages.select("key", "value", F.col("partition").between(0, PARTITIONS - 1).alias("placed"))
 
 
 @query
@@ -257,13 +255,13 @@ def spec_rules(spark, sf):
 
 @query
 def active_trades(spark, sf):
-    return store.active_rows(views.store(spark, sf)).select(*PLAIN_STORE)
+    return store.active_rows(views.whole_store(spark, sf)).select(*PLAIN_STORE)
 
 
 @query
 def active_by_maturity(spark, sf):
     path = scratch_path(spark, "months")
-    store.write_month_layout(views.store(spark, sf), path)
+    store.write_month_layout(views.whole_store(spark, sf), path)
     first, last = F.to_date(F.lit("1997-01-15")), F.to_date(F.lit("1997-12-15"))
     return store.active_by_maturity(spark.read.parquet(path), first, last).select(*PLAIN_STORE)
 
@@ -273,13 +271,13 @@ def active_by_maturity(spark, sf):
 
 @query
 def prefilter_accepts(spark, sf):
-    judged = version_rules.prefilter(views.incoming(spark, sf), ORDER, _today())
+    judged = version_rules.prefilter(views.all_trades(spark, sf), ORDER, _today())
     return judged.filter(F.col("reason").isNull()).select(*TRADE_COLUMNS, *ORDER)
 
 
 @query
 def prefilter_rejects(spark, sf):
-    judged = version_rules.prefilter(views.incoming(spark, sf), ORDER, _today())
+    judged = version_rules.prefilter(views.all_trades(spark, sf), ORDER, _today())
     return judged.filter(F.col("reason").isNotNull()).select("arrival", *KEY, "reason", "seen_version")
 
 
@@ -320,6 +318,12 @@ def upsert_status(spark, sf):
     return judged.select("arrival", *KEY, "status")
 
 
+@query
+def line_status(spark, sf):
+    judged = version_rules.upsert_status(_lines(spark, sf), no_rows(spark, STORE), ["event_id"], F.lit(LINES_AS_OF))
+    return judged.select("event_id", "trade_id", "version", "status")
+
+
 @query
 def maturity_regression(spark, sf):
     stored = store.latest_per_trade(views.store(spark, sf))
@@ -363,13 +367,13 @@ def merge_last_wins(spark, sf):
 @query
 def expire_matured(spark, sf):
     day = F.to_date(F.lit("1997-06-01"))
-    return store.expire_matured(views.store(spark, sf), day).select(*PLAIN_STORE)
+    return store.expire_matured(views.whole_store(spark, sf), day).select(*PLAIN_STORE)
 
 
 @query
 def hash_layout(spark, sf):
     path = scratch_path(spark, "buckets")
-    store.write_hash_layout(views.store(spark, sf), path)
+    store.write_hash_layout(views.whole_store(spark, sf), path)
     rows = spark.read.parquet(path)
     return rows.groupBy("trade_id").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("bucket").alias("buckets"))
 
@@ -377,14 +381,14 @@ def hash_layout(spark, sf):
 @query
 def maturity_months(spark, sf):
     path = scratch_path(spark, "months")
-    store.write_month_layout(views.store(spark, sf), path)
+    store.write_month_layout(views.whole_store(spark, sf), path)
     rows = spark.read.parquet(path)
     return rows.groupBy("maturity_month").agg(F.count(F.lit(1)).alias("rows"), F.max("version").alias("top_version"))
 
 
 @query
 def latest_per_trade(spark, sf):
-    return store.latest_per_trade(views.incoming(spark, sf), ORDER).select(*TRADE_COLUMNS, *ORDER)
+    return store.latest_per_trade(views.all_trades(spark, sf), ORDER).select(*TRADE_COLUMNS, *ORDER)
 
 
 @query
@@ -395,7 +399,7 @@ def rebuild_store(spark, sf):
 
 @query
 def latest_active_version(spark, sf):
-    return store.latest_active_version(views.store(spark, sf))
+    return store.latest_active_version(views.whole_store(spark, sf))
 
 
 @query
@@ -408,39 +412,38 @@ def active_counts(spark, sf):
 
 @query
 def array_chunks(spark, sf):
-    chunks = parts.array_chunks(views.incoming(spark, sf), ORDER, ["trade_id", "version"], 1_000, seed=42)
-    inside = F.size(F.from_json("value", "array<struct<trade_id:string,version:int>>"))
-    return chunks.select("chunk", "records", inside.cast("long").alias("parsed"))
+    chunks = parts.array_chunks(views.all_trades(spark, sf), ORDER, ["trade_id", "version"], 1_000, seed=42)
+    members = F.from_json("value", "array<struct<trade_id:string,version:int>>")
+    records = chunks.select(F.explode(members).alias("m")).select(F.lit("record").alias("kind"), "m.trade_id", F.col("m.version").cast("long").alias("number"))
+    return records.unionByName(chunks.select(F.lit("chunk").alias("kind"), F.col("chunk").cast("string").alias("trade_id"), F.col("records").alias("number")))
 
 
 @query
 def chunk_manifest(spark, sf):
     path = scratch_path(spark, "chunks")
-    manifest_path = bulk.stage_bulk(views.incoming(spark, sf), path, "load-2", rows_per_chunk=1_000)
+    manifest_path = bulk.stage_bulk(views.all_trades(spark, sf), path, "load-2", rows_per_chunk=1_000)
     manifest = files.read_manifest(spark, manifest_path, "load-2")
-    chunk_rows = (
-        spark.read.schema(T.StructType([ARRIVAL_FIELD])).json(f"{path}/chunks").groupBy("_metadata.file_path").count()
-    )
-    largest = chunk_rows.agg((F.max("count") <= 1_000).alias("within_limit"))
-    listed = manifest.select("correlation_id", "rows", F.size("chunk_paths").alias("listed"), "chunkCount")
-    total = listed.groupBy("correlation_id").agg(
-        F.sum("rows").alias("rows"), (F.sum("listed") == F.sum("chunkCount")).alias("all_listed")
+    again = sinks.chunk_sums(spark.read.text(f"{path}/chunks")).withColumnsRenamed({"rows": "n", "checksum": "sum"})
+    both = manifest.join(again, "chunk_path", "full_outer")
+    same = F.col("rows").eqNullSafe(F.col("n")) & F.col("checksum").eqNullSafe(F.col("sum"))
+    return both.groupBy("correlation_id").agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.col("total_rows").isNotNull()).alias("all_listed"),
+        F.bool_and(same).alias("same_checksums"),
+        (F.max("rows") <= 1_000).alias("within_limit"),
     )
-    return total.withColumn("within_limit", F.lit(largest.first()["within_limit"]))
 
 
 @query
 def sized_parts(spark, sf):
-    rows = views.incoming(spark, sf)
+    rows = views.all_trades(spark, sf)
     sizes = parts.part_sizes(rows.count(), 5, 100, seed=42)
     placed = parts.assign_parts(rows, ORDER, sizes, seed=42)
-    per_part = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("arrival").alias("ids"))
-    return per_part.agg(
-        F.sum("n").alias("total"),
-        F.sum("ids").alias("distinct_rows"),
-        F.count(F.lit(1)).alias("parts"),
-        (F.max((F.col("n") == 100).cast("int")) == 1).alias("has_exact_part"),
-    )
+    # every record with whether its part has the number of records that was drawn for it
+    per_part = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    drawn = F.element_at(F.create_map(*[F.lit(x) for k, n in enumerate(sizes) for x in (k, n)]), F.col("part"))
+    filled = per_part.select("part", (F.col("n") == drawn).alias("as_drawn"))
+    return placed.join(filled, "part").select("arrival", "as_drawn", F.col("part").between(0, 4).alias("known_part"))
 
 
 @query
@@ -465,10 +468,35 @@ def bulk_load(spark, sf):
     root = scratch_path(spark, "bulk")
     table = TradeTable.create(spark, f"{root}/table", views.store(spark, sf))
     path = bulk.stage_bulk(views.incoming(spark, sf), f"{root}/stage", "load-3", rows_per_chunk=5_000)
-    bulk.bulk_ingest(spark, table, path, "load-3", [ARRIVAL_FIELD], AS_OF, audit_path=f"{root}/audit")
+    order = {"arrival": "get_json_object(line, '$.arrival')"}
+    bulk.bulk_ingest(spark, table, path, "load-3", order, AS_OF, audit_path=f"{root}/audit")
     return table.read().select(*PLAIN_STORE)
 
 
+def _table_outcome(table: TradeTable) -> DataFrame:
+    """Store rows and dead letters of a table, letters with the text of unreadable records."""
+    kept = table.read().select(
+        F.lit("store").alias("place"), *KEY, F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("raw"), F.lit(1).alias("records")
+    )
+    letters = dlq.decode_dlq(table.dead_letters().select("value"))
+    refused = letters.groupBy("trade.trade_id", "trade.version", "reason", "raw").agg(F.count(F.lit(1)).cast("int").alias("records"))
+    return kept.unionByName(refused.select(F.lit("dlq").alias("place"), *KEY, "reason", "raw", "records"))
+
+
+@query
+def bulk_rejects(spark, sf):
+    root = scratch_path(spark, "bulk-lines")
+    # a sound line also carries its place; a cut line ends before it
+    placed = F.when(F.col("event_type") == "error", F.col("line")).otherwise(
+        F.concat(F.expr("substr(line, 1, length(line) - 1)"), F.lit(',"place":'), F.col("event_id").cast("string"), F.lit("}"))
+    )
+    lines = views.raw_lines(spark, sf).select(placed.alias("line"))
+    path = bulk.stage_bulk(lines, f"{root}/stage", "load-4", rows_per_chunk=5_000)
+    table = TradeTable.create(spark, f"{root}/table")
+    bulk.bulk_ingest(spark, table, path, "load-4", {"place": "CAST(get_json_object(line, '$.place') AS BIGINT)"}, LINES_AS_OF)
+    return _table_outcome(table)
+
+
 # ---- convergence, metrics ---------------------------------------------------------------------------
 
 
@@ -485,10 +513,14 @@ def converge_sources(spark, sf):
 
 
 def _mismatches(spark: SparkSession, sf: str) -> DataFrame:
-    left = views.store(spark, sf)
+    left = views.whole_store(spark, sf)
     mix = F.col("version") + F.length("trade_id") + F.col("book_id").substr(2, 2).cast("int")
-    right = left.filter(mix % 7 != 0).withColumn(
-        "book_id", F.when(mix % 5 == 0, F.lit("B99")).otherwise(F.col("book_id"))
+    right = left.filter(mix % 7 != 0).withColumns(
+        {
+            "book_id": F.when(mix % 5 == 0, F.lit("B99")).otherwise(F.col("book_id")),
+            "counter_party_id": F.when(mix % 4 != 0, F.col("counter_party_id")),
+            "maturity_date": F.when(mix % 9 == 0, F.date_add("maturity_date", 1)).otherwise(F.col("maturity_date")),
+        }
     )
     return recon.reconcile(left.filter(mix % 11 != 0), right, KEY, [c for c in PLAIN_STORE if c not in KEY])
 
@@ -521,7 +553,8 @@ def land_lines(spark: SparkSession, sf: str, folder: str, batches: int = 3) -> N
     for k in range(batches):
         low, high = top * k // batches, top * (k + 1) // batches
         share = lines.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
-        ordered = share.repartitionByRange(2, "event_id").sortWithinPartitions("event_id")
+        # the folder and the file tell the order: ranges of numbers, one file each
+        ordered = share.repartitionByRange("event_id").sortWithinPartitions("event_id")
         ordered.select("line").write.mode("append").text(f"{folder}/{k:04d}")
 
 
@@ -529,7 +562,7 @@ def run_stream(spark: SparkSession, sf: str, batches: int = 3) -> TradeTable:
     root = scratch_path(spark, "stream")
     land_lines(spark, sf, f"{root}/landing", batches)
     table = TradeTable.create(spark, f"{root}/table")
-    lines = streams.line_stream(spark, f"{root}/landing/*", files_per_batch=2)
+    lines = streams.line_stream(spark, f"{root}/landing/*", files_per_batch=8)
     # folders are numbered in event order, so the path orders the lines
     order = ["file_path", "block_start", "row_id"]
     jobs.ingest_stream(
@@ -540,24 +573,14 @@ def run_stream(spark: SparkSession, sf: str, batches: int = 3) -> TradeTable:
 
 @query
 def stream_ingest(spark, sf):
-    table = run_stream(spark, sf)
-    kept = table.read().select(
-        F.lit("store").alias("place"), *KEY, F.lit(None).cast("string").alias("reason"), F.lit(1).alias("records")
-    )
-    letters = dlq.decode_dlq(table.dead_letters())
-    refused = (
-        letters.groupBy("trade.trade_id", "trade.version", "reason")
-        .agg(F.count(F.lit(1)).cast("int").alias("records"))
-        .select(F.lit("dlq").alias("place"), *KEY, "reason", "records")
-    )
-    return kept.unionByName(refused)
+    return _table_outcome(run_stream(spark, sf))
 
 
 @query
 def small_file_flow(spark, sf):
     root = scratch_path(spark, "flow")
     land_lines(spark, sf, f"{root}/landing", batches=2)
-    lines = streams.line_stream(spark, f"{root}/landing/*", files_per_batch=2, archive_to=f"{root}/archive")
+    lines = streams.line_stream(spark, f"{root}/landing/*", files_per_batch=8, archive_to=f"{root}/archive")
     jobs.small_file_flow(
         lines, f"{root}/out", f"{root}/checkpoint", sinks.SMALL_CHUNK, until_empty=True
     ).awaitTermination()
@@ -580,12 +603,9 @@ def small_file_flow(spark, sf):
 @query
 def dedup_stream(spark, sf):
     root = scratch_path(spark, "dedup")
-    events = (
-        spark.readStream.schema(views.table(spark, sf, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf)
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    )
+    table = views.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    table.write.parquet(f"{root}/landing")
+    events = spark.readStream.schema(table.schema).parquet(f"{root}/landing")
     unique = recon.dedup_stream(events, ["user_id", "event_type"], "ts", "6 hours")
     unique.select("user_id", "event_type").writeStream.format("parquet").option(
         "path", f"{root}/out"

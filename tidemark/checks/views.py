@@ -21,22 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, column: str) -> DataFrame:
-    """Use all cores on a table stored in fewer pieces than there are cores.
-
-    A large table has more scan tasks than cores and is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, column) if df.rdd.getNumPartitions() < cores else df
-
-
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem joined to orders as trades; repeated (order, line) pairs give repeated versions."""
-    line = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus", "l_shipdate"
-        ),
-        "l_orderkey",
+    line = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus", "l_shipdate"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     text = lambda name: F.col(name).cast("string")
@@ -68,7 +56,12 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trades(spark, sf_dir).select(*TRADE_COLUMNS, *ORDER)
+
+
 def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trades that meet a store of the other ones, where a query needs both."""
     return trades(spark, sf_dir).filter("st = 'O'").select(*TRADE_COLUMNS, *ORDER)
 
 
@@ -76,13 +69,21 @@ def filed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades(spark, sf_dir).filter("st = 'F'").select(*TRADE_COLUMNS, *ORDER)
 
 
-def store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest_per_key(filed(spark, sf_dir), KEY, ORDER, TRADE_COLUMNS)
-    return rows.withColumns(
+def store_of(rows: DataFrame) -> DataFrame:
+    held = latest_per_key(rows, KEY, ORDER, TRADE_COLUMNS)
+    return held.withColumns(
         {"expired_flag": F.col("maturity_date") < F.lit(STORE_EXPIRY), "ingest_ts": F.lit(STORE_TIME)}
     ).select(*STORE_COLUMNS)
 
 
+def store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_of(filed(spark, sf_dir))
+
+
+def whole_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_of(all_trades(spark, sf_dir))
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON lines: three date styles, missing maturities and truncated lines."""
     day = F.to_date("ts").cast("string")
@@ -117,7 +118,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props"),
         F.lit("}"),
     )
-    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"), "event_id")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     return events.select(
         "event_id", "ts", "event_type", F.when(kind == "error", F.substring(line, 1, 25)).otherwise(line).alias("line")
     )
