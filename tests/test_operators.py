@@ -142,11 +142,11 @@ def test_metrics_lag(spark):
 
 def test_index_is_dense_and_seeded(spark):
     df = spark.range(5000)
-    a = parts.with_index(df, ["id"], seed=1, ranges=64)
+    a = parts.with_index(df, ["id"], seed=1)
     assert sorted(r["index"] for r in a.collect()) == list(range(5000))
-    b = parts.with_index(df, ["id"], seed=1, ranges=64)
+    b = parts.with_index(df, ["id"], seed=1)
     assert a.exceptAll(b).isEmpty()
-    assert not a.exceptAll(parts.with_index(df, ["id"], seed=2, ranges=64)).isEmpty()
+    assert not a.exceptAll(parts.with_index(df, ["id"], seed=2)).isEmpty()
 
 
 @pytest.mark.parametrize("total, n, minsize", [(1000, 5, 100), (100, 4, 100), (7, 1, 3), (50, 30, 1)])
