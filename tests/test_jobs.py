@@ -300,6 +300,28 @@ def test_small_file_flow_archives(spark, tmp_path):
     assert list((tmp_path / "archive").rglob("*.txt"))
 
 
+def test_settled_files_are_taken_once(spark, tmp_path):
+    table = TradeTable.create(spark, f"{tmp_path}/table")
+    folder, base = tmp_path / "landing", 1_700_000_000
+    folder.mkdir()
+    at = lambda s: datetime.datetime.fromtimestamp(base + s)
+
+    def put(name, text, age):
+        (folder / name).write_text(text + "\n")
+        os.utime(folder / name, (base + age, base + age))
+
+    take = lambda s: jobs.ingest_settled(table, str(folder), 60, as_of=TODAY, now=at(s))
+    assert take(0) is None
+    put("a", line("A", 1), 10)
+    put("b", line("B", 1), 40)
+    assert take(60) is None  # both may still grow
+    assert take(80).seq == 0 and [r[0] for r in snapshot(table)] == ["A"]
+    assert take(80) is None
+    put("c", line("A", 2), 45)
+    assert take(105).seq == 1 and [r[:2] for r in snapshot(table)] == [("A", 1), ("B", 1)]
+    assert take(200).seq == 2 and [r[:2] for r in snapshot(table)] == [("A", 1), ("A", 2), ("B", 1)]
+
+
 def test_start_at_latest_files(spark, tmp_path):
     land(tmp_path / "landing", [[line("OLD", 1)]])
     later = datetime.datetime.now() + datetime.timedelta(hours=1)

@@ -234,6 +234,15 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, line FROM raw_lines WHERE event_type =
 FROM trades""",
         "trades",
     ),
+    "csv_convert": sql(
+        """SELECT trade_id, version, counter_party_id, book_id, maturity_date, created_date, '{}' AS payload, arrival
+FROM trades""",
+        "trades",
+    ),
+    "array_files": sql("SELECT trade_id, cast(version AS bigint) AS version, arrival FROM trades", "trades"),
+    "month_upsert": sql(
+        f"SELECT *, strftime(maturity_date, '%Y-%m') AS maturity_month FROM ({UPSERTED})", "newest", "store"
+    ),
     "strict_decode": sql("SELECT event_id, trade_id, version, maturity_date, reject_code FROM strict", "strict"),
     "payload_fields": sql(
         "SELECT arrival, notional, st AS status, cast(NULL AS varchar) AS missing FROM trades", "trades"

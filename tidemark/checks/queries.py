@@ -153,9 +153,9 @@ def canonicalize(spark, sf):
     )
 
 
-@query
-def canonicalize_fields(spark, sf):
-    foreign = views.trades(spark, sf).select(
+def _foreign(spark: SparkSession, sf: str) -> DataFrame:
+    """Trades under the generator's field names."""
+    return views.trades(spark, sf).select(
         F.col("trade_id").alias("Trade Id"),
         F.col("version").cast("long").alias("Version"),
         F.col("counter_party_id").alias("Counter-Party_Id"),
@@ -164,7 +164,11 @@ def canonicalize_fields(spark, sf):
         F.date_format("created_date", "dd/MM/yyyy").alias("Created_Date"),
         "arrival",
     )
-    return canonical.canonicalize(foreign, keep=ORDER)
+
+
+@query
+def canonicalize_fields(spark, sf):
+    return canonical.canonicalize(_foreign(spark, sf), keep=ORDER)
 
 
 @query
@@ -226,6 +230,24 @@ def convert_roundtrip(spark, sf):
     return spark.read.parquet(path).select("event_id", "trade_id", "version", "maturity_date", "created_date", "payload")
 
 
+@query
+def csv_convert(spark, sf):
+    path = scratch_path(spark, "csv-convert")
+    foreign = _foreign(spark, sf)
+    sinks.write_by_extension(foreign, f"{path}/in.csv", ORDER)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in foreign.columns])
+    read = files.read_csv(spark, f"{path}/in.csv", schema)
+    sinks.write_by_extension(canonical.canonicalize(read, keep=ORDER), f"{path}/out.parquet", ORDER)
+    return spark.read.parquet(f"{path}/out.parquet")
+
+
+@query
+def array_files(spark, sf):
+    path = scratch_path(spark, "arrays") + ".json"
+    sinks.write_by_extension(views.all_trades(spark, sf).select("trade_id", "version", "arrival"), path, ORDER, 5_000)
+    return files.read_inferred(spark, path)
+
+
 # ---- validation -------------------------------------------------------------------------------------
 
 
@@ -386,6 +408,15 @@ def maturity_months(spark, sf):
     return rows.groupBy("maturity_month").agg(F.count(F.lit(1)).alias("rows"), F.max("version").alias("top_version"))
 
 
+@query
+def month_upsert(spark, sf):
+    path = scratch_path(spark, "months")
+    store.write_month_layout(views.store(spark, sf), path)
+    latest = store.latest_per_key(_accepted(spark, sf), KEY, ORDER, TRADE_COLUMNS)
+    store.upsert_month_layout(spark, path, store.as_store_rows(latest, _now()))
+    return spark.read.parquet(path).select(*PLAIN_STORE, "maturity_month")
+
+
 @query
 def latest_per_trade(spark, sf):
     return store.latest_per_trade(views.all_trades(spark, sf), ORDER).select(*TRADE_COLUMNS, *ORDER)

@@ -31,6 +31,21 @@ def write_arrays(df: DataFrame, path: str, id_cols: Sequence[str], columns: Sequ
     array_chunks(df, id_cols, columns, rows_per_array).select("value").write.mode("overwrite").text(path)
 
 
+def write_by_extension(df: DataFrame, path: str, id_cols: Sequence[str], rows_per_file: int = BULK_CHUNK) -> None:
+    """Write a folder in the format that its name ends with: ``.jsonl``, ``.csv``, ``.parquet``, or ``.json`` for JSON arrays.
+
+    A ``.json`` folder has one array document per file; ``id_cols`` identify a record and give the arrays a fixed content.
+    """
+    kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if kind == "json":
+        arrays = array_chunks(df, id_cols, df.columns, rows_per_file).select("value")
+        arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    elif kind in ("jsonl", "ndjson", "csv", "parquet"):
+        write_records(df, path, "json" if kind in ("jsonl", "ndjson") else kind, rows_per_file)
+    else:
+        raise ValueError(f"no format for {path!r}")
+
+
 def write_parts(df: DataFrame, path: str, id_cols: Sequence[str], parts: int, minsize: int, seed: int = 0) -> list[int]:
     """Write ``parts`` randomly filled folders ``part=k``, one of exactly ``minsize`` records; returns the sizes."""
     sizes = part_sizes(df.count(), parts, minsize, seed)

@@ -13,8 +13,10 @@ from tidemark.functions.envelope import keyed_messages
 from tidemark.operators.canonical import decode_lines
 from tidemark.operators.validate import not_null_rules, validate
 from tidemark.plans.ingest import ingest_batch, prepare_lines
-from tidemark.plans.table import TradeTable
+from tidemark.plans.table import Batch, TradeTable
 from tidemark.schemas import TRADE_COLUMNS
+from tidemark.session import no_rows, one_row
+from tidemark.sources.files import clean_lines
 from tidemark.sources.streams import ARRIVAL, with_row_id
 
 # Fixed value: interval between batches.
@@ -48,6 +50,45 @@ def ingest_stream(
     return (writer.trigger(availableNow=True) if until_empty else writer.trigger(processingTime=interval)).start()
 
 
+def ingest_settled(
+    table: TradeTable,
+    folder: str,
+    min_age_seconds: int,
+    source: str = "landing",
+    pattern: str = "*",
+    as_of: datetime.date | None = None,
+    now: datetime.datetime | None = None,
+) -> Batch | None:
+    """One round of a landing folder whose files are still being written for a while: take what has settled since the last.
+
+    A round takes the files last modified before ``now - min_age_seconds`` and not before the previous round's limit, so every
+    file is taken once, and none that may still grow.  The limit becomes known with the round's commit; a round that fails is
+    taken again.  None if nothing has settled.
+    """
+    spark = table.spark
+    until = (now or datetime.datetime.now()).replace(microsecond=0) - datetime.timedelta(seconds=min_age_seconds)
+    rounds = table.path(f"rounds-{source}")
+    no_rows(spark, "until timestamp, name string").write.mode("append").parquet(rounds)
+    known = sorted((r["until"], r["name"]) for r in spark.read.parquet(rounds).collect())  # a row per round
+    done = [u for u, name in known if table.begin(source, name).committed]
+    since = max(done, default=datetime.datetime(1970, 1, 2))
+    clock = "%Y-%m-%dT%H:%M:%S"
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    reader = reader.option("modifiedBefore", until.strftime(clock)).option("modifiedAfter", (since - datetime.timedelta(seconds=1)).strftime(clock))
+    scan = clean_lines(reader.text(folder)).filter(F.col("_metadata.file_modification_time") >= F.lit(since))
+    lines = scan.select(
+        "line",
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+    if lines.isEmpty():
+        return None
+    name = until.isoformat()
+    one_row(spark, "until timestamp, name string", (until, name)).write.mode("append").parquet(rounds)
+    return ingest_batch(table, prepare_lines(with_row_id(lines)), ARRIVAL, source, name, as_of, arrived="file_time")
+
+
 def small_file_flow(
     lines: DataFrame,
     target: str,
