@@ -7,7 +7,6 @@ import pathlib
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators import version_rules
 from tidemark.plans import bulk, ingest, replay

@@ -313,13 +313,17 @@ class TradeTable:
         active = latest_active_version(self._overlaid(base.drop("bucket"), newest))
         return self._seen(state, ids, buckets).join(active, "trade_id", "full_outer").select("trade_id", "seen_version", "active_version")
 
-    def _history(self, kind: str) -> DataFrame:
-        """All batches' rows of a kind; an unfinished batch's are told by ``batch`` and left out."""
+    def committed(self) -> DataFrame:
+        """``batch``: the keys of all committed batches."""
         state = self.state()
-        folded = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits").select(BATCH)
-        done = folded
+        done = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits").select(BATCH)
         for key in state.since:
             done = done.unionByName(one_row(self.spark, f"{BATCH} string", (key,)))
+        return done
+
+    def _history(self, kind: str) -> DataFrame:
+        """All batches' rows of a kind; an unfinished batch's are told by ``batch`` and left out."""
+        done = self.committed()
         if kind == "dlq":
             text = self.spark.read.text(self.path(kind))
             place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start")]

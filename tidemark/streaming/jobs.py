@@ -13,7 +13,7 @@ from tidemark.functions.envelope import keyed_messages
 from tidemark.operators.canonical import decode_lines
 from tidemark.operators.validate import not_null_rules, validate
 from tidemark.plans.ingest import ingest_batch, prepare_lines
-from tidemark.plans.table import Batch, TradeTable
+from tidemark.plans.table import Batch, TradeTable, batch_key
 from tidemark.schemas import TRADE_COLUMNS
 from tidemark.session import no_rows, one_row
 from tidemark.sources.files import clean_lines
@@ -68,10 +68,9 @@ def ingest_settled(
     spark = table.spark
     until = (now or datetime.datetime.now()).replace(microsecond=0) - datetime.timedelta(seconds=min_age_seconds)
     rounds = table.path(f"rounds-{source}")
-    no_rows(spark, "until timestamp, name string").write.mode("append").parquet(rounds)
-    known = sorted((r["until"], r["name"]) for r in spark.read.parquet(rounds).collect())  # a row per round
-    done = [u for u, name in known if table.begin(source, name).committed]
-    since = max(done, default=datetime.datetime(1970, 1, 2))
+    no_rows(spark, "until timestamp, batch string").write.mode("append").parquet(rounds)
+    done = spark.read.parquet(rounds).join(table.committed(), "batch", "left_semi").agg(F.max("until")).first()[0]
+    since = done or datetime.datetime(1970, 1, 2)
     clock = "%Y-%m-%dT%H:%M:%S"
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     reader = reader.option("modifiedBefore", until.strftime(clock)).option("modifiedAfter", (since - datetime.timedelta(seconds=1)).strftime(clock))
@@ -85,7 +84,7 @@ def ingest_settled(
     if lines.isEmpty():
         return None
     name = until.isoformat()
-    one_row(spark, "until timestamp, name string", (until, name)).write.mode("append").parquet(rounds)
+    one_row(spark, "until timestamp, batch string", (until, batch_key(source, name))).write.mode("append").parquet(rounds)
     return ingest_batch(table, prepare_lines(with_row_id(lines)), ARRIVAL, source, name, as_of, arrived="file_time")
 
 
