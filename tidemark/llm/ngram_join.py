@@ -16,8 +16,9 @@ positives at most, which cost time and never a link.
 Documents with equal sets become one node first, so copies never form pairs.  Candidates are verified in two steps: each node
 with the smallest node of one of its index entries; then, where an index entry still spans several components, the pairs
 across components.  Links inside a component need no further proof, as only components are returned.  Before the second step
-the shingles of the nodes that are left are counted among them: a shingle of one node alone is in no intersection, so a pair
-with too few others is ruled out by the numbers, without its texts.  In a large group of near copies that leaves few pairs.
+the shingles of the nodes in entries of more than ``CROWD`` nodes are counted among those nodes: a shingle of one node alone
+is in no intersection of two of them, so a pair that meets in such an entry and has too few others is ruled out by the
+numbers, without its texts.  In a large group of near copies that leaves few pairs.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; repeated rows are copies; rows with a null
 doc_id get a null component; an empty table gives no rows.
@@ -42,6 +43,8 @@ ZONE = np.uint64(int(0.23 * 2**64))
 #: Bits of a bitmap, and the least frequencies of which the first is chosen that fills a sixteenth of it at most.
 BITS = 1 << 25
 FREQUENT = (16, 256, 4096)
+#: Nodes of an index entry above which their shingles are counted before pairs are verified.
+CROWD = 16
 #: Bits of the bitmap that picks out the documents in candidate pairs.
 ID_BITS = 1 << 23
 
@@ -280,10 +283,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     joined = components(links)
 
     placed = buckets.join(joined, "node", "left").select("entry", "node", "n", F.coalesce("component", "node").alias("c"))
-    open_entries = placed.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("entry")
-    placed = stage(placed.join(open_entries, "entry"), "ngram-open")
-    left = stage(_among(texts, placed.select(F.col("node").alias("id"))), "ngram-left").dropDuplicates(["doc_id"])
-    placed = placed.join(_met(left), "node", "left").select("entry", "node", "n", "c", F.coalesce("met", "n").alias("met"))
+    ranges = placed.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("nodes")).filter("low < high")
+    placed = stage(placed.join(ranges.select("entry", (F.col("nodes") > CROWD).alias("crowd")), "entry"), "ngram-open")
+    # only ids of crowded entries; a false positive of the bitmap is one more text to count
+    left = stage(_among(texts, placed.filter("crowd").select(F.col("node").alias("id"))), "ngram-left").dropDuplicates(["doc_id"])
+    placed = placed.join(_met(left), "node", "left").select(
+        "entry", "node", "n", "c", F.when(F.col("crowd"), F.coalesce("met", "n")).otherwise(F.col("n")).alias("met")
+    )
     one, two = placed.toDF("entry", "a", "n", "ca", "v"), placed.toDF("entry", "b", "m", "cb", "w")
     # the intersection is at most least(v, w), and a link needs PERCENT * (n + m) <= (100 + PERCENT) * intersection
     enough = PERCENT * (F.col("n") + F.col("m")) <= (100 + PERCENT) * F.least("v", "w")
