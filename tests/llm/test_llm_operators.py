@@ -187,6 +187,20 @@ def test_quality(spark, docs, none):
     assert all(r["kept"] == (not r["base_failed"]) for r in unlabelled)
 
 
+def test_quality_trusts_all_labelled_rows(spark):
+    """Labels of documents elsewhere, however many, change nothing: no trusted row is left out for their sake."""
+    import random
+
+    random.seed(7)
+    rows = [(k, " ".join(f"{'ab'[k % 2]}{random.randrange(300)}" for _ in range(80))) for k in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    more = labels.unionByName(spark.range(1_000, 61_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic")))
+    want = by_id(quality.judge(frame, labels))
+    assert len({r["value"] for r in want.values()}) > 30 and not all(r["kept"] for r in want.values())
+    assert by_id(quality.judge(frame, more)) == want
+
+
 def test_quality_is_native(spark):
     plan = queries.op3_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -3,7 +3,7 @@
 Base rules count words, symbols, repeated lines and repeated three-word windows of each text, with array functions.
 
 The ratio compares two multinomials over hashed one- and two-word terms (``BUCKETS`` classes, smoothed by one): the terms of
-trusted rows (a bounded set of labelled ones) and the terms of the whole corpus, counted over all documents.  A text's value is the mean of its terms'
+trusted rows (all labelled ones) and the terms of the whole corpus, counted over all documents.  A text's value is the mean of its terms'
 log ratios, so long and short texts compare.  Every document meets the same threshold: the ``TRUST`` quantile of the values of
 trusted rows that were not counted as the target (a half, by hash), taken from a histogram in steps of ``STEP``, so the verdict is deterministic.
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stage
 
 BUCKETS = 4_096
-#: Labelled rows that the trusted multinomial and the threshold are fitted on, at most.
-TRUSTED_ROWS = 20_000
+#: Bits of the bitmap that picks out documents before the join with labels; its false positives cost time alone.
+ID_BITS = 1 << 23
 TRUST = 0.01
 STEP = 0.001
 LEAST_WORDS = 50
@@ -78,14 +78,13 @@ def terms(hashes: Column) -> Column:
     return F.concat(single, F.transform(F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(0))), pair))
 
 
-def term_weights(rows: DataFrame) -> list[float]:
-    """log(share in trusted rows / share in all rows) of every bucket, from rows with ``hashes`` and boolean ``trusted``."""
-    found = rows.select("trusted", F.explode(terms(F.col("hashes"))).alias("bucket")).groupBy("bucket")
-    counted = found.agg(F.count("*").alias("n"), F.count_if(F.col("trusted")).alias("t")).collect()  # at most BUCKETS rows
+def term_weights(rows: DataFrame, trusted_rows: DataFrame) -> list[float]:
+    """log(share in trusted rows / share in all rows) of every bucket, from rows with ``hashes``."""
     raw, trusted = [1] * BUCKETS, [1] * BUCKETS
-    for r in counted:
-        raw[r["bucket"] - 1] += r["n"]
-        trusted[r["bucket"] - 1] += r["t"]
+    for held, counts in ((rows, raw), (trusted_rows, trusted)):
+        found = held.select(F.explode(terms(F.col("hashes"))).alias("bucket")).groupBy("bucket")
+        for r in found.agg(F.count("*").alias("n")).collect():  # at most BUCKETS rows
+            counts[r["bucket"] - 1] += r["n"]
     if sum(trusted) == BUCKETS:
         return [0.0] * BUCKETS
     scale = math.log(sum(raw) / sum(trusted))
@@ -101,8 +100,8 @@ def with_value(docs: DataFrame, weights: list[float]) -> DataFrame:
 
 
 def threshold(rows: DataFrame) -> float:
-    """The TRUST quantile of ``value`` among trusted rows, as the lower edge of its histogram step; 0 without any."""
-    steps = rows.filter("trusted AND value IS NOT NULL").groupBy(F.floor(F.col("value") / STEP).alias("step")).count()
+    """The TRUST quantile of ``value`` among ``rows``, as the lower edge of its histogram step; 0 without any."""
+    steps = rows.groupBy(F.floor(F.col("value") / STEP).alias("step")).count()
     found = sorted((r["step"], r["count"]) for r in steps.collect())  # log ratios span a few thousand steps at most
     if not found:
         return 0.0
@@ -119,21 +118,31 @@ def _fitted() -> Column:
     return F.coalesce(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(2)) == 0, F.lit(False))
 
 
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows that may have a doc_id of ``ids``: by a bitmap of ID_BITS bits, broadcast as words, so the others' texts do not move."""
+    place = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(ID_BITS))
+    word, bit = F.shiftright(place, 6).cast("int"), place.bitwiseAND(F.lit(63)).cast("int")
+    words = ids.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word")
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__mask"))
+    found = rows.withColumns({"__at": word, "__of": F.call_function("shiftleft", F.lit(1).cast("long"), bit)})
+    same = (F.col("__at") == F.col("__word")) & (F.col("__mask").bitwiseAND(F.col("__of")) != 0)
+    return found.join(F.broadcast(words), same, "left_semi").drop("__at", "__of")
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, value``.
 
-    Trusted are the rows with ``labels.quality`` 1 that have enough words: all of them or, of more than TRUSTED_ROWS, those
-    with the smallest hashes of doc_id, so that they can be broadcast and texts need not move.
+    Trusted are all rows with ``labels.quality`` 1 that have enough words.  Texts are joined with labels for the target terms
+    alone, and only those that a bitmap lets through; the threshold joins the written values.
     """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("__good", F.lit(True))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(good), "doc_id", "left")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    target = _among(rows.filter(_fitted()), good.filter(_fitted())).join(good, "doc_id", "left_semi")
+    weights = term_weights(with_words(rows), with_words(target).filter(F.size("words") >= LEAST_WORDS))
     counted = base_counts(with_words(rows)).withColumn("base_failed", base_failed())
-    counted = counted.withColumn("trusted", F.coalesce("__good", F.lit(False)) & ~F.col("base_failed") & ~_fitted()).drop("__good")
-    words = with_words(rows).withColumn("trusted", F.coalesce("__good", F.lit(False)) & (F.size("words") >= LEAST_WORDS) & _fitted())
-    weights = term_weights(words)
-    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "trusted", "value"]
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "value"]
     valued = stage(with_value(counted, weights).select(*columns), "quality-values")
-    least = threshold(valued)
+    held = valued.filter(~F.col("base_failed") & ~_fitted() & F.col("value").isNotNull()).select("doc_id", "value")
+    least = threshold(held.join(good, "doc_id", "left_semi"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("value") >= F.lit(least), F.lit(False))
     return valued.withColumn("kept", kept).select(*columns[:7], "kept", "value")
