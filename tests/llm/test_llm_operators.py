@@ -115,6 +115,13 @@ def test_ngram_join_edges(docs, none):
     assert sorted({r["doc_id"] for r in kept.filter("doc_id IS NOT NULL").collect()}) == sorted(i for i, (_, c) in want.items() if i == c)
 
 
+def test_ngram_join_null_id_before_its_copy(spark):
+    """A row without doc_id does not stand for the equal texts after it in its task."""
+    rows = [(None, BASE), (5, BASE), (9, BASE + " nineteen")]
+    got = by_id(ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)))
+    assert (got[5]["component_id"], got[9]["component_id"]) == (5, 5)
+
+
 def test_ngram_join_many_near_copies(spark):
     """Frequent shingles, chains whose ends do not link, and short texts; all links are found."""
     import random

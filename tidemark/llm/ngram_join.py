@@ -195,10 +195,11 @@ def index(docs: DataFrame, shared) -> DataFrame:
         met: set[tuple[int, int]] = set()
         for part, sets in _read(batches):
             ids, found = part.column("doc_id").to_pylist(), []
-            for s in sets:
+            for i, s in zip(ids, sets, strict=True):
                 name = signature(s)
-                found.append(np.zeros(0, np.uint64) if name in met else entries(s, twice, frequent))
-                met.add(name)
+                found.append(np.zeros(0, np.uint64) if i is None or name in met else entries(s, twice, frequent))
+                if i is not None:  # entries without an owner join nothing
+                    met.add(name)
             owner = [i for i, f in zip(ids, found, strict=True) for _ in range(len(f))]
             if owner:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), pa.array(owner, pa.int64())], ["entry", "doc_id"])
