@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, exact, langid, mixing, ngram_join, quality, suffixes, toxicity, warc
+from tidemark.llm import bpe, burst, chat, exact, langid, mixing, ngram_join, quality, routing, spelling, suffixes, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return burst.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
@@ -78,6 +90,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE = {
