@@ -163,16 +163,26 @@ def test_nearest_in_two_levels(spark):
     x = clustered(6000)
     frame = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     rows = routing.stage(routing.usable(frame), "ann-test")
-    networks = routing.learn(rows, 32, 8)
+    networks, sample = routing.learn(rows, 32, 8)
+    assert 1300 <= len(sample) <= 1500
     assert len(networks) > 1
     leaves = routing.index(rows, networks).groupBy("part", "sub").count().count()
     assert leaves > 16
-    routed = routing.route(rows.filter("vec_id % 20 = 0"), networks).count()
+    routed = routing.route(rows.filter("vec_id % 20 = 0").withColumn("bound", F.lit(0.0)), networks).count()
     assert routed < 0.8 * 300 * leaves  # queries do not look everywhere
     want = brute_nearest(list(enumerate(x)), lambda i: i % 20 == 0)
     check_search(routing.nearest(frame, "vec_id % 20 = 0", wished=32, parts=8, rows_side=100, queries_side=50), want)
 
 
+def test_nearest_beyond_the_sample(spark, monkeypatch):
+    """A sample that is a small part of the rows: bounds prune, and nothing that was found is lost."""
+    monkeypatch.setattr(routing, "SAMPLE", 500)
+    x = clustered(6000, 5)
+    frame = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = brute_nearest(list(enumerate(x)), lambda i: i % 20 == 0)
+    check_search(routing.nearest(frame, "vec_id % 20 = 0", wished=400, parts=8), want)
+
+
 def test_nearest_edges(spark):
     x = clustered(300, 2)
     rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
@@ -181,7 +191,7 @@ def test_nearest_edges(spark):
     out = [(2000, None), (2020, [0.0] * 16), (2040, [float("nan")] * 16), (2060, [float("inf"), *[1.0] * 15]), (2080, [None, *[1.0] * 15]), (2100, [1.0]), (2120, []), (None, rows[0][1])]
     frame = spark.createDataFrame(rows + out, "vec_id long, embedding array<double>").withColumns({c: F.lit("?") for c in ("v", "part", "sub", "query_id", "q", "d")})
     got = routing.nearest(frame, "vec_id % 20 = 0")
-    assert check_search(got, brute_nearest(rows, lambda i: i % 20 == 0)) == 1.0
+    check_search(got, brute_nearest(rows, lambda i: i % 20 == 0))
     assert routing.nearest(frame.limit(0), "vec_id % 20 = 0").count() == 0
     assert routing.nearest(frame.filter("vec_id = 40"), "vec_id % 20 = 0").count() == 0
     assert {f.name: f.dataType.typeName() for f in got.schema} == {f.name: f.dataType.typeName() for f in routing.nearest(frame.limit(0), "true").schema}

@@ -1,6 +1,6 @@
 """Nearest neighbours by inner product in learned partitions.
 
-A bounded sample of the vectors (``SAMPLE`` of smallest hash of id) gives a graph that joins each to its ``EDGES`` nearest.
+A bounded sample of the vectors (by hash of id; ``SAMPLE``, and a quarter at most) gives a graph that joins each to its ``EDGES`` nearest.
 The graph is cut into parts of equal size: halves along main axes first, then moves of nodes to the part of most of
 their neighbours, within the parts' capacity.  A small network (one hidden layer, softmax) learns from a vector the shares of the
 parts among its neighbours.  Every row of the table is indexed in the part of largest share that the network gives it.  A query
@@ -9,6 +9,9 @@ network has not seen, so that ``RECALL`` of their sampled neighbours lie in the
 parts.  Parts of more than ``SPLIT`` times the wished size are cut again in the same way, each by a sample and a network of its own,
 fitted in tasks; shares of the two levels multiply.
 
+A query is compared with the sample first.  The sample's rows are found rows like any others, and the score of the last of
+its nearest there is a lower bound: parts only tell of rows that reach it.
+
 Routed queries meet the rows of their parts in blocks of bounded size on both sides, whatever the size of a part, and each
 pair of blocks is reranked by matrix products.  What could be among the nearest is scored again in double precision,
 component by component in order, so that equal vectors have equal scores wherever they are computed.
@@ -49,6 +52,8 @@ RECALL = 0.94
 ROWS = 4_096
 QUERIES = 1_024
 
+_FOUND = "query_id long, vec_id long, score double"
+
 
 # ---- fitting, in numpy --------------------------------------------------------------------------------
 
@@ -228,12 +233,15 @@ def _fit_parts(rows: DataFrame, counts: dict[int, int], wished: int) -> dict[int
     return {r["part"]: pickle.loads(r["model"]) for r in found}
 
 
-def learn(rows: DataFrame, wished: int = WISHED, parts: int = PARTS) -> dict:
-    """Networks by part, that of the first level under None; ``rows`` as of ``usable``, written."""
+def learn(rows: DataFrame, wished: int = WISHED, parts: int = PARTS) -> tuple[dict, pd.DataFrame]:
+    """Networks by part, that of the first level under None, and the sample; ``rows`` as of ``usable``, written."""
     n = rows.count()
+    most = min(SAMPLE, -(-n // 4))
+    picked = sampled(rows, F.lit(most / max(1, n))).orderBy("h", "vec_id", "v").limit(most).toPandas()
+    if not len(picked):
+        picked = rows.limit(1).toPandas()
     if not n:
-        return {}
-    picked = sampled(rows, F.lit(SAMPLE / n)).orderBy("h", "vec_id", "v").limit(SAMPLE).toPandas()
+        return {}, picked
     networks = {None: fit(_matrix(picked["v"]), power_of_two(min(n / wished, len(picked) / (2 * EDGES)), parts))}
     if n > parts * wished:
         placed = stage(index(rows, networks), "ann-first")
@@ -241,7 +249,7 @@ def learn(rows: DataFrame, wished: int = WISHED, parts: int = PARTS) -> dict:
         large = {p: c for p, c in counts.items() if c > SPLIT * wished}
         if large:
             networks |= _fit_parts(placed, large, wished)
-    return networks
+    return networks, picked[["vec_id", "v"]]
 
 
 def index(rows: DataFrame, networks: dict) -> DataFrame:
@@ -261,7 +269,7 @@ def index(rows: DataFrame, networks: dict) -> DataFrame:
 
 
 def route(rows: DataFrame, networks: dict) -> DataFrame:
-    """``query_id, q, part, sub``: every query with each of the leaves it looks at."""
+    """``query_id, q, bound, part, sub``: every query (vec_id, v, bound) with each of the leaves it looks at."""
     held = rows.sparkSession.sparkContext.broadcast(pickle.dumps(networks))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,10 +283,22 @@ def route(rows: DataFrame, networks: dict) -> DataFrame:
                 row, place = np.nonzero(ahead <= mass)
                 leaf = np.array(leaves, np.int32)[order[row, place]]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("vec_id").take(pa.array(row)), some.column("v").take(pa.array(row)), pa.array(leaf[:, 0]), pa.array(leaf[:, 1])], ["query_id", "q", "part", "sub"]
+                    [*[some.column(c).take(pa.array(row)) for c in ("vec_id", "v", "bound")], pa.array(leaf[:, 0]), pa.array(leaf[:, 1])], ["query_id", "q", "bound", "part", "sub"]
                 )
 
-    return rows.mapInArrow(send, "query_id long, q array<double>, part int, sub int")
+    return rows.mapInArrow(send, "query_id long, q array<double>, bound double, part int, sub int")
+
+
+def near_sample(queries: DataFrame, sample: pd.DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: the k nearest of the sample to each query."""
+    held = queries.sparkSession.sparkContext.broadcast(sample)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), QUERIES):
+                yield rerank(held.value, batch.iloc[at : at + QUERIES].rename(columns={"vec_id": "query_id", "v": "q"}), k)
+
+    return queries.mapInPandas(search, _FOUND)
 
 
 def rerank(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -291,6 +311,8 @@ def rerank(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
     best = np.maximum.reduceat(scores, first, axis=1)
     near = np.sort(best, axis=1)[:, -min(k, best.shape[1])]
+    if "bound" in queries:
+        near = np.maximum(near, queries["bound"].to_numpy())
     slack = 1e-12 * x.shape[1] * np.abs(q).max(axis=1) * np.abs(x).max()
     row, column = np.nonzero((scores >= (near - slack)[:, None]) & (scores > -np.inf))
     exact = np.zeros(len(row))
@@ -305,23 +327,28 @@ def nearest(vectors: DataFrame, queries, k: int = NEAREST, wished: int = WISHED,
     """``query_id, rank, vec_id, score``: the k nearest found of every row for which the condition ``queries`` holds."""
     spark = vectors.sparkSession
     rows = stage(usable(vectors), "ann-rows")
-    networks = learn(rows, wished, parts)
+    networks, sample = learn(rows, wished, parts)
     if not networks:
         return spark.range(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
     leaf = ["part", "sub"]
     placed = stage(index(rows, networks), "ann-index")
-    routed = stage(route(rows.filter(queries), networks), "ann-queries")
+    asked = rows.filter(queries)
+    close = stage(near_sample(asked, sample, k), "ann-sample")
+    # a query id whose rows stood in several batches has more than k and goes without a bound
+    bounds = close.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("known")).filter(F.col("known") == k)
+    bounded = asked.join(bounds, F.col("vec_id") == F.col("query_id"), "left").select("vec_id", "v", F.coalesce("least", F.lit(float("-inf"))).alias("bound"))
+    routed = stage(route(bounded, networks), "ann-queries")
     counts = placed.groupBy(*leaf).agg(F.count("*").alias("n"))
-    asked = routed.groupBy(*leaf).agg(F.count("*").alias("m"))
+    heard = routed.groupBy(*leaf).agg(F.count("*").alias("m"))
     # at most PARTS * PARTS leaves, with their numbers of blocks
-    sides = counts.join(asked, leaf).select(*leaf, F.ceil(F.col("n") / rows_side).alias("across"), F.ceil(F.col("m") / queries_side).alias("down"))
+    sides = counts.join(heard, leaf).select(*leaf, F.ceil(F.col("n") / rows_side).alias("across"), F.ceil(F.col("m") / queries_side).alias("down"))
     sides = stage(sides, "ann-leaves")
     deal = lambda name, by, salt: F.pmod(F.xxhash64(name, F.lit(salt)), F.col(by))
     left = placed.join(F.broadcast(sides), leaf).select(
         *leaf, deal("vec_id", "across", 1).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("q_block"), "vec_id", "v"
     )
     right = routed.join(F.broadcast(sides), leaf).select(
-        *leaf, F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("block"), deal("query_id", "down", 2).alias("q_block"), "query_id", "q"
+        *leaf, F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("block"), deal("query_id", "down", 2).alias("q_block"), "query_id", "q", "bound"
     )
     by = [*leaf, "block", "q_block"]
 
@@ -330,7 +357,7 @@ def nearest(vectors: DataFrame, queries, k: int = NEAREST, wished: int = WISHED,
             return pd.DataFrame({"query_id": pd.Series([], "int64"), "vec_id": pd.Series([], "int64"), "score": pd.Series([], "float64")})
         return rerank(rows, queries, k)
 
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "query_id long, vec_id long, score double")
+    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, _FOUND).unionByName(close)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
