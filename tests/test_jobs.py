@@ -4,6 +4,7 @@ import datetime
 import json
 import os
 import pathlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -321,6 +322,56 @@ def test_settled_files_are_taken_once(spark, tmp_path):
     assert take(200).seq == 2 and [r[:2] for r in snapshot(table)] == [("A", 1), ("A", 2), ("B", 1)]
 
 
+def test_interleaved_compactions_keep_every_batch(spark, tmp_path, monkeypatch):
+    """A slow compaction that had read the table before a batch publishes after one that has folded it."""
+    table = TradeTable.create(spark, f"{tmp_path}/table", compact_every=1000)
+    many = lambda t: ingest.prepare_lines(spark.createDataFrame([(k, line(f"{t}{k}", 1)) for k in range(20)], "n int, line string"))
+    ingest.ingest_batch(table, many("A"), ["n"], "s", 0, TODAY)
+    stale = table.state()
+    ingest.ingest_batch(table, many("B"), ["n"], "s", 1, TODAY)
+    assert table.compact().folded == 1 and table.read().count() == 40
+    real = TradeTable.state
+    calls = []
+    monkeypatch.setattr(TradeTable, "state", lambda self: calls.append(1) or (stale if len(calls) == 1 else real(self)))
+    late = table.compact()
+    assert (late.snapshot, late.folded) == (1, 1) and table.read().count() == 40
+    assert len(list((tmp_path / "table").glob("snapshot-*"))) == 2  # the loser's folder is gone
+    assert table.retire() and len(list((tmp_path / "table").glob("snapshot-*"))) == 1 and table.read().count() == 40
+
+
+def test_a_late_attempt_of_a_committed_batch_changes_nothing(spark, tmp_path):
+    """Two attempts of one batch: the one that commits first is what is read, whatever the other one writes later."""
+    table = TradeTable.create(spark, f"{tmp_path}/table")
+    one = lambda text: ingest.prepare_lines(spark.createDataFrame([(1, text)], "n int, line string"))
+    late = table.begin("s", 0, TODAY)
+    ingest.ingest_batch(table, one(line("A", 5)), ["n"], "s", 0, datetime.date(2030, 1, 1))
+    rows = table.read().limit(0).withColumn("gone", F.lit(False))
+    table.write_changes(late, rows)
+    assert table.commit(late) is None and table.begin("s", 0).committed
+    assert late.as_of == table.begin("s", 0).as_of == TODAY  # pinned once
+    assert [(r[0], r[1]) for r in snapshot(table)] == [("A", 5)]
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_settled_files_whatever_the_time_zone(spark, tmp_path, monkeypatch, zone):
+    """The driver's zone differs from the session's (UTC): a file just written is too young, one two hours old is taken."""
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        table = TradeTable.create(spark, f"{tmp_path}/table")
+        land(tmp_path / "landing", [[line("A", 1)]])
+        path, now = tmp_path / "landing" / "part-000.txt", time.time()
+        os.utime(path, (now, now))
+        assert jobs.ingest_settled(table, str(tmp_path / "landing"), 3600, as_of=TODAY) is None
+        os.utime(path, (now - 7200, now - 7200))
+        assert jobs.ingest_settled(table, str(tmp_path / "landing"), 60, as_of=TODAY).committed
+        assert jobs.ingest_settled(table, str(tmp_path / "landing"), 60, as_of=TODAY) is None
+        assert table.read().count() == 1
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_start_at_latest_files(spark, tmp_path):
     land(tmp_path / "landing", [[line("OLD", 1)]])
     later = datetime.datetime.now() + datetime.timedelta(hours=1)

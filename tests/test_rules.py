@@ -147,15 +147,19 @@ def test_frequent_key_stays_exact(spark):
     assert {r["arrival"]: r["reason"] for r in judged.collect()} == want
 
 
-def test_earlier_max_over_many_values(spark):
-    """Values in several blocks, ties in place order by two columns, nulls and refused rows without a key."""
+@pytest.mark.parametrize("listed", [marks.LISTED, 5])
+def test_earlier_max_over_many_values(spark, listed):
+    """Values in several blocks, ties in place order by two columns, nulls and refused rows without a key.
+
+    With few steps listed, the rows look into blocks.
+    """
     import random
 
     random.seed(8)
     data = [(random.choice(["a", "b", None]), k // 7, k, random.choice([None, random.randrange(-9000, 30000)]), k % 5 == 0) for k in range(2000)]
     df = spark.createDataFrame(data, "k string, p int, n int, v int, bad boolean").repartition(7)
     start = spark.createDataFrame([("a", 5), ("c", 6)], "k string, s int")
-    got = {r["n"]: (r["m"], r["s"]) for r in marks.earlier_max(df, "k", ["p", "n"], F.col("v"), "m", start, F.col("bad")).collect()}
+    got = {r["n"]: (r["m"], r["s"]) for r in marks.earlier_max(df, "k", ["p", "n"], F.col("v"), "m", start, F.col("bad"), listed).collect()}
     top, want = {}, {}
     for k, _, n, v, bad in data:
         alive = not bad and k is not None
@@ -165,6 +169,17 @@ def test_earlier_max_over_many_values(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("listed", [marks.LISTED, 5])
+def test_earlier_max_over_a_long_staircase(spark, listed):
+    """A key whose values only grow: every value is a step, over several blocks; another whose values only fall: one step."""
+    rows = [("up", n, 7 * n - 4000) for n in range(1500)] + [("down", n, 9000 - n) for n in range(1500)]
+    df = spark.createDataFrame(rows, "k string, n int, v int").repartition(5)
+    steps = {r["_key"]: r["n"] for r in marks.staircases(df, "k", ["n"], F.col("v"), listed).groupBy("_key").agg(F.sum(F.size("_steps")).alias("n")).collect()}
+    assert steps["up"] == 1500 and steps["down"] == 1
+    got = {(r["k"], r["n"]): r["m"] for r in marks.earlier_max(df, "k", ["n"], F.col("v"), "m", listed=listed).collect()}
+    assert got == {(k, n): None if n == 0 else (7 * (n - 1) - 4000 if k == "up" else 9000) for k, n, _ in rows}
+
+
 def test_refused_rows_keep_their_code(spark):
     _, arriving = random_case(8, keys=50, hot=800)
     df = trades_df(spark, arriving).withColumn("reject_code", F.when(F.col("arrival") % 5 == 0, F.lit("PARSE_ERROR")))

@@ -17,7 +17,7 @@ from tidemark.operators import canonical, generate, metrics, parts, recon, store
 from tidemark.plans import bulk, ingest
 from tidemark.plans.table import TradeTable
 from tidemark.schemas import KEY, STORE, STORE_COLUMNS, TRADE, TRADE_COLUMNS
-from tidemark.session import no_rows, scratch_path
+from tidemark.session import no_rows, scratch_path, written
 from tidemark.sinks import files as sinks
 from tidemark.sources import dlq, files, streams
 from tidemark.streaming import jobs
@@ -67,6 +67,11 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.prepare_lines(views.raw_lines(spark, sf))
 
 
+def _decoded(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines parsed once: the rules look at them twice, for first places and for the rows themselves."""
+    return written(_lines(spark, sf), "decoded")
+
+
 # ---- sources ----------------------------------------------------------------------------------------
 
 
@@ -305,7 +310,7 @@ def prefilter_rejects(spark, sf):
 
 @query
 def prefilter_strict(spark, sf):
-    decoded = canonical.strict_decode(views.raw_lines(spark, sf))
+    decoded = written(canonical.strict_decode(views.raw_lines(spark, sf)), "decoded")
     judged = version_rules.prefilter(decoded, ["event_id"], F.lit(LINES_AS_OF), names=version_rules.STRICT_REASONS)
     return judged.select("event_id", "trade_id", "version", "reason")
 
@@ -330,7 +335,7 @@ def active_scope_rules(spark, sf):
 
 @query
 def line_rules(spark, sf):
-    judged = version_rules.two_tier(_lines(spark, sf), None, ["event_id"], F.lit(LINES_AS_OF))
+    judged = version_rules.two_tier(_decoded(spark, sf), None, ["event_id"], F.lit(LINES_AS_OF))
     return judged.select("event_id", "trade_id", "version", "reason")
 
 
@@ -342,7 +347,7 @@ def upsert_status(spark, sf):
 
 @query
 def line_status(spark, sf):
-    judged = version_rules.upsert_status(_lines(spark, sf), no_rows(spark, STORE), ["event_id"], F.lit(LINES_AS_OF))
+    judged = version_rules.upsert_status(_decoded(spark, sf), no_rows(spark, STORE), ["event_id"], F.lit(LINES_AS_OF))
     return judged.select("event_id", "trade_id", "version", "status")
 
 

@@ -3,21 +3,44 @@
 A running maximum needs to know, for a row at place ``o``, the largest value that the key has had before ``o``.  It is enough
 to know *where each value came first*: the answer is the largest value whose first place is before ``o``.  First places are
 a grouped minimum, reduced before the shuffle, so a key with very many rows sends one row per distinct value and task.
-They are looked up in two levels, blocks of ``2 ** BLOCK_BITS`` neighbouring values and values inside a block, so no list is
-longer than a block or than the number of a key's blocks.
+A value that came after a larger one is never an answer and is dropped, so what is left of a key is a staircase: larger values at
+later places.
 
-Rows are joined to the lists of their key, one row per key, so Spark's adaptive skew join can split a frequent key.  The plan
-is the same at every size and no job runs while it is built.
+Rows meet the staircase of their key in one join, one row per key, so Spark's adaptive skew join can split a frequent key, and
+rows move once.  Staircases are kept in blocks of ``2 ** BLOCK_BITS`` neighbouring values.  Keys with more than ``LISTED``
+steps list their blocks alone, and only their rows look into a block by a second join; where no key is that large, that
+join's right side is empty and Spark drops it at run time.
+
+The plan is the same at every size and no job runs while it is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 12
+#: Steps of a key that travel with its rows.
+LISTED = 1_024
+
+
+def staircases(rows: DataFrame, key: str, order: Sequence[str], value: Column, listed: int = LISTED) -> DataFrame:
+    """``_key, _block, _low, _steps, _small``: the blocks of each key's staircase, and whether the key has few steps."""
+    first = (
+        rows.select(F.col(key).alias("_key"), value.cast("int").alias("_value"), F.struct(*order).alias("_here"))
+        .filter("_key IS NOT NULL AND _value IS NOT NULL")
+        .groupBy("_key", "_value")
+        .agg(F.min("_here").alias("_first"))
+        .withColumn("_block", F.shiftright("_value", BLOCK_BITS))
+    )
+    larger = Window.partitionBy("_key", "_block").orderBy(F.desc("_value")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = first.withColumn("_before", F.min("_first").over(larger)).filter("_before IS NULL OR _first < _before")
+    blocks = steps.groupBy("_key", "_block").agg(F.min("_first").alias("_low"), F.collect_list(F.struct("_first", "_value")).alias("_steps"))
+    higher = Window.partitionBy("_key").orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.min("_low").over(higher)).filter("_before IS NULL OR _low < _before")
+    return blocks.withColumn("_small", F.sum(F.size("_steps")).over(Window.partitionBy("_key")) <= listed).drop("_before")
 
 
 def earlier_max(
@@ -28,6 +51,7 @@ def earlier_max(
     out: str,
     start: DataFrame | None = None,
     refused: Column | None = None,
+    listed: int = LISTED,
 ) -> DataFrame:
     """Add ``out``, the maximum of the integer ``value`` over the earlier rows of the key, null if there is none.
 
@@ -36,30 +60,23 @@ def earlier_max(
     even if they have no key.  Rows with a null value raise nothing.
     """
     here = F.struct(*order)
-    counted = rows if refused is None else rows.filter(~refused)
-    first = (
-        counted.select(F.col(key).alias("_key"), value.cast("int").alias("_value"), here.alias("_here"))
-        .filter("_key IS NOT NULL AND _value IS NOT NULL")
-        .groupBy("_key", "_value")
-        .agg(F.min("_here").alias("_first"))
-    )
-    blocks = first.groupBy("_key", F.shiftright("_value", BLOCK_BITS).alias("_block")).agg(
-        F.min("_first").alias("_low"), F.collect_list(F.struct("_first", "_value")).alias("_values")
-    )
-    tops = blocks.groupBy("_key").agg(F.collect_list(F.struct("_low", "_block")).alias("_blocks"))
+    blocks = staircases(rows if refused is None else rows.filter(~refused), key, order, value, listed)
+    # the block first, so that the largest entry is the highest block
+    entry = F.struct("_block", "_low", F.when(F.col("_small"), F.col("_steps")).alias("_steps"))
+    tops = blocks.groupBy("_key").agg(F.collect_list(entry).alias("_blocks"))
     if start is not None:
         tops = tops.join(start.withColumnRenamed(key, "_key"), "_key", "full_outer")
 
-    own = F.col(key)
-    if refused is not None:
-        own = F.when(refused, F.concat(F.lit("\x00"), F.xxhash64(*order).cast("string"))).otherwise(own)
-    keyed = rows.withColumn("_own", own)
-    held = keyed.join(tops, F.col("_own") == F.col("_key"), "left").drop("_key")
-    before = F.filter("_blocks", lambda b: b["_low"] < here)
-    held = held.withColumn("_top", F.array_max(F.transform(before, lambda b: b["_block"]))).drop("_blocks")
-    inside = blocks.select("_key", "_block", "_values")
-    held = held.join(inside, (F.col("_own") == F.col("_key")) & (F.col("_top") == F.col("_block")), "left")
-    known = F.filter("_values", lambda v: v["_first"] < here)
+    # rows that look up nothing take part under keys of their own
+    apart = F.concat(F.lit("\x00"), F.xxhash64(*order).cast("string"))
+    own = F.col(key) if refused is None else F.when(refused, apart).otherwise(F.col(key))
+    held = rows.withColumn("_own", own).join(tops, F.col("_own") == F.col("_key"), "left").drop("_key")
+    held = held.withColumn("_top", F.array_max(F.filter("_blocks", lambda b: b["_low"] < here))).drop("_blocks")
+    beyond = F.col("_top").isNotNull() & F.col("_top._steps").isNull()
+    held = held.withColumn("_own", F.when(beyond, F.col("_own")).otherwise(apart))
+    large = blocks.filter("NOT _small").select("_key", "_block", F.col("_steps").alias("_looked_up"))
+    held = held.join(large, (F.col("_own") == F.col("_key")) & (F.col("_top._block") == F.col("_block")), "left")
+    known = F.filter(F.coalesce("_top._steps", "_looked_up"), lambda v: v["_first"] < here)
     return held.withColumn(out, F.array_max(F.transform(known, lambda v: v["_value"]))).drop(
-        "_own", "_key", "_top", "_block", "_values"
+        "_own", "_key", "_top", "_block", "_looked_up"
     )

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.envelope import reject_envelope
 from tidemark.operators.canonical import decode_lines
 from tidemark.operators.metrics import outcome_metrics
-from tidemark.operators.store import as_store_rows, latest_per_key, upsert
+from tidemark.operators.store import as_store_rows, latest_per_key
 from tidemark.operators.validate import constraint_check
 from tidemark.operators.version_rules import two_tier
 from tidemark.plans.table import GONE, Batch, TradeTable
-from tidemark.schemas import ATTRIBUTES, KEY, STORE, TRADE_COLUMNS
+from tidemark.schemas import ATTRIBUTES, KEY, TRADE_COLUMNS
 
 
 def prepare_lines(df: DataFrame, line: str = "line") -> DataFrame:
@@ -48,7 +48,7 @@ def ingest_batch(
     if batch.committed:
         return batch
     # read for the levels and for the judgement, and once more if another batch commits first
-    prepared = table.path("prepared", batch.key)
+    prepared = table.path("prepared", batch.folder)
     records.select(*columns).write.mode("overwrite").parquet(prepared)
     held = table.spark.read.parquet(prepared)
 
@@ -56,7 +56,7 @@ def ingest_batch(
         levels = table.levels(touched=held.filter("reject_code IS NULL"))
         judged = two_tier(held, levels, order, F.lit(batch.as_of))
         # the other outputs are read back from this table: one evaluation, and lost executors cost no rework
-        judged.write.mode("overwrite").parquet(table.path("outcomes", batch.key))
+        judged.write.mode("overwrite").parquet(table.path("outcomes", batch.folder))
         _write_outputs(table, batch, order, raw, arrived)
 
     return table.apply(source, name, judge, as_of)
@@ -64,7 +64,7 @@ def ingest_batch(
 
 def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: str, arrived: str | None) -> None:
     at = F.lit(batch.at)
-    judged = table.spark.read.parquet(table.path("outcomes", batch.key))
+    judged = table.spark.read.parquet(table.path("outcomes", batch.folder))
     accepted = judged.filter(F.col("reason").isNull())
     rejected = judged.filter(F.col("reason").isNotNull())
 
@@ -81,8 +81,8 @@ def _write_outputs(table: TradeTable, batch: Batch, order: Sequence[str], raw: s
     # independent small jobs, so they are submitted together
     writes = [
         lambda: table.write_changes(batch, rows, marks),
-        lambda: letters.write.mode("overwrite").text(table.path("dlq", batch.key)),
-        lambda: counts.write.mode("overwrite").parquet(table.path("metrics", batch.key)),
+        lambda: letters.write.mode("overwrite").text(table.path("dlq", batch.folder)),
+        lambda: counts.write.mode("overwrite").parquet(table.path("metrics", batch.folder)),
     ]
     with ThreadPoolExecutor(len(writes)) as pool:
         for done in [pool.submit(inheritable_thread_target(table.spark)(w)) for w in writes]:
@@ -96,6 +96,5 @@ def rebuild_store(
     now: Column | None = None,
 ) -> DataFrame:
     """The store that replaying a whole history from nothing gives, in one plan."""
-    judged = two_tier(history, None, order, as_of)
-    empty = history.sparkSession.createDataFrame([], STORE)
-    return upsert(empty, judged.filter(F.col("reason").isNull()), order, now)
+    accepted = two_tier(history, None, order, as_of).filter(F.col("reason").isNull())
+    return as_store_rows(latest_per_key(accepted, KEY, order, [*KEY, *ATTRIBUTES]), F.current_timestamp() if now is None else now)

@@ -3,18 +3,20 @@
 Layout under the table's root (``K`` is a batch's key, made from its source and its number or name):
 
 =====================================  =================================================================
-``snapshot=N/store|seen|commits/``     the table as of N: store rows and stream marks by bucket, batches folded in
-``begun/batch=K/``                     pins a batch's business date and time at its first attempt
-``accepted|marks/batch=K/``            store rows that a batch changes, and the stream marks of its trades
-``outcomes|dlq|metrics/batch=K/``      its records with their reasons, dead letters, counts
-``commits/S``                          marker of the S-th commit: which batch it was
-``snapshots/N``                        marker of a snapshot: the commits it has folded in
+``snapshot-U/store|seen|commits/``     the table as of a commit: store rows and stream marks by bucket, batches folded in
+``begun/K``                            marker that pins a batch's business date and time at its first attempt
+``accepted|marks/batch=K-U/``          store rows that an attempt of a batch changes, and the stream marks of its trades
+``outcomes|dlq|metrics/batch=K-U/``    its records with their reasons, dead letters, counts
+``commits/S``                          marker of the S-th commit: which attempt of which batch it was
+``snapshots/N``                        marker of the N-th snapshot: its folder and the commits it has folded in
 =====================================  =================================================================
 
 A marker is a small file that is created only if it does not exist.  That is all that writers share, so several sources may
 run at once: a writer judges its batch against the commits it has seen, and if another one commits first, it finds its
-marker's number taken, reads the levels of its trades again, and judges once more.  Readers open what markers name.  A batch
-writes to folders fixed by its key, so running it again after a failure gives the same table.
+marker's number taken, reads the levels of its trades again, and judges once more.  Every attempt (``U``) of a batch or a
+compaction writes to folders of its own and readers open only what markers name, so a slow or repeated attempt never
+writes under what another one has published.  Creating a marker is a rename that refuses to replace, which is atomic on HDFS
+and local disks; an object store needs a committer with the same promise.
 
 ``compact`` writes the next snapshot with one plan; ``retire`` removes what no marker needs any more.
 """
@@ -26,7 +28,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +47,20 @@ _COMMITS = "batch string, seq long, as_of date, at timestamp"
 
 @dataclass(frozen=True)
 class Batch:
-    """A begun batch with its pinned business date and time; ``base`` is the last commit it was judged against."""
+    """An attempt of a begun batch with its pinned date and time; ``base`` is the last commit it was judged against."""
 
     key: str
+    attempt: str
     source: str
     as_of: datetime.date
     at: datetime.datetime
     base: int = -1
     seq: int | None = None
 
+    @property
+    def folder(self) -> str:
+        return f"{self.key}-{self.attempt}"
+
     @property
     def committed(self) -> bool:
         return self.seq is not None
@@ -61,9 +68,10 @@ class Batch:
 
 @dataclass(frozen=True)
 class State:
-    """What a reader sees: a snapshot, the last commit folded into it, and the batches committed since, in their order."""
+    """What a reader sees: a snapshot, the last commit folded into it, and the attempts committed since, in their order."""
 
     snapshot: int
+    folder: str
     folded: int
     last: int
     since: dict[str, int] = field(default_factory=dict)
@@ -90,9 +98,9 @@ class TradeTable:
         """Start a table, empty or from a frame of store rows unique by primary key."""
         table = cls(spark, root, buckets, compact_every)
         rows = no_rows(spark, STORE) if store is None else store.select(*STORE_COLUMNS)
-        table._write_snapshot(0, rows, no_rows(spark, _SEEN), no_rows(spark, _COMMITS))
+        folder = table._write_snapshot(rows, no_rows(spark, _SEEN), no_rows(spark, _COMMITS))
         no_rows(spark, "value string").write.mode("overwrite").text(table.path("dlq", "none"))
-        table._mark("snapshots/0", {"folded": -1})
+        table._mark("snapshots/0", {"folder": folder, "folded": -1})
         return table
 
     # ---- markers ------------------------------------------------------------------------------------
@@ -128,53 +136,61 @@ class TradeTable:
         names = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
         return sorted(int(n) for n in names if n.isdigit())
 
+    def _marker(self, name: str) -> dict:
+        path, files = self._files()
+        stream = files.open(path(f"{self.root}/{name}"))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     def _markers(self, folder: str, above: int = -1) -> dict[int, dict]:
         """Contents of a folder's markers by number: one file per commit since the last snapshot."""
-        path, files = self._files()
-        read = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString
-        found = {}
-        for n in self._numbers(folder):
-            if n > above:
-                stream = files.open(path(f"{self.root}/{folder}/{n}"))
-                found[n] = json.loads(read(stream, "UTF-8"))
-                stream.close()
-        return found
+        return {n: self._marker(f"{folder}/{n}") for n in self._numbers(folder) if n > above}
 
     def state(self) -> State:
         snapshot, marker = max(self._markers("snapshots", self._numbers("snapshots")[-1] - 1).items())
         commits = self._markers("commits", marker["folded"])
-        return State(snapshot, marker["folded"], max([marker["folded"], *commits]), {c["batch"]: n for n, c in commits.items()})
+        since = {c["batch"]: n for n, c in commits.items()}
+        return State(snapshot, marker["folder"], marker["folded"], max([marker["folded"], *commits]), since)
+
+    def _folded(self, state: State) -> DataFrame:
+        return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/{state.folder}/commits")
 
     # ---- batches ------------------------------------------------------------------------------------
 
     def _committed(self, key: str, state: State) -> int | None:
-        if key in state.since:
-            return state.since[key]
-        folded = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits")
-        row = folded.filter(F.col("batch") == key).first()
+        since = [seq for folder, seq in state.since.items() if folder.startswith(f"{key}-")]
+        if since:
+            return since[0]
+        row = self._folded(state).filter(F.col("batch").startswith(f"{key}-")).first()
         return None if row is None else row["seq"]
 
+    def has(self, source: str, name: str | int) -> bool:
+        """Whether a batch is part of the table."""
+        return self._committed(batch_key(source, name), self.state()) is not None
+
     def begin(self, source: str, name: str | int, as_of: datetime.date | None = None) -> Batch:
-        """Start a batch, or resume it with the date and time pinned at its first attempt."""
+        """Start an attempt of a batch, with the date and time pinned at its first one."""
         key = batch_key(source, name)
         path, files = self._files()
-        pinned = self.path("begun", key)
-        if not files.exists(path(f"{pinned}/_SUCCESS")):
+        if not files.exists(path(f"{self.root}/begun/{key}")):
             clock = self.spark.range(1).select(F.current_date().alias("d"), F.current_timestamp().alias("t")).first()
             at = clock["t"].replace(microsecond=0)
-            row = one_row(self.spark, "as_of date, at timestamp", (as_of or clock["d"], at))
-            row.write.mode("overwrite").parquet(pinned)
-        row = self.spark.read.schema("as_of date, at timestamp").parquet(pinned).first()
+            # of two first attempts, one pins the date and time of both
+            self._mark(f"begun/{key}", {"as_of": str(as_of or clock["d"]), "at": at.isoformat()})
+        pinned = self._marker(f"begun/{key}")
         state = self.state()
-        return Batch(key, source, row["as_of"], row["at"], state.last, self._committed(key, state))
+        day, at = datetime.date.fromisoformat(pinned["as_of"]), datetime.datetime.fromisoformat(pinned["at"])
+        return Batch(key, uuid.uuid4().hex, source, day, at, state.last, self._committed(key, state))
 
     def commit(self, batch: Batch) -> Batch | None:
         """Make a batch part of the table; None if another batch was committed after ``batch.base``: judge again."""
         seq = batch.base + 1
-        content = {"batch": batch.key, "as_of": str(batch.as_of), "at": batch.at.isoformat()}
+        content = {"batch": batch.folder, "as_of": str(batch.as_of), "at": batch.at.isoformat()}
         if not self._mark(f"commits/{seq}", content):
             return None
-        return Batch(batch.key, batch.source, batch.as_of, batch.at, batch.base, seq)
+        return replace(batch, seq=seq)
 
     def apply(self, source: str, name: str | int, judge: Callable[[Batch], None], as_of: datetime.date | None = None) -> Batch:
         """Begin a batch, let ``judge`` write its folders, and commit it; again as often as others commit first."""
@@ -209,29 +225,44 @@ class TradeTable:
 
     def write_changes(self, batch: Batch, rows: DataFrame, marks: DataFrame | None = None) -> None:
         """Store rows that a batch changes, one per primary key, and the stream marks of its trades."""
-        rows.select(*CHANGES.names).write.mode("overwrite").parquet(self.path("accepted", batch.key))
+        rows.select(*CHANGES.names).write.mode("overwrite").parquet(self.path("accepted", batch.folder))
         seen = no_rows(self.spark, _SEEN) if marks is None else marks
-        seen.select("trade_id", "seen_version").write.mode("overwrite").parquet(self.path("marks", batch.key))
+        seen.select("trade_id", "seen_version").write.mode("overwrite").parquet(self.path("marks", batch.folder))
+
+    def begin_round(self, source: str, until: int) -> None:
+        """Note the limit of a round of a landing folder, in seconds; the round's batch is named ``until <limit>``."""
+        self._mark(f"rounds-{source}/{until}", {})
+
+    def last_round(self, source: str) -> int:
+        """The largest limit whose batch is committed; 0 if there is none."""
+        return next((n for n in reversed(self._numbers(f"rounds-{source}")) if self.has(source, f"until {n}")), 0)
 
     # ---- snapshots ----------------------------------------------------------------------------------
 
-    def _write_snapshot(self, number: int, store: DataFrame, seen: DataFrame, commits: DataFrame) -> None:
-        root = self.path(f"snapshot={number}")
-        hash_layout(store, self.buckets).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/store")
-        hash_layout(seen, self.buckets).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/seen")
-        commits.write.mode("overwrite").parquet(f"{root}/commits")
+    def _write_snapshot(self, store: DataFrame, seen: DataFrame, commits: DataFrame) -> str:
+        """Write a snapshot to a folder of its own; it is part of the table once a marker names the folder."""
+        folder = f"snapshot-{uuid.uuid4().hex}"
+        for name, rows in (("store", store), ("seen", seen)):
+            laid = hash_layout(rows, self.buckets).hint("rebalance", "bucket")
+            laid.write.partitionBy("bucket").parquet(f"{self.root}/{folder}/{name}")
+        commits.write.parquet(f"{self.root}/{folder}/commits")
+        return folder
 
     def compact(self) -> State:
-        """Write the table as it is now as the next snapshot.  Batches committed meanwhile stay beside it."""
+        """Write the table as it is now as the next snapshot.  Batches committed meanwhile stay beside it.
+
+        Of compactions that run at once, the first to publish wins and the others delete what they have written.
+        """
         state = self.state()
-        number = state.snapshot + 1
-        commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits")
+        commits = self._folded(state)
         for seq, c in self._markers("commits", state.folded).items():
             if seq <= state.last:
                 row = (c["batch"], seq, datetime.date.fromisoformat(c["as_of"]), datetime.datetime.fromisoformat(c["at"]))
                 commits = commits.unionByName(one_row(self.spark, _COMMITS, row))
-        self._write_snapshot(number, self.read(state), self._seen(state), commits)
-        self._mark(f"snapshots/{number}", {"folded": state.last})
+        folder = self._write_snapshot(self.read(state), self._seen(state), commits)
+        if not self._mark(f"snapshots/{state.snapshot + 1}", {"folder": folder, "folded": state.last}):
+            path, files = self._files()
+            files.delete(path(f"{self.root}/{folder}"), True)
         return self.state()
 
     def retire(self, keep_history: bool = True) -> list[str]:
@@ -242,8 +273,11 @@ class TradeTable:
         """
         path, files = self._files()
         state = self.state()
-        folded = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits")
-        gone = [self.path(f"snapshot={n}") for n in range(state.snapshot)] + [f"{self.root}/snapshots/{n}" for n in range(state.snapshot)]
+        folded = self._folded(state)
+        gone = []
+        for n, marker in self._markers("snapshots").items():
+            if n < state.snapshot:
+                gone += [f"{self.root}/{marker['folder']}", f"{self.root}/snapshots/{n}"]
         kinds = ["accepted", "marks", *([] if keep_history else ["outcomes", "dlq", "metrics"])]
         for row in folded.filter(F.col("seq") <= state.folded).toLocalIterator():
             gone += [self.path(kind, row["batch"]) for kind in kinds] + [f"{self.root}/commits/{row['seq']}"]
@@ -253,7 +287,7 @@ class TradeTable:
 
     def _laid(self, kind: str, state: State, schema: T.StructType) -> DataFrame:
         laid = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-        return self.spark.read.schema(laid).parquet(f"{self.path(f'snapshot={state.snapshot}')}/{kind}")
+        return self.spark.read.schema(laid).parquet(f"{self.root}/{state.folder}/{kind}")
 
     def _since(self, kind: str, state: State, schema: T.StructType) -> DataFrame:
         """Rows of the batches committed since the snapshot, with their ``seq``; folders are named, none is listed."""
@@ -263,7 +297,7 @@ class TradeTable:
         paths = [self.path(kind, key) for key in state.since]
         numbers = F.create_map(*[F.lit(x) for key, seq in state.since.items() for x in (key, seq)])
         rows = self.spark.read.schema(schema).option("basePath", self.path(kind)).parquet(*paths)
-        key = F.regexp_extract(F.col("_metadata.file_path"), f"{BATCH}=([0-9a-f]+)", 1)
+        key = F.regexp_extract(F.col("_metadata.file_path"), f"{BATCH}=([0-9a-f-]+)", 1)
         return rows.withColumn("seq", F.element_at(numbers, key).cast("long")).select(*found.columns)
 
     def _newest(self, state: State) -> DataFrame:
@@ -314,9 +348,9 @@ class TradeTable:
         return self._seen(state, ids, buckets).join(active, "trade_id", "full_outer").select("trade_id", "seen_version", "active_version")
 
     def committed(self) -> DataFrame:
-        """``batch``: the keys of all committed batches."""
+        """``batch``: the folders of all committed batches."""
         state = self.state()
-        done = self.spark.read.schema(_COMMITS).parquet(f"{self.path(f'snapshot={state.snapshot}')}/commits").select(BATCH)
+        done = self._folded(state).select(BATCH)
         for key in state.since:
             done = done.unionByName(one_row(self.spark, f"{BATCH} string", (key,)))
         return done

@@ -50,6 +50,13 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """The frame written to the shared folder and read back, where a plan needs it more than once and it is dear to compute."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
     """A single literal row in one partition; needs no Python worker."""
     fields = T.StructType.fromDDL(schema).fields

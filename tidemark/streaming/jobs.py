@@ -13,9 +13,8 @@ from tidemark.functions.envelope import keyed_messages
 from tidemark.operators.canonical import decode_lines
 from tidemark.operators.validate import not_null_rules, validate
 from tidemark.plans.ingest import ingest_batch, prepare_lines
-from tidemark.plans.table import Batch, TradeTable, batch_key
+from tidemark.plans.table import Batch, TradeTable
 from tidemark.schemas import TRADE_COLUMNS
-from tidemark.session import no_rows, one_row
 from tidemark.sources.files import clean_lines
 from tidemark.sources.streams import ARRIVAL, with_row_id
 
@@ -63,18 +62,15 @@ def ingest_settled(
 
     A round takes the files last modified before ``now - min_age_seconds`` and not before the previous round's limit, so every
     file is taken once, and none that may still grow.  The limit becomes known with the round's commit; a round that fails is
-    taken again.  None if nothing has settled.
+    taken again.  Limits are whole seconds since 1970 and meet the files' times as such, so no time zone has a part in it.  A
+    ``now`` without a zone is local time of the driver.  None if nothing has settled.
     """
     spark = table.spark
-    until = (now or datetime.datetime.now()).replace(microsecond=0) - datetime.timedelta(seconds=min_age_seconds)
-    rounds = table.path(f"rounds-{source}")
-    no_rows(spark, "until timestamp, batch string").write.mode("append").parquet(rounds)
-    done = spark.read.parquet(rounds).join(table.committed(), "batch", "left_semi").agg(F.max("until")).first()[0]
-    since = done or datetime.datetime(1970, 1, 2)
-    clock = "%Y-%m-%dT%H:%M:%S"
+    until = int((now or datetime.datetime.now()).timestamp()) - min_age_seconds
+    since = table.last_round(source)
+    modified = F.unix_micros(F.col("_metadata.file_modification_time"))
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-    reader = reader.option("modifiedBefore", until.strftime(clock)).option("modifiedAfter", (since - datetime.timedelta(seconds=1)).strftime(clock))
-    scan = clean_lines(reader.text(folder)).filter(F.col("_metadata.file_modification_time") >= F.lit(since))
+    scan = clean_lines(reader.text(folder)).filter((modified < F.lit(until * 1_000_000)) & (modified >= F.lit(since * 1_000_000)))
     lines = scan.select(
         "line",
         F.col("_metadata.file_modification_time").alias("file_time"),
@@ -83,9 +79,8 @@ def ingest_settled(
     )
     if lines.isEmpty():
         return None
-    name = until.isoformat()
-    one_row(spark, "until timestamp, batch string", (until, batch_key(source, name))).write.mode("append").parquet(rounds)
-    return ingest_batch(table, prepare_lines(with_row_id(lines)), ARRIVAL, source, name, as_of, arrived="file_time")
+    table.begin_round(source, until)
+    return ingest_batch(table, prepare_lines(with_row_id(lines)), ARRIVAL, source, f"until {until}", as_of, arrived="file_time")
 
 
 def small_file_flow(
