@@ -110,6 +110,8 @@ UNION ALL
 SELECT event_id, trade_id, version, maturity_date, created_date, payload, reject_code FROM checked
 WHERE reject_code IS NOT NULL""",
     ),
+    "early": (["line_judged"], "SELECT * FROM line_judged WHERE event_id < (SELECT (max(event_id) + 1) * 2 // 3 FROM events)"),
+    "early_lines": (["raw_lines"], "SELECT * FROM raw_lines"),
     "reasons_of": (
         ["decoded"],
         """SELECT event_id, ok, trade_id, version, concat_ws(',',
@@ -445,6 +447,32 @@ FROM replayed""",
     "reconcile_summary": sql(
         "SELECT status, differing, count(*) AS rows FROM mismatches GROUP BY status, differing", "mismatches"
     ),
+    "reconcile_three_ways": sql(
+        """SELECT trade_id, version, CASE WHEN mix % 41 = 0 THEN 'stream' WHEN mix % 47 = 0 THEN 'snapshot' ELSE '' END AS missing,
+  CASE WHEN mix % 43 = 0 THEN 'book_id' WHEN mix % 53 = 0 THEN 'maturity_date' ELSE '' END AS differing
+FROM (SELECT *, version + length(trade_id) + cast(substr(book_id, 2, 2) AS int) AS mix FROM whole_store)
+WHERE mix % 41 = 0 OR mix % 43 = 0 OR mix % 47 = 0 OR mix % 53 = 0""",
+        "whole_store",
+    ),
+    "worker_metrics": sql(
+        """, w AS (SELECT *, cast(cast(substr(book_id, 2, 2) AS int) % 4 AS varchar) AS worker, coalesce(reason, 'accept') AS outcome FROM judged),
+d AS (SELECT worker, count(*) - count(DISTINCT (trade_id, version)) AS duplicates FROM w GROUP BY worker),
+t AS (SELECT worker, duplicates FROM d UNION ALL SELECT 'ALL', sum(duplicates) FROM d),
+m AS (SELECT coalesce(worker, 'ALL') AS worker, coalesce(outcome, 'ALL') AS outcome, count(*) AS records,
+  count(*) FILTER (reason IS NULL AND version = s) AS replacements, count(*) FILTER (reason = 'DB_GUARDRAIL_REJECT') AS failed_upserts
+FROM w GROUP BY ROLLUP (worker, outcome))
+SELECT m.*, CASE WHEN outcome = 'ALL' THEN cast(t.duplicates AS bigint) END AS duplicates FROM m JOIN t USING (worker)""",
+        "judged",
+    ),
+    "settled_landing": sql(
+        LINES_OUTCOME.replace("FROM line_judged", "FROM early").replace("JOIN raw_lines", "JOIN early_lines"), "early", "early_lines"
+    ),
+    "stateful_rules": sql("SELECT arrival, trade_id, version, reason, s AS seen_version FROM replayed", "replayed"),
+    "stream_progress": sql(
+        """SELECT 'counts.records' AS metric, count(*) AS records FROM checked
+UNION ALL SELECT 'counts.refused', count(reject_code) FROM checked""",
+        "checked",
+    ),
     "dedup_ttl": """SELECT event_id, user_id, event_type FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type
   ORDER BY ts, event_id) AS previous FROM events) WHERE previous IS NULL OR ts > previous + INTERVAL 6 HOUR""",
     "stream_ingest": sql(LINES_OUTCOME, "line_judged", "raw_lines"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,14 +14,14 @@ from tidemark.checks.views import AS_OF, LINES_AS_OF, ORDER
 from tidemark.functions.envelope import keyed_messages, reject_envelope, route_tagged
 from tidemark.functions.keys import PARTITIONS
 from tidemark.functions.payload import payload_field
-from tidemark.operators import canonical, generate, metrics, parts, recon, store, validate, version_rules
+from tidemark.operators import canonical, digests, generate, metrics, parts, recon, store, validate, version_rules
 from tidemark.plans import bulk, ingest
 from tidemark.plans.table import TradeTable
 from tidemark.schemas import KEY, STORE, STORE_COLUMNS, TRADE, TRADE_COLUMNS
 from tidemark.session import no_rows, scratch_path, written
 from tidemark.sinks import files as sinks
 from tidemark.sources import dlq, files, streams
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, progress, state
 
 PLAIN_STORE = [c for c in STORE_COLUMNS if c != "ingest_ts"]
 ARRIVAL_FIELD = T.StructField("arrival", T.StringType())
@@ -571,6 +572,41 @@ def reconcile_summary(spark, sf):
     return recon.reconcile_summary(_mismatches(spark, sf))
 
 
+SIDES_COMPARED = ["counter_party_id", "book_id", "maturity_date"]
+
+
+@query
+def reconcile_three_ways(spark, sf):
+    """What the stream made of the trades, the store, and a batch snapshot, each with its own planted faults."""
+    path = scratch_path(spark, "sides")
+    base = views.whole_store(spark, sf).select(*KEY, *SIDES_COMPARED)
+    mix = F.col("version") + F.length("trade_id") + F.col("book_id").substr(2, 2).cast("int")
+    later = F.when(mix % 53 == 0, F.date_add("maturity_date", 1)).otherwise(F.col("maturity_date"))
+    sides = {
+        "stream": base.filter(mix % 41 != 0),
+        "store": base.withColumn("book_id", F.when(mix % 43 == 0, F.lit("B99")).otherwise(F.col("book_id"))),
+        "snapshot": base.filter(mix % 47 != 0).withColumn("maturity_date", later),
+    }
+    for name, df in sides.items():
+        digests.write_side(df, f"{path}/{name}", KEY, SIDES_COMPARED)
+    return digests.reconcile_sides(spark, {name: f"{path}/{name}" for name in sides}, KEY, SIDES_COMPARED)
+
+
+@query
+def worker_metrics(spark, sf):
+    """Outcomes and duplicates by publishing worker; trades are dealt to workers by book."""
+    judged = _judged_by_worker(spark, sf)
+    return metrics.outcome_metrics(judged, ["worker"]).join(metrics.duplicates(judged, ["worker"]), "worker", "left").select(
+        "worker", "outcome", "records", "replacements", "failed_upserts", F.when(F.col("outcome") == metrics.TOTAL, F.coalesce("duplicates", F.lit(0))).alias("duplicates")
+    )
+
+
+def _judged_by_worker(spark: SparkSession, sf: str) -> DataFrame:
+    levels = store.latest_active_version(views.store(spark, sf)).withColumn("seen_version", F.lit(None).cast("int"))
+    dealt = views.incoming(spark, sf).withColumn("worker", (F.col("book_id").substr(2, 2).cast("int") % 4).cast("string"))
+    return version_rules.two_tier(dealt, levels, ORDER, _today())
+
+
 @query
 def dedup_ttl(spark, sf):
     events = views.table(spark, sf, "events")
@@ -612,6 +648,65 @@ def stream_ingest(spark, sf):
     return _table_outcome(run_stream(spark, sf))
 
 
+@query
+def settled_landing(spark, sf):
+    """Three landed pieces, of which the last is too young: the round takes the others."""
+    root = scratch_path(spark, "settled")
+    land_lines(spark, sf, f"{root}/landing", 3)
+    jvm, now = spark.sparkContext._jvm, time.time()
+    path = jvm.org.apache.hadoop.fs.Path
+    disk = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for k in range(2):
+        for part in disk.listStatus(path(f"{root}/landing/{k:04d}")):
+            disk.setTimes(part.getPath(), int(now - 7200 + k) * 1000, -1)
+    table = TradeTable.create(spark, f"{root}/table")
+    jobs.ingest_settled(table, f"{root}/landing", 3600, as_of=LINES_AS_OF)
+    return _table_outcome(table)
+
+
+def land_trades(spark: SparkSession, sf: str, folder: str, files: int = 4) -> T.StructType:
+    """Trades in three pieces in order of arrival, each of ``files`` files."""
+    trades = views.all_trades(spark, sf)
+    for k, (low, high) in enumerate([("", "5"), ("5", "a"), ("a", "g")]):
+        piece = trades.filter((F.col("arrival") >= low) & (F.col("arrival") < high))
+        piece.repartition(files).write.parquet(f"{folder}/{k:04d}")
+    return trades.schema
+
+
+@query
+def stateful_rules(spark, sf):
+    """The stream tier with marks in Spark's state store, over three batches."""
+    root = scratch_path(spark, "stateful")
+    schema = land_trades(spark, sf, f"{root}/landing")
+    state.use_rocksdb(spark)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/landing/*")
+    judged = state.stateful_prefilter(stream, ORDER, _today()).select("arrival", *KEY, "reason", "seen_version")
+    writer = judged.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(judged.schema).parquet(f"{root}/out")
+
+
+@query
+def stream_progress(spark, sf):
+    """Totals over the batches of a stream, from what its listener was told."""
+    root = scratch_path(spark, "progress")
+    land_lines(spark, sf, f"{root}/landing", 3)
+    rows: list[tuple] = []
+    log = progress.ProgressLog(rows.extend)
+    spark.streams.addListener(log)
+    try:
+        lines = ingest.prepare_lines(streams.line_stream(spark, f"{root}/landing/*", files_per_batch=8))
+        writer = progress.observed(lines).writeStream.format("noop").option("checkpointLocation", f"{root}/checkpoint")
+        running = writer.trigger(availableNow=True).start()
+        running.awaitTermination()
+        log.wait(running.runId)
+    finally:
+        spark.streams.removeListener(log)
+    told = progress.progress_rows(spark, rows).filter(F.col("run_id") == str(running.runId))
+    counted = told.filter("metric IN ('counts.records', 'counts.refused')")
+    return counted.groupBy("metric").agg(F.sum("value").cast("long").alias("records"))
+
+
 @query
 def small_file_flow(spark, sf):
     root = scratch_path(spark, "flow")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import DB_GUARDRAIL
+from tidemark.schemas import KEY
 
 ACCEPTED = "accept"
 TOTAL = "ALL"
@@ -46,3 +47,11 @@ def outcome_metrics(
     )
     named = totals.withColumns({c: F.coalesce(F.col(c), F.lit(TOTAL)) for c in [*by, "outcome"]})
     return named if arrived is not None else named.drop("lag_seconds")
+
+
+def duplicates(records: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``duplicates`` per group and in total: records whose (trade_id, version) came before in the group."""
+    copies = records.groupBy(*by, *KEY).agg((F.count(F.lit(1)) - 1).alias("copies"))
+    per_group = copies.groupBy(*by).agg(F.sum("copies").alias("duplicates"))
+    totals = per_group.rollup(*by).agg(F.sum("duplicates").alias("duplicates"))
+    return totals.withColumns({c: F.coalesce(F.col(c), F.lit(TOTAL)) for c in by})

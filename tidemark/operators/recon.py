@@ -57,19 +57,18 @@ def reconcile_summary(mismatches: DataFrame) -> DataFrame:
 def dedup_ttl(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], ttl_seconds: int) -> DataFrame:
     """Keep a record if no earlier record of its key lies within the TTL before it.
 
-    The previous record that matters lies in the same span of one TTL or in the span before.  Records are put in order inside
-    (key, span), so a key with very many records is as many groups as it has spans; the last time of the span before comes from
-    a grouped maximum.  ``tie`` columns make the order total.
+    Inside (key, span of one TTL) only the first record can be kept, so a grouped minimum stands for the span and a burst of one
+    key is reduced before the shuffle.  It is kept if the last record of the spans before lies more than the TTL back.  ``tie``
+    columns make the order total; of records equal in all of them one is kept.  Records without a time are all kept.
     """
-    spanned = df.withColumn("_span", F.expr(f"unix_micros(cast(`{ts}` AS timestamp)) div {ttl_seconds * 1_000_000}"))
-    inside = Window.partitionBy(*keys, "_span").orderBy(ts, *tie)
-    last = spanned.groupBy(*keys, "_span").agg(F.max(ts).alias("_last"))
-    last = last.select(*[F.col(k).alias(f"_of_{k}") for k in keys], (F.col("_span") + 1).alias("_of_span"), "_last")
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys] + [F.col("_span") == F.col("_of_span")]
-    marked = spanned.withColumn("_previous", F.lag(ts).over(inside)).join(last, same, "left")
-    previous = F.coalesce("_previous", "_last")
-    fresh = previous.isNull() | (F.col(ts) > previous + F.make_dt_interval(secs=F.lit(ttl_seconds)))
-    return marked.filter(fresh).select(*df.columns)
+    micros, span = f"unix_micros(cast(`{ts}` AS timestamp))", ttl_seconds * 1_000_000
+    timed = df.filter(F.col(ts).isNotNull()).withColumn("_span", F.expr(f"({micros} - pmod({micros}, {span})) div {span}"))
+    rest = [c for c in df.columns if c not in keys]
+    firsts = timed.groupBy(*keys, "_span").agg(F.min_by(F.struct(*rest), F.struct(ts, *tie)).alias("_row"), F.max(ts).alias("_last"))
+    previous = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_span"))
+    marked = firsts.select(*keys, "_row.*", previous.alias("_previous"))
+    fresh = F.col("_previous").isNull() | (F.col(ts) > F.col("_previous") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
+    return marked.filter(fresh).select(*df.columns).unionByName(df.filter(F.col(ts).isNull()))
 
 
 def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, ttl: str) -> DataFrame:
