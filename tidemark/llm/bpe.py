@@ -31,10 +31,13 @@ from tidemark.llm.common import text_slices
 
 #: A recursive query keeps the rows of all its steps, so words above this length are contracted step by step instead.
 LONG_WORD = 400
-#: Bytes of distinct words in one recursive query.
-QUERY_BYTES = 1 << 17
-#: Pieces kept between batches of a worker; beyond it the cache starts anew.
-CACHE_PIECES = 1_000_000
+#: Bytes of distinct words in one recursive query, and of texts whose new words are contracted together.
+QUERY_BYTES = 1 << 19
+TEXT_BYTES = 1 << 22
+#: Pieces that a generation of a worker's cache takes, and the characters of a piece up to which it is kept.  There are two
+#: generations: a full one becomes the older one, whose pieces come back when they are met.
+CACHE_PIECES = 250_000
+CACHE_CHARS = 100
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,27 +58,30 @@ def merge_table(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
 
 
 # Contract the leftmost pair of minimum rank of every word that has one.  Positions keep their first numbers and know the
-# next one's, so the minimum of rank * 2^20 + pos is the pair to contract.
+# next one's and its id, and carry the code of the pair that they begin, rank * 2^20 + pos, so the minimum is the pair to
+# contract and the merge table is asked for the two new pairs of a word only.
 _RECURSIVE = """
-    WITH RECURSIVE state(word, pos, nxt, id, step) AS (
-        SELECT word, pos, pos + 1, id, 0 FROM start
+    WITH RECURSIVE state(word, pos, nxt, id, next_id, code, step) AS (
+        SELECT s.word, s.pos, s.pos + 1, s.id, s.next_id, CAST(m.merged AS BIGINT) * 1048576 + s.pos, 0
+        FROM start s LEFT JOIN merges m ON m.lft = s.id AND m.rgt = s.next_id
         UNION ALL
         (
-            WITH pairs AS (
-                SELECT a.word, a.nxt AS gone, b.nxt AS "then", CAST(m.merged AS BIGINT) * 1048576 + a.pos AS code
-                FROM state a
-                JOIN state b ON b.word = a.word AND b.pos = a.nxt
-                JOIN merges m ON m.lft = a.id AND m.rgt = b.id
-            ), best AS (
-                SELECT word, min(code) AS code, arg_min(gone, code) AS gone, arg_min("then", code) AS nxt
-                FROM pairs GROUP BY word
+            WITH best AS (
+                SELECT word, min(code) AS code, arg_min(nxt, code) AS gone FROM state GROUP BY word HAVING min(code) IS NOT NULL
+            ), hit AS (
+                SELECT b.word, CAST(b.code % 1048576 AS INTEGER) AS pos, CAST(b.code // 1048576 AS INTEGER) AS merged, b.gone, g.nxt, g.next_id
+                FROM best b JOIN state g ON g.word = b.word AND g.pos = b.gone
+            ), after AS (
+                SELECT s.word, s.pos,
+                       CASE WHEN s.pos = h.pos THEN h.nxt ELSE s.nxt END AS nxt,
+                       CASE WHEN s.pos = h.pos THEN h.merged ELSE s.id END AS id,
+                       CASE WHEN s.pos = h.pos THEN h.next_id WHEN s.nxt = h.pos THEN h.merged ELSE s.next_id END AS next_id,
+                       s.code, s.step + 1 AS step, s.pos = h.pos OR s.nxt = h.pos AS changed
+                FROM state s JOIN hit h ON h.word = s.word
+                WHERE s.pos <> h.gone
             )
-            SELECT s.word, s.pos,
-                   CASE WHEN s.pos = b.code % 1048576 THEN b.nxt ELSE s.nxt END,
-                   CASE WHEN s.pos = b.code % 1048576 THEN b.code // 1048576 ELSE s.id END,
-                   s.step + 1
-            FROM state s JOIN best b ON b.word = s.word
-            WHERE s.pos <> b.gone
+            SELECT a.word, a.pos, a.nxt, a.id, a.next_id, CASE WHEN changed THEN CAST(m.merged AS BIGINT) * 1048576 + a.pos ELSE a.code END, a.step
+            FROM after a LEFT JOIN merges m ON m.lft = CASE WHEN changed THEN a.id END AND m.rgt = a.next_id
         )
     )
     SELECT s.word, s.pos, s.id
@@ -113,7 +119,7 @@ _RUNS = """
 """
 
 _DECODE = """
-    SELECT t.word, string_agg(v.hex, '' ORDER BY t.pos) AS hex, string_agg(CAST(t.id AS VARCHAR), ',' ORDER BY t.pos) AS ids
+    SELECT t.word, string_agg(v.hex, '' ORDER BY t.pos) AS hex, string_agg(v.digits, ',' ORDER BY t.pos) AS ids
     FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.word
 """
 
@@ -135,8 +141,9 @@ class Codec:
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "temp_directory": ""})
         merges = np.array(merge_table(ranks), np.int32)
         self._table("merges", lft=_fixed(merges[:, 0], pa.int32()), rgt=_fixed(merges[:, 1], pa.int32()), merged=_fixed(merges[:, 2], pa.int32()))
-        self._table("vocabulary", id=pa.array(list(ranks.values()), pa.int32()), hex=pa.array([t.hex() for t in ranks]))
+        self._table("vocabulary", id=pa.array(list(ranks.values()), pa.int32()), hex=pa.array([t.hex() for t in ranks]), digits=pa.array([str(r) for r in ranks.values()]))
         self.pieces: dict[str, tuple[str, bytes]] = {}
+        self.older: dict[str, tuple[str, bytes]] = {}
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         self.db.register("fresh", pa.table(columns))
@@ -146,9 +153,12 @@ class Codec:
     def _start(self, words: list[bytes]) -> None:
         sizes = np.array([len(w) for w in words])
         word = np.repeat(np.arange(len(words)), sizes)
-        pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ends = np.cumsum(sizes)
+        pos = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
         ids = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        self._table("start", word=_fixed(word, pa.int32()), pos=_fixed(pos, pa.int32()), id=_fixed(ids, pa.int32()))
+        next_id = np.append(ids[1:], -1)
+        next_id[ends - 1] = -1
+        self._table("start", word=_fixed(word, pa.int32()), pos=_fixed(pos, pa.int32()), id=_fixed(ids, pa.int32()), next_id=_fixed(next_id, pa.int32()))
 
     def _contract_long(self) -> None:
         """The word in ``start``, contracted by repeated statements; holds one state at a time."""
@@ -188,27 +198,37 @@ class Codec:
                 out[chosen[word]] = (ids, bytes.fromhex(hexed))
         return out
 
-    def learn(self, pieces: list[str]) -> None:
+    def known(self, piece: str) -> tuple[str, bytes] | None:
+        got = self.pieces.get(piece)
+        if got is None and (got := self.older.get(piece)) is not None:
+            self.pieces[piece] = got
+        return got
+
+    def learn(self, pieces: list[str]) -> dict[str, tuple[str, bytes]]:
         """Encode pieces that are not known yet; a pre-token is a piece as well, and new ones are contracted together."""
         split = [self.pattern.findall(p) for p in pieces]
-        words = [w for w in dict.fromkeys(itertools.chain.from_iterable(split)) if w not in self.pieces]
-        self.pieces.update(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
+        met = {w: self.known(w) for w in dict.fromkeys(itertools.chain.from_iterable(split))}
+        words = [w for w, got in met.items() if got is None]
+        met.update(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
         for piece, ws in zip(pieces, split, strict=True):
             if len(ws) > 1:
-                parts = [self.pieces[w] for w in ws]
-                self.pieces[piece] = (",".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
+                parts = [met[w] for w in ws]
+                met[piece] = (",".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
+        self.pieces.update((w, got) for w, got in met.items() if len(w) <= CACHE_CHARS)
+        return met
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         """(ids joined by commas, decoded bytes) of each text."""
         if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
+            self.older, self.pieces = self.pieces, {}
         cut = [pieces_of(t) for t in texts]
         held = [list(map(self.pieces.get, pieces)) for pieces in cut]
         new = [k for k, got in enumerate(held) if None in got]
         fresh = dict.fromkeys(p for k in new for p, g in zip(cut[k], held[k], strict=True) if g is None)
-        self.learn(list(fresh))
+        found = {p: got for p in fresh if (got := self.known(p)) is not None}
+        found.update(self.learn([p for p in fresh if p not in found]))
         for k in new:
-            held[k] = [g or self.pieces[p] for p, g in zip(cut[k], held[k], strict=True)]
+            held[k] = [g or found[p] for p, g in zip(cut[k], held[k], strict=True)]
         for got in held:
             yield ",".join([g[0] for g in got]), b"".join([g[1] for g in got])
 
@@ -255,7 +275,7 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, doc_id: str
         codec = held_codec(key, pattern, shared.value)
         gc.freeze()  # the tables and pieces live as long as the worker; collections need not visit them
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", TEXT_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 counts, ids, decoded = [], [], []
                 for joined, raw in codec.encode(texts):
