@@ -122,6 +122,15 @@ def test_ngram_join_null_id_before_its_copy(spark):
     assert (got[5]["component_id"], got[9]["component_id"]) == (5, 5)
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (1, 0, 2, 3), (3, 2, 1, 0)])
+def test_ngram_join_one_id_with_two_texts(spark, order):
+    """Both texts of doc_id 5 have a near copy; the rows' order changes nothing."""
+    one, two = " ".join(f"p{k}" for k in range(60)), " ".join(f"q{k}" for k in range(60))
+    rows = [(5, one), (5, two), (9, two + " z"), (3, one + " y")]
+    frame = spark.createDataFrame([rows[k] for k in order], "doc_id long, text string").coalesce(1)
+    assert {(r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(frame).collect()} == {(5, 3), (9, 3), (3, 3)}
+
+
 def test_ngram_join_many_near_copies(spark):
     """Frequent shingles, chains whose ends do not link, and short texts; all links are found."""
     import random
@@ -291,6 +300,32 @@ def brute_repeats(rows):
     return out
 
 
+def test_repeats_of_one_id_with_several_texts(spark):
+    """Rows of one doc_id are not compared with each other, and each is cut by its own text's repeats."""
+    import random
+
+    random.seed(6)
+    text = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    early = text(300)
+    rows = [(1, early), (2, text(20)), (2, early[:120] + text(280)), (2, text(200) + early[100:200] + text(200)), (2, text(20)), (None, early), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash"))
+    got = sorted((r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in suffixes.remove_repeats(frame).filter("doc_id = 2").collect())
+    want = []
+    for i, t in rows:
+        if i == 2:
+            found = brute_repeats([(1, early), (2, t)])[2]
+            want.append((found[0], found[1], found[3]))
+    assert got == sorted(want) and sum(n for _, n, _ in got) >= 220
+
+
+def test_repeats_edges(docs):
+    """Nulls, repeated rows, long texts and clashing columns of the common fixture."""
+    got = by_id(suffixes.remove_repeats(docs))
+    want = brute_repeats([r[:2] for r in ROWS if r[0] is not None])
+    assert {i: tuple(got[i][n] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for i in want} == want
+    assert got[None]["n_removed"] == 0
+
+
 def test_repeats(spark, docs, none):
     import random
 

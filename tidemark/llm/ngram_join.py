@@ -13,14 +13,16 @@ Frequencies come from exact counts of the low zone's shingles over all documents
 size: a bitmap of shingles seen twice (the others need no index entry) and one of frequent shingles.  Either has false
 positives at most, which cost time and never a link.
 
-Documents with equal sets become one node first, so copies never form pairs.  Candidates are verified in two steps: each node
+Documents with equal sets become one node first, so copies never form pairs.  A node is a set, known by its size and two
+hashes; rows that repeat a doc_id with another text are other nodes, joined by a link of their own.  Candidates are verified in two steps: each node
 with the smallest node of one of its index entries; then, where an index entry still spans several components, the pairs
 across components.  Links inside a component need no further proof, as only components are returned.  Before the second step
 the shingles of the nodes in entries of more than ``CROWD`` nodes are counted among those nodes: a shingle of one node alone
 is in no intersection of two of them, so a pair that meets in such an entry and has too few others is ruled out by the
 numbers, without its texts.  In a large group of near copies that leaves few pairs.
 
-Defined results: null, empty and blank texts have no shingles and link with nothing; repeated rows are copies; rows with a null
+Defined results: null, empty and blank texts have no shingles and link with nothing; repeated rows are copies; rows of one
+doc_id with different texts are one document, in one component (a row of it without shingles stays alone); rows with a null
 doc_id get a null component; an empty table gives no rows.
 """
 
@@ -188,23 +190,24 @@ def _shared(spark, arrays: dict[str, np.ndarray]):
 
 
 def index(docs: DataFrame, shared) -> DataFrame:
-    """``entry, doc_id`` of all index entries; a task indexes equal sets once."""
+    """``entry, s`` of all index entries, s being a hash of the set; a task indexes equal sets once."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice, frequent = (np.frombuffer(shared.value[k], np.uint64) for k in ("twice", "frequent"))
         met: set[tuple[int, int]] = set()
-        for part, sets in _read(batches):
-            ids, found = part.column("doc_id").to_pylist(), []
-            for i, s in zip(ids, sets, strict=True):
+        for _, sets in _read(batches):
+            names, found = [], []
+            for s in sets:
                 name = signature(s)
-                found.append(np.zeros(0, np.uint64) if i is None or name in met else entries(s, twice, frequent))
-                if i is not None:  # entries without an owner join nothing
+                if name not in met:
                     met.add(name)
-            owner = [i for i, f in zip(ids, found, strict=True) for _ in range(len(f))]
-            if owner:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), pa.array(owner, pa.int64())], ["entry", "doc_id"])
+                    names.append(name[0])
+                    found.append(entries(s, twice, frequent))
+            if sum(map(len, found)):
+                owner = np.repeat(np.array(names, np.int64), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), pa.array(owner)], ["entry", "s"])
 
-    return docs.mapInArrow(write, "entry long, doc_id long")
+    return docs.mapInArrow(write, "entry long, s long")
 
 
 def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -227,33 +230,40 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met(docs: DataFrame) -> DataFrame:
-    """``node, met``: how many of a document's shingles stand in another of these documents, or more (bitmap)."""
+    """``s, t, met``: how many of a text's shingles stand in another of these texts, or more (bitmap)."""
     counts = docs.mapInArrow(_tokens, "key long").groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
     shared = _shared(docs.sparkSession, bitmaps(counts, "key", BITS, twice="true"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = np.frombuffer(shared.value["twice"], np.uint64)
-        for part, sets in _read(batches):
+        for _, sets in _read(batches):
+            names = [signature(s) for s in sets]
             met = [int(has_bit(twice, s).sum()) for s in sets]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(met, pa.int64())], ["node", "met"])
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array(met, pa.int64())], ["s", "t", "met"])
 
-    return docs.mapInArrow(count, "node long, met long")
+    return docs.mapInArrow(count, "s long, t long, met long").groupBy("s", "t").agg(F.max("met").alias("met"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts link."""
+def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts link.
+
+    A node's text is one with its smallest doc_id; where that id has several texts, the one with the node's hash counts.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text_a", 1 << 19):
                 for some in text_slices(part, "text_b", 1 << 19):
-                    sets = zip(shingle_sets(some.column("text_a")), shingle_sets(some.column("text_b")), strict=True)
-                    mask = pa.array([linked(x, y) for x, y in sets], pa.bool_())
-                    yield some.select(["a", "b"]).filter(mask)
+                    x, y = shingle_sets(some.column("text_a")), shingle_sets(some.column("text_b"))
+                    wanted = zip(some.column("s_a").to_pylist(), some.column("s_b").to_pylist(), strict=True)
+                    mask = [linked(p, q) and (signature(p)[0], signature(q)[0]) == s for p, q, s in zip(x, y, wanted, strict=True)]
+                    yield some.select(["a", "b"]).filter(pa.array(mask, pa.bool_()))
 
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    held = pairs
+    for side in ("a", "b"):
+        held = held.join(sets.select(F.col("node").alias(side), F.col("s").alias(f"s_{side}"), F.col("rep").alias(f"rep_{side}")), side)
+        held = held.join(texts.select(F.col("doc_id").alias(f"rep_{side}"), F.col("text").alias(f"text_{side}")), f"rep_{side}")
+    return held.select("a", "b", "s_a", "s_b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -266,9 +276,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     frequent = next((found[f"f{f}"] for f in FREQUENT if filled(found[f"f{f}"]) <= 1 / 16), found[f"f{FREQUENT[-1]}"])
     shared = _shared(spark, {"twice": found["twice"], "frequent": frequent})
 
-    sets = described.filter("n > 0").groupBy("n", "s", "t").agg(F.min("doc_id").alias("node"))
+    sets = described.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s", "t").agg(F.min("doc_id").alias("rep"))
+    sets = stage(sets.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
     members = stage(described.drop("keys").join(sets, ["n", "s", "t"], "left").select("doc_id", "n", "node"), "ngram-members")
-    listed = index(docs, shared).join(members.select("doc_id", "n", "node").dropDuplicates(["doc_id"]), "doc_id")
+    # sets that should share this hash would share their entries too: more candidates, no link lost
+    listed = index(docs, shared).join(sets.select("s", "node", "n"), "s")
     listed = stage(listed.select("entry", "node", "n").distinct(), "ngram-index")
     hubs = listed.groupBy("entry").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).filter("size > 1")
     buckets = stage(listed.join(hubs.select("entry", "hub"), "entry"), "ngram-buckets")
@@ -278,17 +290,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     star = star.groupBy("node", F.col("hub.node").alias("a")).agg(F.count("*").alias("shared"))
     first = star.groupBy("node").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", F.col("node").alias("b"))
     first = stage(first, "ngram-first")
-    ids = buckets.select(F.col("node").alias("id"))
-    texts = stage(_among(docs, ids), "ngram-texts").dropDuplicates(["doc_id"])
-    links = stage(verified(first, texts), "ngram-links")
+    ids = buckets.select("node").join(sets, "node").select(F.col("rep").alias("id"))
+    texts = stage(_among(docs, ids).withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"]).drop("h"), "ngram-texts")
+    links = stage(verified(first, sets, texts), "ngram-links")
+    # the texts of one doc_id belong together
+    low = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top")
+    links = links.unionByName(members.join(low, "doc_id").filter("a <> node").select("a", F.col("node").alias("b")))
     joined = components(links)
 
     placed = buckets.join(joined, "node", "left").select("entry", "node", "n", F.coalesce("component", "node").alias("c"))
     ranges = placed.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("nodes")).filter("low < high")
     placed = stage(placed.join(ranges.select("entry", (F.col("nodes") > CROWD).alias("crowd")), "entry"), "ngram-open")
     # only ids of crowded entries; a false positive of the bitmap is one more text to count
-    left = stage(_among(texts, placed.filter("crowd").select(F.col("node").alias("id"))), "ngram-left").dropDuplicates(["doc_id"])
-    placed = placed.join(_met(left), "node", "left").select(
+    crowded = placed.filter("crowd").select("node").join(sets, "node")
+    left = stage(_among(texts, crowded.select(F.col("rep").alias("id"))), "ngram-left")
+    met = sets.join(_met(left), ["s", "t"]).select("node", "met")
+    placed = placed.join(met, "node", "left").select(
         "entry", "node", "n", "c", F.when(F.col("crowd"), F.coalesce("met", "n")).otherwise(F.col("n")).alias("met")
     )
     one, two = placed.toDF("entry", "a", "n", "ca", "v"), placed.toDF("entry", "b", "m", "cb", "w")
@@ -296,7 +313,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     enough = PERCENT * (F.col("n") + F.col("m")) <= (100 + PERCENT) * F.least("v", "w")
     across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m")) & enough).select("a", "b").distinct()
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = stage(verified(stage(across, "ngram-across"), texts), "ngram-links")
+    more = stage(verified(stage(across, "ngram-across"), sets, texts), "ngram-links")
     joined = components(links.union(more))
 
     placed = members.join(joined, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("c"))
