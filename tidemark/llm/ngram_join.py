@@ -16,7 +16,8 @@ positives at most, which cost time and never a link.
 Documents with equal sets become one node first, so copies never form pairs.  A node is a set, known by its size and two
 hashes; rows that repeat a doc_id with another text are other nodes, joined by a link of their own.  Candidates are verified in two steps: each node
 with the smallest node of one of its index entries; then, where an index entry still spans several components, the pairs
-across components.  Links inside a component need no further proof, as only components are returned.  Before the second step
+across components, each made once: in the first index entry that both nodes have.  Links inside a component need no further
+proof, as only components are returned.  Before the second step
 the shingles of the nodes in entries of more than ``CROWD`` nodes are counted among those nodes: a shingle of one node alone
 is in no intersection of two of them, so a pair that meets in such an entry and has too few others is ruled out by the
 numbers, without its texts.  In a large group of near copies that leaves few pairs.
@@ -305,14 +306,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     crowded = placed.filter("crowd").select("node").join(sets, "node")
     left = stage(_among(texts, crowded.select(F.col("rep").alias("id"))), "ngram-left")
     met = sets.join(_met(left), ["s", "t"]).select("node", "met")
-    placed = placed.join(met, "node", "left").select(
-        "entry", "node", "n", "c", F.when(F.col("crowd"), F.coalesce("met", "n")).otherwise(F.col("n")).alias("met")
+    # a node's entries, as many as its size allows: a pair counts in the first entry that both have, so it is made once
+    own = placed.groupBy("node").agg(F.collect_list("entry").alias("entries"))
+    placed = placed.join(own, "node").join(met, "node", "left").select(
+        "entry", "node", "n", "c", F.when(F.col("crowd"), F.coalesce("met", "n")).otherwise(F.col("n")).alias("met"), "entries"
     )
-    one, two = placed.toDF("entry", "a", "n", "ca", "v"), placed.toDF("entry", "b", "m", "cb", "w")
+    one, two = placed.toDF("entry", "a", "n", "ca", "v", "of_a"), placed.toDF("entry", "b", "m", "cb", "w", "of_b")
     # the intersection is at most least(v, w), and a link needs PERCENT * (n + m) <= (100 + PERCENT) * intersection
     enough = PERCENT * (F.col("n") + F.col("m")) <= (100 + PERCENT) * F.least("v", "w")
-    across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m")) & enough).select("a", "b").distinct()
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    here = F.array_min(F.array_intersect("of_a", "of_b")) == F.col("entry")
+    across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m")) & enough & here)
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(first, ["a", "b"], "left_anti")
     more = stage(verified(stage(across, "ngram-across"), sets, texts), "ngram-links")
     joined = components(links.union(more))
 
