@@ -277,7 +277,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     shared = _shared(spark, {"twice": found["twice"], "frequent": frequent})
 
     sets = described.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s", "t").agg(F.min("doc_id").alias("rep"))
-    sets = stage(sets.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
+    # numbered in the order of their smallest doc_id, so that the first document of a group is the hub of its entries
+    sets = stage(sets.orderBy("rep", "s", "t").withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
     members = stage(described.drop("keys").join(sets, ["n", "s", "t"], "left").select("doc_id", "n", "node"), "ngram-members")
     # sets that should share this hash would share their entries too: more candidates, no link lost
     listed = index(docs, shared).join(sets.select("s", "node", "n"), "s")
