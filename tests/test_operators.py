@@ -123,16 +123,6 @@ def test_dedup_stream_forgets_after_the_watermark(spark, tmp_path):
     assert kept == [1, 1, 2, 3, 4]
 
 
-def test_month_layout_moves_rows(spark, tmp_path):
-    path, may, june = f"{tmp_path}/months", D(2025, 5, 3), D(2025, 6, 3)
-    store.write_month_layout(rows(spark, ("A", 1, "x", may, False), ("B", 1, "x", june, False), ("C", 1, "x", D(2025, 7, 1), False)), path)
-    untouched = sorted(p.name for p in (tmp_path / "months" / "maturity_month=2025-07").iterdir())
-    store.upsert_month_layout(spark, path, rows(spark, ("A", 1, "y", june, False), ("D", 1, "y", june, False)))
-    assert books(spark.read.parquet(path)) == [("A", 1, "y", False), ("B", 1, "x", False), ("C", 1, "x", False), ("D", 1, "y", False)]
-    assert not (tmp_path / "months" / "maturity_month=2025-05").exists()  # its only row has moved
-    assert sorted(p.name for p in (tmp_path / "months" / "maturity_month=2025-07").iterdir()) == untouched
-
-
 def test_files_by_extension(spark, tmp_path):
     df = arriving(spark, *[(f"T{n}", n, "x", M) for n in range(25)])
     for name in ("a.json", "a.jsonl", "a.parquet", "a.csv"):

@@ -16,6 +16,7 @@ from tidemark.functions.keys import PARTITIONS
 from tidemark.functions.payload import payload_field
 from tidemark.operators import canonical, digests, generate, metrics, parts, recon, store, validate, version_rules
 from tidemark.plans import bulk, ingest
+from tidemark.plans.months import MonthTable
 from tidemark.plans.table import TradeTable
 from tidemark.schemas import KEY, STORE, STORE_COLUMNS, TRADE, TRADE_COLUMNS
 from tidemark.session import no_rows, scratch_path, written
@@ -416,11 +417,10 @@ def maturity_months(spark, sf):
 
 @query
 def month_upsert(spark, sf):
-    path = scratch_path(spark, "months")
-    store.write_month_layout(views.store(spark, sf), path)
+    table = MonthTable.create(spark, scratch_path(spark, "months"), views.store(spark, sf))
     latest = store.latest_per_key(_accepted(spark, sf), KEY, ORDER, TRADE_COLUMNS)
-    store.upsert_month_layout(spark, path, store.as_store_rows(latest, _now()))
-    return spark.read.parquet(path).select(*PLAIN_STORE, "maturity_month")
+    table.upsert(store.as_store_rows(latest, _now()))
+    return table.read().select(*PLAIN_STORE, "maturity_month")
 
 
 @query

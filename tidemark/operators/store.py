@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_of
 from tidemark.functions.keys import PARTITIONS, bucket_of
 from tidemark.schemas import ATTRIBUTES, KEY, STORE_COLUMNS
-from tidemark.session import scratch_path
 
 
 def latest_per_key(
@@ -189,31 +188,6 @@ def write_hash_layout(store: DataFrame, path: str, buckets: int = PARTITIONS) ->
 
 
 def write_month_layout(store: DataFrame, path: str) -> None:
-    """Write by maturity month; each primary key has one row, so a changed maturity moves the row."""
+    """Write by maturity month, once; ``plans.months.MonthTable`` is the form that takes upserts."""
     laid = month_layout(store).hint("rebalance", "maturity_month")
     laid.write.mode("overwrite").partitionBy("maturity_month").parquet(path)
-
-
-def upsert_month_layout(spark: SparkSession, path: str, rows: DataFrame, on_expired: str = "reactivate") -> None:
-    """Overlay unique store rows on a month-partitioned store, rewriting only the months they leave or enter.
-
-    Months are read and written as a whole, so a row whose maturity moves leaves its old month.  The new contents are written
-    beside the store before any month is replaced; a month that ends up empty is removed.
-    """
-    held = spark.read.parquet(path)
-    leaving = held.join(rows.select(*KEY), KEY, "left_semi").select("maturity_month")
-    touched = month_layout(rows).select("maturity_month").union(leaving).distinct()
-    months = [r["maturity_month"] for r in touched.collect()]  # a name per month, as many as folders
-    old = held.filter(F.col("maturity_month").isin(months))
-    draft = scratch_path(spark, "months-draft")
-    write_month_layout(apply_rows(old.select(*STORE_COLUMNS), rows, on_expired), draft)
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path  # noqa: N806
-    files = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fresh = spark.read.parquet(draft) if rows.limit(1).count() else None
-    if fresh is not None:
-        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("maturity_month").parquet(path)
-    for month in months:
-        if not files.exists(Path(f"{draft}/maturity_month={month}")):
-            files.delete(Path(f"{path}/maturity_month={month}"), True)
