@@ -171,6 +171,36 @@ def test_entries_of_linked_sets_meet():
                 assert np.intersect1d(ngram_join.entries(x, full, frequent), ngram_join.entries(other, full, frequent)).size
 
 
+def test_differences_of_linked_sets_meet():
+    """Linked sets of which one does not link with the hub share an entry of their differences, and the bound leaves them open."""
+    import numpy as np
+
+    random = np.random.default_rng(8)
+    full, none, tried = np.full(64, ~np.uint64(0)), np.zeros(64, np.uint64), 0
+    for often in (none, full, random.integers(0, 2**63, 64).astype(np.uint64)):
+        for _ in range(1500):
+            hub = np.unique(random.integers(0, 2**64, int(random.integers(5, 90)), dtype=np.uint64))
+            edited = lambda s, most: np.union1d(
+                random.permutation(s)[int(random.integers(0, len(s) // most + 1)) :],
+                random.integers(0, 2**64, int(random.integers(0, len(s) // most + 1)), dtype=np.uint64),
+            )
+            x = edited(hub, 2)
+            y = edited(x, 12)
+            for p, q in ((x, y), (y, x)):
+                if not ngram_join.linked(p, q) or ngram_join.linked(p, hub) or np.array_equal(p, q):
+                    continue
+                sides = []
+                for s in (p, q):
+                    gone, fresh = np.setdiff1d(hub, s), np.setdiff1d(s, hub)
+                    sides.append((*ngram_join.difference_entries(gone, fresh, len(s), len(hub), not ngram_join.linked(s, hub), full, often), len(gone) + len(fresh)))
+                (all_p, _, (gone_p, fresh_p), d), (all_q, prefix, (gone_q, fresh_q), e) = sides
+                if e:
+                    tried += 1
+                    assert np.intersect1d(all_p, all_q[prefix]).size
+                    assert 9 * (d + e) - len(p) - len(q) <= 18 * (min(gone_p, gone_q) + min(fresh_p, fresh_q))
+    assert tried > 500
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (50, 49)]
     frame = spark.createDataFrame(pairs, "a long, b long")

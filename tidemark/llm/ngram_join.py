@@ -16,10 +16,16 @@ positives at most, which cost time and never a link.
 Documents with equal sets become one node first, so copies never form pairs.  A node is a set, known by its size and two
 hashes; rows that repeat a doc_id with another text are other nodes, joined by a link of their own.  Candidates are verified in two steps: each node
 with the smallest node of one of its index entries; then, where an index entry still spans several components, the pairs
-across components.  Links inside a component need no further proof, as only components are returned.  Before the second step
-the shingles of the nodes in entries of more than ``CROWD`` nodes are counted among those nodes: a shingle of one node alone
-is in no intersection of two of them, so a pair that meets in such an entry and has too few others is ruled out by the
-numbers, without its texts.  In a large group of near copies that leaves few pairs.
+across components.  Links inside a component need no further proof, as only components are returned.
+
+Of entries of more than ``CROWD`` nodes the second step makes no pairs.  A node whose shingles mostly stand in no other node
+of such entries links with none of them and goes.  The others are described by their difference from the entry's smallest
+node, the hub: the shingles that only one of the two has.  For nodes x and y with differences of d and e shingles, o of them
+common, the two sets differ in ``d + e - 2 * o`` shingles, and they link when that is at most ``(|x| + |y|) / 9``.  Nodes that
+link with the hub are in its component.  If x does not, then d exceeds ``(|x| + |hub|) / 9``, so o must exceed
+``(9 * e + |hub| - |y|) / 18``, about half of y's difference.  Hence x and y meet when x indexes all of its difference and y a
+prefix of its own, rare shingles first; differences seen once need no entry.  Most pairs of a large group of near copies,
+whose edits differ, never meet.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; repeated rows are copies; rows of one
 doc_id with different texts are one document, in one component (a row of it without shingles stays alone); rows with a null
@@ -45,8 +51,10 @@ ZONE = np.uint64(int(0.23 * 2**64))
 #: Bits of a bitmap, and the least frequencies of which the first is chosen that fills a sixteenth of it at most.
 BITS = 1 << 25
 FREQUENT = (16, 256, 4096)
-#: Nodes of an index entry above which their shingles are counted before pairs are verified.
+#: Nodes of an index entry above which their differences from a hub are joined.
 CROWD = 16
+#: Nodes of one hub above which a shingle of their differences counts as frequent.
+OFTEN = 16
 #: Bits of the bitmap that picks out the documents in candidate pairs.
 ID_BITS = 1 << 23
 
@@ -151,15 +159,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(s[: 0 if name in met or len(s) <= 3 else np.searchsorted(s, ZONE)])
             sizes.append(len(s))
             met.add(name)
-        ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-        values = pa.array(np.concatenate([*keys, np.zeros(0, np.uint64)]).astype(np.int64))
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
                 pa.array(sizes, pa.int64()),
                 pa.array([a for a, _ in names], pa.int64()),
                 pa.array([b for _, b in names], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends), values),
+                _lists(keys),
             ],
             ["doc_id", "n", "s", "t", "keys"],
         )
@@ -244,26 +250,134 @@ def _met(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(count, "s long, t long, met long").groupBy("s", "t").agg(F.max("met").alias("met"))
 
 
+def _paired(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes with the hashes of their sets and texts of their smallest doc_ids."""
+    held = pairs
+    for side in ("a", "b"):
+        held = held.join(sets.select(F.col("node").alias(side), F.col("s").alias(f"s_{side}"), F.col("rep").alias(f"rep_{side}")), side)
+        held = held.join(texts.select(F.col("doc_id").alias(f"rep_{side}"), F.col("text").alias(f"text_{side}")), f"rep_{side}")
+    return held.select("a", "b", "s_a", "s_b", "text_a", "text_b")
+
+
+def _pairs_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[np.ndarray, np.ndarray]]]]:
+    """Rows of ``_paired`` with their sets.  Where a doc_id has several texts, only those with the nodes' hashes count."""
+    for batch in batches:
+        for part in text_slices(batch, "text_a", 1 << 19):
+            for some in text_slices(part, "text_b", 1 << 19):
+                both = list(zip(shingle_sets(some.column("text_a")), shingle_sets(some.column("text_b")), strict=True))
+                wanted = zip(some.column("s_a").to_pylist(), some.column("s_b").to_pylist(), strict=True)
+                mask = [(signature(x)[0], signature(y)[0]) == s for (x, y), s in zip(both, wanted, strict=True)]
+                yield some.select(["a", "b"]).filter(pa.array(mask, pa.bool_())), [xy for xy, held in zip(both, mask, strict=True) if held]
+
+
 def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts link.
+    """The pairs (a, b) of nodes whose texts link."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, both in _pairs_of_sets(batches):
+            yield rows.filter(pa.array([linked(x, y) for x, y in both], pa.bool_()))
+
+    return _paired(pairs, sets, texts).mapInArrow(check, "a long, b long").distinct()
+
 
-    A node's text is one with its smallest doc_id; where that id has several texts, the one with the node's hash counts.
+def differences(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """``hub, node, n, m, away, gone, fresh``: the difference of a node from its hub, as hashes with the hub.
+
+    ``n`` and ``m`` are the sizes of node and hub, ``away`` says that they do not link, ``gone`` are shingles of the hub alone
+    and ``fresh`` those of the node alone.
     """
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text_a", 1 << 19):
-                for some in text_slices(part, "text_b", 1 << 19):
-                    x, y = shingle_sets(some.column("text_a")), shingle_sets(some.column("text_b"))
-                    wanted = zip(some.column("s_a").to_pylist(), some.column("s_b").to_pylist(), strict=True)
-                    mask = [linked(p, q) and (signature(p)[0], signature(q)[0]) == s for p, q, s in zip(x, y, wanted, strict=True)]
-                    yield some.select(["a", "b"]).filter(pa.array(mask, pa.bool_()))
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, both in _pairs_of_sets(batches):
+            salts = rows.column("a").to_numpy(zero_copy_only=False).astype(np.uint64) * _PLACE[1]
+            lists = {"gone": [], "fresh": []}
+            for (hub, node), salt in zip(both, salts, strict=True):
+                lists["gone"].append(mix(np.setdiff1d(hub, node, assume_unique=True) * _PLACE[0] + salt))
+                lists["fresh"].append(mix(np.setdiff1d(node, hub, assume_unique=True) * _PLACE[0] + salt))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *rows.columns,
+                    pa.array([len(node) for _, node in both], pa.int64()),
+                    pa.array([len(hub) for hub, _ in both], pa.int64()),
+                    pa.array([not linked(*xy) for xy in both], pa.bool_()),
+                    *[_lists(found) for found in lists.values()],
+                ],
+                ["hub", "node", "n", "m", "away", *lists],
+            )
+
+    made = _paired(pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, texts)
+    return made.mapInArrow(compare, "hub long, node long, n long, m long, away boolean, gone array<long>, fresh array<long>")
+
+
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.zeros(0, np.uint64)]).astype(np.int64)))
+
+
+def difference_entries(gone: np.ndarray, fresh: np.ndarray, n: int, m: int, away: bool, twice: np.ndarray, often: np.ndarray):
+    """Entries of a difference and whether they belong to the prefix, and how many of ``gone`` and ``fresh`` were seen twice.
+
+    A node that does not link with the hub has entries beyond the prefix too.
+    """
+    tokens = np.concatenate([fresh, gone])
+    seen = has_bit(twice, tokens)
+    counts = int(seen[len(fresh) :].sum()), int(seen[: len(fresh)].sum())
+    least = (m + 9 * len(tokens) - n) // 18 + 1
+    order = np.argsort(np.where(seen, 1 + has_bit(often, tokens), 0), kind="stable")
+    prefix = np.zeros(len(tokens), bool)
+    if sum(counts) >= least:
+        prefix[order[: len(tokens) - least + 1]] = True
+    held = seen & (prefix | away)
+    return tokens[held], prefix[held], counts
+
+
+def _crowded_pairs(crowded: DataFrame, sets: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links between nodes of crowded entries and their hubs, and the other pairs of these nodes that may link.
+
+    ``crowded`` holds ``entry, node, c``, c being the node's component.
+    """
+    spark = crowded.sparkSession
+    hubs = crowded.groupBy("entry").agg(F.min("node").alias("hub"))
+    pairs = crowded.join(hubs, "entry").filter("hub <> node").select("hub", "node").distinct()
+    told = stage(differences(pairs, sets, texts), "ngram-differences")
+    keys = told.select(F.explode(F.concat("gone", "fresh")).alias("key")).groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = _shared(spark, bitmaps(keys, "key", BITS, twice="true", often=f"df >= {OFTEN}"))
 
-    held = pairs
-    for side in ("a", "b"):
-        held = held.join(sets.select(F.col("node").alias(side), F.col("s").alias(f"s_{side}"), F.col("rep").alias(f"rep_{side}")), side)
-        held = held.join(texts.select(F.col("doc_id").alias(f"rep_{side}"), F.col("text").alias(f"text_{side}")), f"rep_{side}")
-    return held.select("a", "b", "s_a", "s_b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        twice, often = (np.frombuffer(shared.value[k], np.uint64) for k in ("twice", "often"))
+        values = lambda column, k: column[k].values.to_numpy(zero_copy_only=False).astype(np.int64).astype(np.uint64)
+        for batch in batches:
+            found, marks, counts = [], [], []
+            held = {name: batch.column(name) for name in ("gone", "fresh")}
+            plain = zip(*[batch.column(name).to_pylist() for name in ("n", "m", "away")], strict=True)
+            for k, (n, m, away) in enumerate(plain):
+                entry, prefix, seen = difference_entries(values(held["gone"], k), values(held["fresh"], k), n, m, away, twice, often)
+                found.append(entry)
+                marks.append(prefix)
+                counts.append((len(held["gone"][k]) + len(held["fresh"][k]), *seen))
+            if not sum(map(len, found)):
+                continue
+            at = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
+            d, gone, fresh = (np.array(c, np.int64)[at] for c in zip(*counts, strict=True))
+            rows = batch.select(["node", "n", "away"]).take(pa.array(at))
+            columns = [pa.array(np.concatenate(found).astype(np.int64)), *rows.columns, pa.array(np.concatenate(marks)), pa.array(d), pa.array(gone), pa.array(fresh)]
+            yield pa.RecordBatch.from_arrays(columns, ["entry", "node", "n", "away", "prefix", "d", "gone", "fresh"])
+
+    listed = told.mapInArrow(write, "entry long, node long, n long, away boolean, prefix boolean, d long, gone long, fresh long")
+    listed = stage(listed.join(crowded.select("node", "c").distinct(), "node"), "ngram-difference-index")
+    one = listed.filter("away").select("entry", *[F.col(x).alias(f"{x}_a") for x in ("node", "n", "d", "gone", "fresh", "c")])
+    two = listed.filter("prefix").select("entry", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "d", "gone", "fresh", "c")])
+    common = F.least("gone_a", "gone_b") + F.least("fresh_a", "fresh_b")
+    open_ = (F.col("c_a") != F.col("c_b")) & (9 * (F.col("d_a") + F.col("d_b")) - F.col("n_a") - F.col("n_b") <= 18 * common)
+    met = one.join(two, "entry").filter(open_)
+    met = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    return told.filter("NOT away").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), met
+
+
+def _spanning(placed: DataFrame) -> DataFrame:
+    """The rows of ``entry, node, n, c`` whose entry has nodes of several components, with its number of ``nodes``."""
+    ranges = placed.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("nodes")).filter("low < high")
+    return placed.join(ranges.select("entry", "nodes"), "entry")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -300,21 +414,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     joined = components(links)
 
     placed = buckets.join(joined, "node", "left").select("entry", "node", "n", F.coalesce("component", "node").alias("c"))
-    ranges = placed.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("nodes")).filter("low < high")
-    placed = stage(placed.join(ranges.select("entry", (F.col("nodes") > CROWD).alias("crowd")), "entry"), "ngram-open")
-    # only ids of crowded entries; a false positive of the bitmap is one more text to count
-    crowded = placed.filter("crowd").select("node").join(sets, "node")
-    left = stage(_among(texts, crowded.select(F.col("rep").alias("id"))), "ngram-left")
-    met = sets.join(_met(left), ["s", "t"]).select("node", "met")
-    placed = placed.join(met, "node", "left").select(
-        "entry", "node", "n", "c", F.when(F.col("crowd"), F.coalesce("met", "n")).otherwise(F.col("n")).alias("met")
-    )
-    one, two = placed.toDF("entry", "a", "n", "ca", "v"), placed.toDF("entry", "b", "m", "cb", "w")
-    # the intersection is at most least(v, w), and a link needs PERCENT * (n + m) <= (100 + PERCENT) * intersection
-    enough = PERCENT * (F.col("n") + F.col("m")) <= (100 + PERCENT) * F.least("v", "w")
-    across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m")) & enough).select("a", "b").distinct()
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = stage(verified(stage(across, "ngram-across"), sets, texts), "ngram-links")
+    placed = stage(_spanning(placed), "ngram-open")
+    few, crowded = placed.filter(F.col("nodes") <= CROWD), placed.filter(F.col("nodes") > CROWD)
+    # ids of crowded entries; a false positive of the bitmap is one more text to count
+    left = stage(_among(texts, crowded.select("node").join(sets, "node").select(F.col("rep").alias("id"))), "ngram-left")
+    # an intersection is at most met, and a set of n links with none below 4 / 5 * n
+    viable = sets.join(_met(left), ["s", "t"]).filter((100 * F.col("met") >= PERCENT * F.col("n"))).select("node")
+    crowded = stage(_spanning(crowded.join(viable, "node", "left_semi").drop("nodes")).select("entry", "node", "c"), "ngram-crowded")
+    starred, met = _crowded_pairs(crowded, sets, texts)
+
+    one, two = few.toDF("entry", "a", "n", "ca", "nodes"), few.toDF("entry", "b", "m", "cb", "nodes").drop("nodes")
+    across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m"))).select("a", "b")
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(met).distinct().join(first, ["a", "b"], "left_anti")
+    more = stage(verified(stage(across, "ngram-across"), sets, texts).union(starred), "ngram-links")
     joined = components(links.union(more))
 
     placed = members.join(joined, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("c"))
