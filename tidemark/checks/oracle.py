@@ -238,6 +238,11 @@ FROM trades""",
     ),
     "csv_convert": sql(
         """SELECT trade_id, version, counter_party_id, book_id, maturity_date, created_date, '{}' AS payload, arrival
+FROM trades""",
+        "trades",
+    ),
+    "array_scan": sql(
+        """SELECT trade_id, version, counter_party_id, book_id, maturity_date, created_date, payload, arrival, true AS parsed
 FROM trades""",
         "trades",
     ),

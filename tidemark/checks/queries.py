@@ -105,6 +105,16 @@ def infer_scan(spark, sf):
     return files.read_inferred(spark, path)
 
 
+@query
+def array_scan(spark, sf):
+    """All trades as array documents, whose payload texts hold braces and quotes, read by block."""
+    path = scratch_path(spark, "array-scan") + ".json"
+    sinks.write_by_extension(views.all_trades(spark, sf), path, ORDER)
+    schema = T.StructType([*TRADE.fields, ARRIVAL_FIELD])
+    rows = files.read_json_array(spark, path, schema)
+    return rows.select(*TRADE_COLUMNS, *ORDER, F.col(files.CORRUPT).isNull().alias("parsed"))
+
+
 @query
 def landing_routes(spark, sf):
     path = scratch_path(spark, "landing")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import MANIFEST, WIRE
+from tidemark.session import scratch_path
 from tidemark.sinks.files import chunk_sums
+from tidemark.sources.arrays import array_records
 
 CORRUPT = "_corrupt"
 # Fixed value: files above this many bytes take the bulk route.
@@ -39,6 +41,13 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType
     return read_lines(spark, path).select(parsed.alias("record")).select("record.*")
 
 
+def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType = WIRE) -> DataFrame:
+    """Records of JSON array documents with a fixed schema, a document read by many tasks; ``_corrupt`` as in ``read_jsonl``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("line", _with_corrupt(schema), options)
+    return array_records(spark, path).select(parsed.alias("record")).select("record.*")
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """CSV with a header line and a named schema; rows that do not fit keep their text in ``_corrupt``."""
     return (
@@ -53,13 +62,16 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
 def read_inferred(spark: SparkSession, path: str, kind: str | None = None, sampling: float = 1.0) -> DataFrame:
     """Schema-inferring scan; ``kind`` defaults to the path's extension.
 
-    Inference is one extra pass over the text; ``sampling`` below 1.0 reads only a part of the rows for it.
+    Inference is one extra pass over the text; ``sampling`` below 1.0 reads only a part of the rows for it.  The records of
+    ``.json`` documents are written as lines first, so that both passes read a large document by many tasks.
     """
     suffix = kind or path.rstrip("/").rsplit(".", 1)[-1].lower()
     if suffix == "csv":
         return spark.read.option("header", True).option("inferSchema", True).option("samplingRatio", sampling).csv(path)
     if suffix == "json":
-        return spark.read.option("multiLine", True).option("samplingRatio", sampling).json(path)
+        lines = scratch_path(spark, "records")
+        array_records(spark, path).write.text(lines)
+        return spark.read.option("samplingRatio", sampling).json(lines)
     if suffix in ("jsonl", "ndjson"):
         return spark.read.option("samplingRatio", sampling).json(path)
     if suffix == "parquet":
