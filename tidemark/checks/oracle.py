@@ -480,6 +480,8 @@ UNION ALL SELECT 'counts.refused', count(reject_code) FROM checked""",
     ),
     "dedup_ttl": """SELECT event_id, user_id, event_type FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type
   ORDER BY ts, event_id) AS previous FROM events) WHERE previous IS NULL OR ts > previous + INTERVAL 6 HOUR""",
+    "dedup_history": """SELECT event_id, user_id, event_type, batch FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+  ORDER BY batch, ts, event_id) AS rn FROM (SELECT *, cast(dayofyear(ts) % 3 AS int) AS batch FROM events)) WHERE rn = 1""",
     "stream_ingest": sql(LINES_OUTCOME, "line_judged", "raw_lines"),
     "bulk_rejects": sql(LINES_OUTCOME, "line_judged", "raw_lines"),
     "line_status": sql(

@@ -17,6 +17,7 @@ from tidemark.functions.payload import payload_field
 from tidemark.operators import canonical, digests, generate, metrics, parts, recon, store, validate, version_rules
 from tidemark.plans import bulk, ingest
 from tidemark.plans.months import MonthTable
+from tidemark.plans.seen import SeenKeys
 from tidemark.plans.table import TradeTable
 from tidemark.schemas import KEY, STORE, STORE_COLUMNS, TRADE, TRADE_COLUMNS
 from tidemark.session import no_rows, scratch_path, written
@@ -625,6 +626,19 @@ def dedup_ttl(spark, sf):
     )
 
 
+@query
+def dedup_history(spark, sf):
+    """Events in three batches by day number: the first of every (user, type) over all batches, with the batch that had it."""
+    events = views.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    seen = SeenKeys(spark, scratch_path(spark, "seen"), ["user_id", "event_type"], buckets=8)
+    out = None
+    for n in range(3):
+        batch = events.filter(F.dayofyear("ts") % 3 == n)
+        fresh = seen.admit(batch, f"batch {n}", ["ts", "event_id"]).select("event_id", "user_id", "event_type", F.lit(n).alias("batch"))
+        out = fresh if out is None else out.unionAll(fresh)
+    return out
+
+
 # ---- streaming --------------------------------------------------------------------------------------
 
 
