@@ -221,6 +221,11 @@ FROM (SELECT line, book_id, sum(strlen(line) + 1) OVER (PARTITION BY book_id) AS
         "store",
         "incoming",
     ),
+    "laid_lookup": sql(
+        f"SELECT {STORE} FROM store WHERE (trade_id, version) IN (SELECT trade_id, version FROM incoming)",
+        "store",
+        "incoming",
+    ),
     "dlq_scan": sql(
         """SELECT trade_id, version, cast(maturity_date AS varchar) AS maturity_date, reason, NULL AS raw
 FROM judged WHERE reason IS NOT NULL

@@ -151,6 +151,15 @@ def store_lookup(spark, sf):
     return found.select(*PLAIN_STORE)
 
 
+@query
+def laid_lookup(spark, sf):
+    """The same keys in a store laid out by hash bucket, with files sorted by key."""
+    path = scratch_path(spark, "laid-lookup")
+    store.write_hash_layout(views.store(spark, sf), path)
+    found = store.lookup_all(spark.read.parquet(path), views.incoming(spark, sf))
+    return found.select(*PLAIN_STORE)
+
+
 @query
 def dlq_scan(spark, sf):
     path = scratch_path(spark, "dlq")

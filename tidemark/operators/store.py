@@ -169,9 +169,31 @@ def lookup(store: DataFrame, trade_id: str, version: int, buckets: int = PARTITI
     return rows
 
 
-def lookup_all(store: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Store rows for a frame of (trade_id, version) keys."""
-    return store.join(wanted.select(*KEY).distinct(), KEY, "left_semi")
+def lookup_all(store: DataFrame, wanted: DataFrame, buckets: int = PARTITIONS) -> DataFrame:
+    """Store rows for a frame of (trade_id, version) keys.
+
+    Of a hash-partitioned store only the buckets of the keys are read, if Spark takes the keys for small enough to broadcast.
+    """
+    keys = wanted.select(*KEY).distinct()
+    if "bucket" not in store.columns:
+        return store.join(keys, KEY, "left_semi")
+    # as a comparison, since Spark prunes folders only by conditions that it takes for selective
+    placed = keys.withColumn("bucket", bucket_of(F.col("trade_id"), buckets)).filter("bucket >= 0")
+    return store.join(placed, [*KEY, "bucket"], "left_semi")
+
+
+def lookup_ids(store: DataFrame, trade_ids: Sequence[str], buckets: int = PARTITIONS) -> DataFrame:
+    """All versions of some trades: their buckets only and, in files of ``write_hash_layout``, their row groups only.
+
+    For a handful of ids: ``IN`` reaches the files' Bloom filters up to ``spark.sql.parquet.pushdown.inFilterThreshold``
+    ids (10 unless set), above that as a range of ids.  Frames of keys go to ``lookup_all``.
+    """
+    ids = sorted(set(trade_ids))
+    rows = store.filter(F.col("trade_id").isin(ids))
+    if "bucket" not in store.columns:
+        return rows
+    places = store.sparkSession.range(0, 1, 1, 1).select(F.array_distinct(F.array(*[bucket_of(F.lit(i), buckets) for i in ids])))
+    return rows.filter(F.col("bucket").isin(places.first()[0])) if ids else rows
 
 
 def hash_layout(store: DataFrame, buckets: int = PARTITIONS) -> DataFrame:
@@ -183,8 +205,13 @@ def month_layout(store: DataFrame) -> DataFrame:
 
 
 def write_hash_layout(store: DataFrame, path: str, buckets: int = PARTITIONS) -> None:
-    """Write by hash bucket.  The rebalance hint lets Spark split large and join small buckets."""
-    hash_layout(store, buckets).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    """Write by hash bucket.  The rebalance hint lets Spark split large and join small buckets.
+
+    Files are sorted by key and hold Bloom filters of ``trade_id``, so that lookups skip the row groups of other trades.
+    """
+    laid = hash_layout(store, buckets).hint("rebalance", "bucket").sortWithinPartitions("bucket", *KEY)
+    writer = laid.write.mode("overwrite").option("parquet.bloom.filter.enabled#trade_id", "true")
+    writer.option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("bucket").parquet(path)
 
 
 def write_month_layout(store: DataFrame, path: str) -> None:
