@@ -3,6 +3,7 @@
 import datetime
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +113,25 @@ def test_keyed_state_equals_the_batch_rule_for_any_split_and_restart(spark, tmp_
         got = {r["arrival"]: (r["reason"], r["seen_version"]) for r in spark.read.parquet(f"{root}/out").collect()}
         assert got == want
     assert {r for r, _ in want.values()} == {None, *(x for x in version_rules.PREFILTER_REASONS.values())}
+
+
+def test_keyed_state_is_called_by_group_not_by_trade():
+    """Many trades share a call and a state: one read and one write of state for all of a group's trades in a batch."""
+
+    class Held:
+        value, reads, writes = None, 0, 0
+
+        def get(self):
+            self.reads += 1
+            return self.value
+
+        def update(self, value):
+            self.value, self.writes = value, self.writes + 1
+
+    rows = pd.DataFrame({"trade_id": [f"T{n % 500}" for n in range(1_000)], "version": [n // 500 for n in range(1_000)], "arrival": range(1_000), "matured": True})
+    mark = state.TideMark(["arrival"], ["trade_id", "version", "arrival"])
+    mark.marks = Held()
+    first, again = (pd.concat(mark.handleInputRows((0,), iter([rows.iloc[600:], rows.iloc[:600]]), None)) for _ in range(2))
+    assert (mark.marks.reads, mark.marks.writes) == (2, 1)
+    assert first["seen_version"].isna().sum() == 500 and first["reason"].isna().all()
+    assert set(again["seen_version"]) == {1} and again["reason"].notna().all()
