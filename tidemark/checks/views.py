@@ -22,14 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitem joined to orders as trades; repeated (order, line) pairs give repeated versions."""
+    """Lineitem joined to orders as trades; repeated (order, line) pairs give repeated versions.
+
+    They are joined by trade_id, so the rows lie by it already where a rule, a count or an upsert by trade follows: they move once.
+    """
+    text = lambda name: F.col(name).cast("string")
+    trade_id = lambda name: F.concat(F.lit("T"), text(name)).alias("trade_id")
     line = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus", "l_shipdate"
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus", "l_shipdate", trade_id("l_orderkey")
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    text = lambda name: F.col(name).cast("string")
-    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat(F.lit("T"), text("l_orderkey")).alias("trade_id"),
+    orders = table(spark, sf_dir, "orders").select("o_orderdate", trade_id("o_orderkey"))
+    return line.join(orders, "trade_id").select(
+        "trade_id",
         F.col("l_linenumber").alias("version"),
         F.concat(F.lit("CP-"), text("l_suppkey")).alias("counter_party_id"),
         F.concat(F.lit("B"), (F.col("l_partkey") % 50).cast("string")).alias("book_id"),
