@@ -1,0 +1,61 @@
+"""Rows move no more often than they need to, and text that only this package reads back is compressed."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import parts
+from tidemark.sinks import files as sinks
+from tidemark.sources import files
+
+
+@pytest.fixture
+def settled_plans(spark):
+    """Plans as they are before they run, without broadcasts by size."""
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def moves(told, by):
+    """Shuffles by a column, those read by more than one part of the plan counted once."""
+    return sum(f"Exchange hashpartitioning({by}#" in line and "Reused" not in line for line in told.splitlines())
+
+
+def test_numbering_moves_rows_once(spark, settled_plans):
+    df = spark.range(1000).select("id", F.col("id").cast("string").alias("text"))
+    told = plan(parts.with_index(df, ["id"]))
+    assert moves(told, "_range") == 1 and "ReusedExchange" in told
+
+
+def test_arrays_cut_by_ranges_are_dense(spark):
+    """Many ranges: whole arrays are made in their range, cut ones meet by number, and every array but the last is full."""
+    made = parts.array_chunks(spark.range(5003), ["id"], ["id"], 20).orderBy("chunk").collect()
+    assert [r["chunk"] for r in made] == list(range(251)) and [r["records"] for r in made] == [20] * 250 + [3]
+    ids = [item["id"] for r in made for item in json.loads(r["value"])]
+    index = {r["id"]: r["index"] for r in parts.with_index(spark.range(5003), ["id"]).collect()}
+    assert [index[i] for i in ids] == list(range(5003))
+
+
+def test_arrays_move_rows_once(spark, settled_plans):
+    told = plan(parts.array_chunks(spark.range(5003), ["id"], ["id"], 20))
+    # the rows by range, then only the records of cut arrays by their number
+    assert moves(told, "_range") == 1 and moves(told, "chunk") == 1
+
+
+def test_compressed_arrays(spark, tmp_path):
+    df = spark.range(100).select("id", F.lit("x" * 200).alias("text"))
+    for name, kind in (("plain.json", None), ("small.json", "gzip")):
+        sinks.write_by_extension(df, f"{tmp_path}/{name}", ["id"], rows_per_file=30, compression=kind)
+        assert sorted(r["id"] for r in files.read_inferred(spark, f"{tmp_path}/{name}").collect()) == list(range(100))
+    size = {n: sum(p.stat().st_size for p in (tmp_path / n).glob("part-*")) for n in ("plain.json", "small.json")}
+    assert size["small.json"] * 5 < size["plain.json"]
