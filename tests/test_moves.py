@@ -1,13 +1,16 @@
 """Rows move no more often than they need to, and text that only this package reads back is compressed."""
 
+import datetime
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import parts
+from tidemark.plans import bulk, ingest
+from tidemark.plans.table import TradeTable
 from tidemark.sinks import files as sinks
-from tidemark.sources import files
+from tidemark.sources import dlq, files
 
 
 @pytest.fixture
@@ -59,3 +62,19 @@ def test_compressed_arrays(spark, tmp_path):
         assert sorted(r["id"] for r in files.read_inferred(spark, f"{tmp_path}/{name}").collect()) == list(range(100))
     size = {n: sum(p.stat().st_size for p in (tmp_path / n).glob("part-*")) for n in ("plain.json", "small.json")}
     assert size["small.json"] * 5 < size["plain.json"]
+
+
+def test_chunks_are_compressed_and_their_lines_stay(spark, tmp_path, settled_plans):
+    df = spark.range(1000).select(F.format_string("T%d", "id").alias("trade_id"), F.lit("x" * 200).alias("payload"))
+    path = bulk.stage_bulk(df, f"{tmp_path}/stage", "load", rows_per_chunk=100)
+    assert sum(p.stat().st_size for p in (tmp_path / "stage" / "chunks").glob("part-*")) < 50_000
+    lines = files.read_chunks(spark, files.read_manifest(spark, path, "load"))
+    assert lines.count() == 1000 and moves(plan(lines), "chunk_path") == 0
+
+
+def test_only_unreadable_records_keep_their_text(spark, tmp_path):
+    lines = [(1, '{"trade_id":"A","version":1,"maturity_date":"2025-07-01","created_date":"2025-01-01"}'), (2, "broken")]
+    table = TradeTable.create(spark, f"{tmp_path}/table")
+    ingest.ingest_batch(table, ingest.prepare_lines(spark.createDataFrame(lines, "n int, line string")), ["n"], "bulk", "b", datetime.date(2025, 1, 2))
+    assert {r["n"]: r["line"] for r in table.outcomes().collect()} == {1: None, 2: "broken"}
+    assert [r["raw"] for r in dlq.decode_dlq(table.dead_letters()).collect()] == ["broken"] and table.read().count() == 1

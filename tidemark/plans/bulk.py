@@ -19,7 +19,8 @@ def stage_bulk(records: DataFrame, folder: str, correlation_id: str, rows_per_ch
 
     A frame with a single ``line`` column is written as it stands, any other as JSON lines.
     """
-    write_records(records, f"{folder}/chunks", "text" if records.columns == ["line"] else "json", rows_per_chunk)
+    # a chunk is read by one task, so it may as well be compressed
+    write_records(records, f"{folder}/chunks", "text" if records.columns == ["line"] else "json", rows_per_chunk, "gzip")
     path = f"{folder}/manifest"
     build_manifest(records.sparkSession, f"{folder}/chunks", correlation_id, path).write.mode("overwrite").json(path)
     return path

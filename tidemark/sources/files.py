@@ -157,6 +157,7 @@ def read_chunks(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     if (check["chunks"], check["rows"]) != (check["chunk_count"], check["total_rows"]):
         promised = f"{check['total_rows']} rows in {check['chunk_count']} chunks"
         raise ValueError(f"manifest promises {promised}, it lists {check['rows']} in {check['chunks']}")
-    listed = manifest.select("chunk_path")
+    # one row per file, as many as the scan's own listing on the driver; a join by path would move every line
+    listed = F.broadcast(manifest.select("chunk_path"))
     lines = clean_lines(scan).select("line", F.col("_metadata.file_path").alias("chunk_path"))
     return lines.join(listed, "chunk_path", "left_semi").select("line", "chunk_path")
