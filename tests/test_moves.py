@@ -6,9 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import parts
+from tidemark.operators import parts, store
+from tidemark.operators.marks import earlier_max
 from tidemark.plans import bulk, ingest
 from tidemark.plans.table import TradeTable
+from tidemark.session import whole_rows
 from tidemark.sinks import files as sinks
 from tidemark.sources import dlq, files
 
@@ -78,3 +80,24 @@ def test_only_unreadable_records_keep_their_text(spark, tmp_path):
     ingest.ingest_batch(table, ingest.prepare_lines(spark.createDataFrame(lines, "n int, line string")), ["n"], "bulk", "b", datetime.date(2025, 1, 2))
     assert {r["n"]: r["line"] for r in table.outcomes().collect()} == {1: None, 2: "broken"}
     assert [r["raw"] for r in dlq.decode_dlq(table.dead_letters()).collect()] == ["broken"] and table.read().count() == 1
+
+
+def trades(spark):
+    """Rows that lie by trade, as a join leaves them."""
+    many = spark.range(200).select(F.format_string("T%d", F.col("id") % 7).alias("trade_id"), F.col("id").cast("int").alias("version"), "id")
+    return whole_rows(many.join(spark.range(7).select(F.format_string("T%d", "id").alias("trade_id"), F.col("id").alias("more")), "trade_id"))
+
+
+def test_marks_move_joined_rows_no_more(spark, settled_plans):
+    marked = earlier_max(trades(spark), "trade_id", ["id"], F.col("version"), "top")
+    told = plan(store.latest_per_key(marked, ["trade_id", "version"], ["id"]))
+    # the two sides of the rows' own join; staircases, judged rows and the last rows per key lie there already
+    assert told.count("Exchange hashpartitioning(") - told.count("ReusedExchange") == 2, told
+
+
+@pytest.mark.parametrize("listed", [2, 1024])
+def test_marks_without_values_or_keys(spark, listed):
+    rows = [("A", 9000 - 3000 * (n % 3) + n if n % 4 else None, n) for n in range(60)] + [(None, 5, 99)]
+    marked = earlier_max(spark.createDataFrame(rows, "k string, v int, n int"), "k", ["n"], F.col("v"), "top", listed=listed)
+    want = {n: max([v for k, v, m in rows if k == "A" and v is not None and m < n], default=None) for k, _, n in rows if k}
+    assert {r["n"]: r["top"] for r in marked.collect()} == want | {99: None}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.store import latest_per_key
 from tidemark.schemas import KEY, STORE_COLUMNS, TRADE_COLUMNS
+from tidemark.session import whole_rows
 
 AS_OF = datetime.date(1998, 9, 1)
 LINES_AS_OF = datetime.date(2024, 1, 15)
@@ -81,7 +82,8 @@ def store_of(rows: DataFrame) -> DataFrame:
 
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store_of(filed(spark, sf_dir))
+    # most queries need the store twice, for its levels and for its rows
+    return store_of(whole_rows(filed(spark, sf_dir)))
 
 
 def whole_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,8 @@ later places.
 
 Rows meet the staircase of their key in one join, one row per key, so Spark's adaptive skew join can split a frequent key, and
 rows move once.  Staircases are kept in blocks of ``2 ** BLOCK_BITS`` neighbouring values.  Keys with more than ``LISTED``
-steps list their blocks alone, and only their rows look into a block by a second join; where no key is that large, that
-join's right side is empty and Spark drops it at run time.
+steps list their blocks alone, and only their rows look into a block by a second join, for which no row moves again; where no
+key is that large, that join's right side is empty and Spark drops it at run time.
 
 The plan is the same at every size and no job runs while it is built.
 """
@@ -28,11 +28,14 @@ LISTED = 1_024
 
 def staircases(rows: DataFrame, key: str, order: Sequence[str], value: Column, listed: int = LISTED) -> DataFrame:
     """``_key, _block, _low, _steps, _small``: the blocks of each key's staircase, and whether the key has few steps."""
+    # rows without key or value are told inside the minimum: a filter would be pushed below a join of ``rows``, whose exchange
+    # would then differ from the one of the rows themselves
+    told = F.when(F.col("_key").isNotNull() & F.col("_value").isNotNull(), F.col("_here"))
     first = (
         rows.select(F.col(key).alias("_key"), value.cast("int").alias("_value"), F.struct(*order).alias("_here"))
-        .filter("_key IS NOT NULL AND _value IS NOT NULL")
         .groupBy("_key", "_value")
-        .agg(F.min("_here").alias("_first"))
+        .agg(F.min(told).alias("_first"))
+        .filter("_first IS NOT NULL")
         .withColumn("_block", F.shiftright("_value", BLOCK_BITS))
     )
     larger = Window.partitionBy("_key", "_block").orderBy(F.desc("_value")).rowsBetween(Window.unboundedPreceding, -1)
@@ -72,10 +75,11 @@ def earlier_max(
     own = F.col(key) if refused is None else F.when(refused, apart).otherwise(F.col(key))
     held = rows.withColumn("_own", own).join(tops, F.col("_own") == F.col("_key"), "left").drop("_key")
     held = held.withColumn("_top", F.array_max(F.filter("_blocks", lambda b: b["_low"] < here))).drop("_blocks")
-    beyond = F.col("_top").isNotNull() & F.col("_top._steps").isNull()
-    held = held.withColumn("_own", F.when(beyond, F.col("_own")).otherwise(apart))
+    # by the key alone, by which the rows lie and are sorted already: an equality of blocks would be a second key and move every
+    # row, also where no key is large, as both sides of a join are shuffled before Spark sees that one is empty
     large = blocks.filter("NOT _small").select("_key", "_block", F.col("_steps").alias("_looked_up"))
-    held = held.join(large, (F.col("_own") == F.col("_key")) & (F.col("_top._block") == F.col("_block")), "left")
+    same_block = F.col("_top._block") - F.col("_block") == 0
+    held = held.join(large, (F.col("_own") == F.col("_key")) & same_block, "left")
     known = F.filter(F.coalesce("_top._steps", "_looked_up"), lambda v: v["_first"] < here)
     return held.withColumn(out, F.array_max(F.transform(known, lambda v: v["_value"]))).drop(
         "_own", "_key", "_top", "_block", "_looked_up"

@@ -57,6 +57,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """The same rows, of which no column is pruned below this point, for a joined frame that a plan uses more than once.
+
+    Each use would else prune columns of its own, and two exchanges with different columns cannot be one.  The condition always
+    holds; Spark does not see that.
+    """
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.filter(F.hash(*hashable) >= F.lit(-(2**31)))
+
+
 def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
     """A single literal row in one partition; needs no Python worker."""
     fields = T.StructType.fromDDL(schema).fields
