@@ -201,6 +201,46 @@ def test_differences_of_linked_sets_meet():
     assert tried > 500
 
 
+def test_differences_meet_once_within_both_prefixes():
+    """Linked sets of which neither links with the hub: the first shingle that their differences share is in both prefixes and passes the bound."""
+    import numpy as np
+
+    random = np.random.default_rng(4)
+    full, none, tried, later = np.full(64, ~np.uint64(0)), np.zeros(64, np.uint64), 0, [0, 0]
+    for often in (none, full, random.integers(0, 2**63, 64).astype(np.uint64)):
+        for _ in range(1500):
+            hub = np.unique(random.integers(0, 2**64, int(random.integers(9, 90)), dtype=np.uint64))
+            x = np.union1d(random.permutation(hub)[: int(random.integers(len(hub) // 2, len(hub)))], random.integers(0, 2**64, len(hub) // 4, dtype=np.uint64))
+            y = np.union1d(random.permutation(x)[len(x) // 12 :], random.integers(0, 2**64, len(x) // 15, dtype=np.uint64))
+            if not ngram_join.linked(x, y) or ngram_join.linked(x, hub) or ngram_join.linked(y, hub) or np.array_equal(x, y):
+                continue
+            sides = []
+            for s in (x, y):
+                gone, fresh = np.setdiff1d(hub, s), np.setdiff1d(s, hub)
+                entry, prefix, left_gone, left_fresh = ngram_join.left_entries(gone, fresh, len(s), len(hub), True, full, often)
+                sides.append({int(e): (p, int(a), int(b), len(gone) + len(fresh)) for e, p, a, b in zip(entry, prefix, left_gone, left_fresh, strict=True)})
+            shared = sorted(set(sides[0]) & set(sides[1]), key=lambda e: -sum(sides[0][e][1:3]))
+            open_ = [9 * (p[3] + q[3]) - len(x) - len(y) <= 18 * (min(p[1], q[1]) + min(p[2], q[2])) for p, q in ((sides[0][e], sides[1][e]) for e in shared)]
+            tried += 1
+            assert sides[0][shared[0]][0] and sides[1][shared[0]][0] and open_[0]
+            later = [later[0] + sum(open_[1:]), later[1] + len(open_) - 1]
+    assert tried > 500 and 2 * later[0] < later[1]
+
+
+def test_ngram_join_deletes_what_is_read(spark, tmp_path):
+    """Of its written tables only those that the result is read from, and small ones, are left."""
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        frame = spark.createDataFrame([(k, BASE + " end" * (k % 3)) for k in range(9)], "doc_id long, text string")
+        found = ngram_join.near_duplicates(frame)
+        left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "tidemark").iterdir()}
+        assert not left & {"ngram-sets", "ngram-index", "ngram-buckets", "ngram-open", "ngram-left", "ngram-texts"}
+        assert {r["component_id"] for r in found.collect()} == {0}
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (50, 49)]
     frame = spark.createDataFrame(pairs, "a long, b long")

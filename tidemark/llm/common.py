@@ -21,6 +21,15 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(*frames: DataFrame) -> None:
+    """Delete the folders of staged frames.  Every frame that was made from them must be written by then."""
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+            place = context._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of whole rows with about ``most`` bytes in a string column."""
     values = batch.column(column)

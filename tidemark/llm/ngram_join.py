@@ -24,8 +24,10 @@ node, the hub: the shingles that only one of the two has.  For nodes x and y wit
 common, the two sets differ in ``d + e - 2 * o`` shingles, and they link when that is at most ``(|x| + |y|) / 9``.  Nodes that
 link with the hub are in its component.  If x does not, then d exceeds ``(|x| + |hub|) / 9``, so o must exceed
 ``(9 * e + |hub| - |y|) / 18``, about half of y's difference.  Hence x and y meet when x indexes all of its difference and y a
-prefix of its own, rare shingles first; differences seen once need no entry.  Most pairs of a large group of near copies,
-whose edits differ, never meet.
+prefix of its own, rare shingles first; differences seen once need no entry.  If y does not link with the hub either, the same
+holds for x, and they meet within both prefixes.  All differences of a hub have one order, so a pair that links is found at the
+first shingle that its differences share, where o is at most what either has from there on; at later ones fewer are left and the
+bound rules most pairs out.  Most pairs of a large group of near copies, whose edits differ, never meet.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; repeated rows are copies; rows of one
 doc_id with different texts are one document, in one component (a row of it without shingles stays alone); rows with a null
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import joined_bytes, mix, stage, text_slices, word_hashes, word_spans
+from tidemark.llm.common import joined_bytes, mix, stage, text_slices, unstage, word_hashes, word_spans
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -319,16 +321,30 @@ def difference_entries(gone: np.ndarray, fresh: np.ndarray, n: int, m: int, away
 
     A node that does not link with the hub has entries beyond the prefix too.
     """
+    tokens, prefix, held, left = _difference_order(gone, fresh, n, m, away, twice, often)
+    return tokens[held], prefix[held], tuple(int(side.max(initial=0)) for side in left)
+
+
+def left_entries(gone: np.ndarray, fresh: np.ndarray, n: int, m: int, away: bool, twice: np.ndarray, often: np.ndarray):
+    """The entries of ``difference_entries``, and for each how many of ``gone`` and of ``fresh`` seen twice stand there or after it."""
+    tokens, prefix, held, left = _difference_order(gone, fresh, n, m, away, twice, often)
+    return tokens[held], prefix[held], *[side[held] for side in left]
+
+
+def _difference_order(gone: np.ndarray, fresh: np.ndarray, n: int, m: int, away: bool, twice: np.ndarray, often: np.ndarray):
     tokens = np.concatenate([fresh, gone])
     seen = has_bit(twice, tokens)
-    counts = int(seen[len(fresh) :].sum()), int(seen[: len(fresh)].sum())
     least = (m + 9 * len(tokens) - n) // 18 + 1
     order = np.argsort(np.where(seen, 1 + has_bit(often, tokens), 0), kind="stable")
+    left = []
+    for side in (np.arange(len(tokens)) >= len(fresh), np.arange(len(tokens)) < len(fresh)):
+        counts = np.zeros(len(tokens), np.int64)
+        counts[order] = np.cumsum((seen & side)[order][::-1])[::-1]
+        left.append(counts)
     prefix = np.zeros(len(tokens), bool)
-    if sum(counts) >= least:
+    if seen.sum() >= least:
         prefix[order[: len(tokens) - least + 1]] = True
-    held = seen & (prefix | away)
-    return tokens[held], prefix[held], counts
+    return tokens, prefix, seen & (prefix | away), left
 
 
 def _crowded_pairs(crowded: DataFrame, sets: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -347,29 +363,29 @@ def _crowded_pairs(crowded: DataFrame, sets: DataFrame, texts: DataFrame) -> tup
         twice, often = (np.frombuffer(shared.value[k], np.uint64) for k in ("twice", "often"))
         values = lambda column, k: column[k].values.to_numpy(zero_copy_only=False).astype(np.int64).astype(np.uint64)
         for batch in batches:
-            found, marks, counts = [], [], []
+            found, sizes = [], []
             held = {name: batch.column(name) for name in ("gone", "fresh")}
             plain = zip(*[batch.column(name).to_pylist() for name in ("n", "m", "away")], strict=True)
             for k, (n, m, away) in enumerate(plain):
-                entry, prefix, seen = difference_entries(values(held["gone"], k), values(held["fresh"], k), n, m, away, twice, often)
-                found.append(entry)
-                marks.append(prefix)
-                counts.append((len(held["gone"][k]) + len(held["fresh"][k]), *seen))
-            if not sum(map(len, found)):
+                found.append(left_entries(values(held["gone"], k), values(held["fresh"], k), n, m, away, twice, often))
+                sizes.append(len(held["gone"][k]) + len(held["fresh"][k]))
+            if not sum(len(entry) for entry, *_ in found):
                 continue
-            at = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
-            d, gone, fresh = (np.array(c, np.int64)[at] for c in zip(*counts, strict=True))
+            at = np.repeat(np.arange(batch.num_rows), [len(entry) for entry, *_ in found])
+            entry, marks, gone, fresh = (np.concatenate(c) for c in zip(*found, strict=True))
             rows = batch.select(["node", "n", "away"]).take(pa.array(at))
-            columns = [pa.array(np.concatenate(found).astype(np.int64)), *rows.columns, pa.array(np.concatenate(marks)), pa.array(d), pa.array(gone), pa.array(fresh)]
+            columns = [pa.array(entry.astype(np.int64)), *rows.columns, pa.array(marks), pa.array(np.array(sizes, np.int64)[at]), pa.array(gone), pa.array(fresh)]
             yield pa.RecordBatch.from_arrays(columns, ["entry", "node", "n", "away", "prefix", "d", "gone", "fresh"])
 
     listed = told.mapInArrow(write, "entry long, node long, n long, away boolean, prefix boolean, d long, gone long, fresh long")
     listed = stage(listed.join(crowded.select("node", "c").distinct(), "node"), "ngram-difference-index")
-    one = listed.filter("away").select("entry", *[F.col(x).alias(f"{x}_a") for x in ("node", "n", "d", "gone", "fresh", "c")])
-    two = listed.filter("prefix").select("entry", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "d", "gone", "fresh", "c")])
+    sides = ("node", "n", "away", "prefix", "d", "gone", "fresh", "c")
+    one = listed.filter("away").select("entry", *[F.col(x).alias(f"{x}_a") for x in sides])
+    two = listed.filter("prefix").select("entry", *[F.col(x).alias(f"{x}_b") for x in sides])
     common = F.least("gone_a", "gone_b") + F.least("fresh_a", "fresh_b")
     open_ = (F.col("c_a") != F.col("c_b")) & (9 * (F.col("d_a") + F.col("d_b")) - F.col("n_a") - F.col("n_b") <= 18 * common)
-    met = one.join(two, "entry").filter(open_)
+    once = ~F.col("away_b") | (F.col("prefix_a") & (F.col("node_a") < F.col("node_b")))
+    met = one.join(two, "entry").filter(open_ & once)
     met = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
     return told.filter("NOT away").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), met
 
@@ -394,11 +410,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # numbered in the order of their smallest doc_id, so that the first document of a group is the hub of its entries
     sets = stage(sets.orderBy("rep", "s", "t").withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
     members = stage(described.drop("keys").join(sets, ["n", "s", "t"], "left").select("doc_id", "n", "node"), "ngram-members")
+    unstage(described)
     # sets that should share this hash would share their entries too: more candidates, no link lost
     listed = index(docs, shared).join(sets.select("s", "node", "n"), "s")
     listed = stage(listed.select("entry", "node", "n").distinct(), "ngram-index")
     hubs = listed.groupBy("entry").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).filter("size > 1")
     buckets = stage(listed.join(hubs.select("entry", "hub"), "entry"), "ngram-buckets")
+    unstage(listed)
 
     fits = lambda n, m: (100 * F.least(n, m) >= PERCENT * F.greatest(n, m))
     star = buckets.filter((F.col("node") != F.col("hub.node")) & fits(F.col("n"), F.col("hub.n")))
@@ -415,18 +433,21 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     placed = buckets.join(joined, "node", "left").select("entry", "node", "n", F.coalesce("component", "node").alias("c"))
     placed = stage(_spanning(placed), "ngram-open")
+    unstage(buckets)
     few, crowded = placed.filter(F.col("nodes") <= CROWD), placed.filter(F.col("nodes") > CROWD)
     # ids of crowded entries; a false positive of the bitmap is one more text to count
     left = stage(_among(texts, crowded.select("node").join(sets, "node").select(F.col("rep").alias("id"))), "ngram-left")
     # an intersection is at most met, and a set of n links with none below 4 / 5 * n
     viable = sets.join(_met(left), ["s", "t"]).filter((100 * F.col("met") >= PERCENT * F.col("n"))).select("node")
     crowded = stage(_spanning(crowded.join(viable, "node", "left_semi").drop("nodes")).select("entry", "node", "c"), "ngram-crowded")
+    unstage(left)
     starred, met = _crowded_pairs(crowded, sets, texts)
 
     one, two = few.toDF("entry", "a", "n", "ca", "nodes"), few.toDF("entry", "b", "m", "cb", "nodes").drop("nodes")
     across = one.join(two, "entry").filter((F.col("ca") < F.col("cb")) & fits(F.col("n"), F.col("m"))).select("a", "b")
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(met).distinct().join(first, ["a", "b"], "left_anti")
     more = stage(verified(stage(across, "ngram-across"), sets, texts).union(starred), "ngram-links")
+    unstage(placed, texts)
     joined = components(links.union(more))
 
     placed = members.join(joined, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("c"))
