@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.store import latest_per_key
 from tidemark.schemas import KEY, STORE_COLUMNS, TRADE_COLUMNS
-from tidemark.session import whole_rows
+from tidemark.session import whole_rows, written
 
 AS_OF = datetime.date(1998, 9, 1)
 LINES_AS_OF = datetime.date(2024, 1, 15)
@@ -86,6 +86,17 @@ def store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_of(whole_rows(filed(spark, sf_dir)))
 
 
+def trade_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What keys, expiry and sides of trades are found from, written once: both sides of a query then come from one join."""
+    return written(trades(spark, sf_dir).select(*KEY, "maturity_date", "st", *ORDER), "trade-keys")
+
+
+def store_keys(rows: DataFrame) -> DataFrame:
+    """Keys of the store and whether they have expired, from rows that carry nothing else."""
+    held = latest_per_key(rows.filter("st = 'F'"), KEY, ORDER, [*KEY, "maturity_date"])
+    return held.select(*KEY, (F.col("maturity_date") < F.lit(STORE_EXPIRY)).alias("expired_flag"))
+
+
 def whole_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_of(all_trades(spark, sf_dir))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import month_of
 from tidemark.functions.keys import PARTITIONS, bucket_of
 from tidemark.schemas import ATTRIBUTES, KEY, STORE_COLUMNS
+from tidemark.session import written
 
 
 def latest_per_key(
@@ -112,12 +113,13 @@ def active_counts(probe: DataFrame, store: DataFrame) -> DataFrame:
     """For each distinct (trade_id, version) probed: active rows with a higher and with the same version.
 
     The store is reduced to one row per primary key, so both counts come from one running count per trade
-    over distinct versions.
+    over distinct versions.  Those are written first: the running count reads them twice, and a task would else hold the rows of
+    both sides' joins twice.
     """
     held = store.filter(~F.col("expired_flag")).select(*KEY, F.lit(1).alias("_held"), F.lit(0).alias("_asked"))
     asked = probe.select(*KEY, F.lit(0).alias("_held"), F.lit(1).alias("_asked"))
     merged = held.unionByName(asked).groupBy(*KEY).agg(F.sum("_held").alias("_held"), F.max("_asked").alias("_asked"))
-    return count_higher(merged).filter("_asked = 1").select(
+    return count_higher(written(merged, "active-counts")).filter("_asked = 1").select(
         *KEY, F.col("_higher").alias("higher_active"), F.col("_held").alias("same_active")
     )
 
