@@ -227,18 +227,16 @@ def test_differences_meet_once_within_both_prefixes():
     assert tried > 500 and 2 * later[0] < later[1]
 
 
-def test_ngram_join_deletes_what_is_read(spark, tmp_path):
+def test_ngram_join_deletes_what_is_read(spark, tmp_path, monkeypatch):
     """Of its written tables only those that the result is read from, and small ones, are left."""
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        frame = spark.createDataFrame([(k, BASE + " end" * (k % 3)) for k in range(9)], "doc_id long, text string")
-        found = ngram_join.near_duplicates(frame)
-        left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "tidemark").iterdir()}
-        assert not left & {"ngram-sets", "ngram-index", "ngram-buckets", "ngram-open", "ngram-left", "ngram-texts"}
-        assert {r["component_id"] for r in found.collect()} == {0}
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    tags = []
+    monkeypatch.setattr("tidemark.llm.common.scratch_path", lambda _, tag: tags.append(tag) or f"{tmp_path}/{tag}-{len(tags)}")
+    frame = spark.createDataFrame([(k, BASE + " end" * (k % 3)) for k in range(9)], "doc_id long, text string")
+    found = ngram_join.near_duplicates(frame)
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    gone = {"ngram-sets", "ngram-index", "ngram-buckets", "ngram-open", "ngram-left", "ngram-texts"}
+    assert gone <= set(tags) and not left & gone and "ngram-members" in left
+    assert {r["component_id"] for r in found.collect()} == {0}
 
 
 def test_components(spark):
