@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from compare import compare, connect
 from pyspark.sql import functions as F
@@ -418,6 +419,56 @@ def test_repeats(spark, docs, none):
     assert suffixes.remove_repeats(none).count() == 0
 
 
+def test_window_order():
+    """The classes of a difference cover, merged by counting, give the order of whole windows, equal ones included."""
+    import random
+
+    random.seed(16)
+    raw = bytes(random.choice(b"ab") for _ in range(60)) * 6 + b"a" * 120 + bytes(random.randrange(256) for _ in range(200))
+    n, data = len(raw) - suffixes.LENGTH + 1, np.frombuffer(raw, np.uint8)
+    deep = [raw[k : k + suffixes.DEPTH] for k in range(len(raw) - suffixes.DEPTH + 1)]
+    names = {b: k for k, b in enumerate(sorted(set(deep)))}
+    kind = np.arange(n) % suffixes.PERIOD
+    ranks = np.array([[names[deep[k + d]] for d in suffixes._AWAY[k % suffixes.PERIOD]] for k in range(n)])
+    windows = [raw[k : k + suffixes.LENGTH] for k in range(n)]
+    order = np.array(sorted(range(n), key=lambda k: windows[k][:16]))
+    heads = {b: k for k, b in enumerate(sorted({w[:16] for w in windows}))}
+    group = np.array([heads[windows[k][:16]] for k in order])
+    tail = suffixes._eight(data, order + suffixes.LENGTH - 8).to_numpy()
+    got = suffixes.merged_ranks(kind[order], group, ranks[order], tail)
+    inside = sorted(windows)
+    assert got.tolist() == [inside.index(windows[k]) for k in order]
+
+
+def test_hits_in_parts(spark, monkeypatch):
+    """Windows of one beginning stay together when a task orders its windows in parts, and no position is a row of a recursion."""
+    import random
+
+    random.seed(17)
+    text = lambda n: "".join(random.choice("abcd ") for _ in range(n))
+    shared = text(70)
+    bodies = [(k, k, (text(20) + shared + text(15)).encode()) for k in range(40)]
+    segs = spark.createDataFrame(bodies, "seg long, doc_id long, body binary")
+    want = {(k, p) for k, _, b in bodies for p in range(len(b) - 49) if any(b[p : p + 50] in other for i, _, other in bodies if i < k)}
+    assert {(r["seg"], r["pos"]) for r in suffixes.window_hits(segs).collect()} == want and len(want) >= 39 * 21
+    placed = spark.createDataFrame([r for r in suffixes_rows(bodies)], suffixes._PLACED)
+    monkeypatch.setattr(suffixes, "ORDERED", 50)
+    parts = placed.sort("head", "neck").toArrow().to_batches(max_chunksize=7)
+    found = [r for b in suffixes._hits(iter(parts)) for r in zip(b.column("seg").to_pylist(), b.column("pos").to_pylist(), strict=True)]
+    assert set(found) == want and len(found) == len(want)
+
+
+def suffixes_rows(bodies):
+    """Rows of windows as ``_placed`` gives them, with ranks by brute force."""
+    deep = sorted({b[k : k + suffixes.DEPTH] for _, _, b in bodies for k in range(len(b) - suffixes.DEPTH + 1)})
+    names = {b: k for k, b in enumerate(deep)}
+    eight = lambda b: int.from_bytes(b, "big") - (1 << 63)
+    for seg, doc, b in bodies:
+        for p in range(len(b) - 49):
+            ranks = [names[b[p + d : p + d + suffixes.DEPTH]] for d in suffixes._AWAY[p % suffixes.PERIOD].tolist()]
+            yield (seg, doc, p, eight(b[p : p + 8]), eight(b[p + 8 : p + 16]), eight(b[p + 42 : p + 50]), *ranks)
+
+
 def test_suffix_ranks(spark):
     text = b"mississippi banana mississippi band " * 2
     rows = [(0, k, b + 1) for k, b in enumerate(text)] + [(1, k, b + 1) for k, b in enumerate(b"banana")]
