@@ -469,6 +469,24 @@ def suffixes_rows(bodies):
             yield (seg, doc, p, eight(b[p : p + 8]), eight(b[p + 8 : p + 16]), eight(b[p + 42 : p + 50]), *ranks)
 
 
+def test_one_state_a_worker():
+    """A worker that goes on with another operator lets the encoder's tables and pieces go."""
+    import gc
+    import pickle
+    import weakref
+
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256}
+    codec = bpe.held_codec("digest", r"\w+|\s+|[^\w\s]+", ranks)
+    assert codec is bpe.held_codec("digest", r"\w+|\s+|[^\w\s]+", ranks)
+    gone = weakref.ref(codec)
+    del codec
+    model = toxicity.train(["bad words here"] * 6, ["good words here"] * 6)
+    held = toxicity.held_model(pickle.dumps(model))
+    assert held.score(held.features("words")) >= 0
+    gc.collect()
+    assert gone() is None
+
+
 def test_suffix_ranks(spark):
     text = b"mississippi banana mississippi band " * 2
     rows = [(0, k, b + 1) for k, b in enumerate(text)] + [(1, k, b + 1) for k, b in enumerate(b"banana")]

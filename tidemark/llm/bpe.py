@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_slices
+from tidemark.llm.common import held_state, text_slices
 
 #: A recursive query keeps the rows of all its steps, so words above this length are contracted step by step instead.
 LONG_WORD = 400
@@ -250,15 +250,9 @@ _BETWEEN = re.compile(r"(?<=\S)(?=\x20\S)")
 _OTHER_SPACES = [c for c in map(chr, range(0x10000)) if c.isspace() and c != " "]
 
 
-#: This worker's codecs by the digest of their rank table.
-_CODECS: dict[tuple[str, str], Codec] = {}
-
-
 def held_codec(key: str, pattern: str, ranks: dict[bytes, int]) -> Codec:
-    """A worker's codec, made once; it is looked up here because Spark ships the task's own function by value."""
-    if (key, pattern) not in _CODECS:
-        _CODECS[key, pattern] = Codec(ranks, pattern)
-    return _CODECS[key, pattern]
+    """A worker's codec by the digest of its rank table, made once, until the worker runs another operator that keeps a state."""
+    return held_state(("bpe", key, pattern), lambda: Codec(ranks, pattern))
 
 
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

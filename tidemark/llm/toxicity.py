@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import text_slices
+from tidemark.llm.common import held_state, text_slices
 
 #: Labelled rows that training may read, by label, and their largest size in bytes.
 SAMPLE_TOXIC = 1_200
@@ -227,6 +227,11 @@ def sample(docs: DataFrame, labels: DataFrame, fold: Column) -> tuple[list[str],
     return [texts[i] for i in found[0]], [texts[i] for i in found[1]]
 
 
+def held_model(pickled: bytes) -> Model:
+    """A worker's model, opened once."""
+    return held_state(("toxicity", pickled), lambda: pickle.loads(pickled).open())
+
+
 def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``) and ``score`` (0 to 1; higher: label 1 is likelier).  No shuffle."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
@@ -235,7 +240,7 @@ def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pickle.loads(shared.value).open()
+        held = held_model(shared.value)
         for batch in batches:
             for part in text_slices(batch, "text"):
                 scores = [held.score(held.features(t)) for t in part.column("text").to_pylist()]
