@@ -458,6 +458,54 @@ def test_hits_in_parts(spark, monkeypatch):
     assert set(found) == want and len(found) == len(want)
 
 
+def test_bitmaps_grow(spark, monkeypatch):
+    """A bitmap has room for all hashes that are met twice, and holds every one of them."""
+    monkeypatch.setattr(suffixes, "BITS", 1 << 10)
+    rng = np.random.default_rng(6)
+    twice, once = (rng.integers(0, 1 << 64, n, np.uint64) for n in (5_000, 5_000))
+    frame = spark.createDataFrame([(h,) for h in np.concatenate([twice, once, twice]).view(np.int64).tolist()], "h long").repartition(3)
+    shared = suffixes.met_in(frame, lambda batches: (b.column("h").to_numpy().view(np.uint64) for b in batches))
+    assert suffixes.has_met(shared.value, twice).all()
+    assert suffixes.has_met(shared.value, once).mean() < 0.1
+
+
+def test_packed_columns(spark):
+    rng = np.random.default_rng(7)
+    bucket, kinds = rng.integers(0, 5, 1_000), ("i8", "i4", "u8")
+    columns = [rng.integers(0, 1 << 30, 1_000).astype(k) for k in kinds]
+    rows = [suffixes._dealt(bucket[a : a + 300], [c[a : a + 300] for c in columns]) for a in range(0, 1_000, 300)]
+    batches = spark.createDataFrame([r for b in rows for r in zip(*b.to_pydict().values(), strict=True)], suffixes._PACKED).sort("bucket").toArrow().to_batches(max_chunksize=3)
+    for k, held in suffixes._rows_by_bucket(iter(batches)):
+        got = suffixes._unpacked(held, kinds)
+        assert sorted(zip(*map(list, got), strict=True)) == sorted(zip(*(list(c[bucket == k]) for c in columns), strict=True))
+    assert not list(suffixes._rows_by_bucket(iter([])))
+
+
+def test_repeats_leave_no_shuffle_files(spark):
+    """Shuffle files go as soon as a step is written, not when the driver collects its garbage."""
+    import random
+    import time
+
+    random.seed(18)
+    text = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    shared = [text(400) for _ in range(40)]
+    docs = spark.createDataFrame([(k, text(1_500) + shared[k % 40] + text(300)) for k in range(600)], "doc_id long, text string").withColumn("key", F.xxhash64("text"))
+    place = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held() -> int:
+        files = place.getAllFiles()
+        found = [files.apply(k) for k in range(files.size())]
+        return sum(f.length() for f in found if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
+
+    before = held()
+    assert suffixes.repeated_starts(docs).count() == 560
+    for _ in range(50):
+        if held() - before <= 20_000:
+            break
+        time.sleep(0.1)
+    assert held() - before <= 20_000
+
+
 def suffixes_rows(bodies):
     """Rows of windows as ``_placed`` gives them, with ranks by brute force."""
     deep = sorted({b[k : k + suffixes.DEPTH] for _, _, b in bodies for k in range(len(b) - suffixes.DEPTH + 1)})
