@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,41 @@ def test_marks_without_values_or_keys(spark, listed):
     marked = earlier_max(spark.createDataFrame(rows, "k string, v int, n int"), "k", ["n"], F.col("v"), "top", listed=listed)
     want = {n: max([v for k, v, m in rows if k == "A" and v is not None and m < n], default=None) for k, _, n in rows if k}
     assert {r["n"]: r["top"] for r in marked.collect()} == want | {99: None}
+
+
+def test_staircases_are_made_once(spark, settled_plans, tmp_path):
+    """Against a store's levels, the rows' first places are found once and both joins by trade use them."""
+    rows = spark.range(200).select(F.concat(F.lit("T"), (F.col("id") % 20).cast("string")).alias("trade_id"), (F.col("id") % 7).cast("int").alias("version"), F.col("id").alias("at"))
+    rows.unionByName(spark.sql("SELECT CAST(NULL AS string) AS trade_id, 9 AS version, 900L AS at")).write.parquet(f"{tmp_path}/rows")
+    held = spark.read.parquet(f"{tmp_path}/rows")
+    start = spark.createDataFrame([("T1", 5), ("T99", 1)], "trade_id string, _start int")
+    found = earlier_max(held, "trade_id", ["at"], F.col("version"), "seen", start)
+    assert moves(plan(found), "_key") == 5  # by key and value, by key and block, by key, the levels, and what both give
+    seen = {r["at"]: (r["seen"], r["_start"]) for r in found.collect()}
+    assert len(seen) == 201 and seen[900] == (None, None) and seen[1] == (None, 5)
+    assert all(seen[k][0] == max(i % 7 for i in range(k % 20, k, 20)) for k in range(20, 200))
+
+
+def test_a_bulk_load_leaves_no_shuffle_files(spark, tmp_path):
+    """Shuffle files of a load go as soon as each of its tables is written, not when the driver collects its garbage."""
+    text = F.sha2(F.col("id").cast("string"), 256)
+    trades = spark.range(20_000).select(
+        F.concat(F.lit("T"), F.col("id").cast("string")).alias("trade_id"), F.lit(1).alias("version"), text.alias("counter_party_id"), F.lit("B").alias("book_id"),
+        F.lit("2030-01-01").alias("maturity_date"), F.lit("2020-01-01").alias("created_date"), F.lit("{}").alias("payload"), text.alias("arrival"),
+    )
+    place = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def kept() -> int:
+        found = place.getAllFiles()
+        names = [found.apply(k) for k in range(found.size())]
+        return sum(f.length() for f in names if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
+
+    table, before = TradeTable.create(spark, f"{tmp_path}/table"), kept()
+    path = bulk.stage_bulk(trades.repartition(4), f"{tmp_path}/stage", "run", rows_per_chunk=5_000)
+    bulk.bulk_ingest(spark, table, path, "run", {"arrival": "get_json_object(line, '$.arrival')"}, datetime.date(2025, 1, 1))
+    for _ in range(50):
+        if kept() - before < 200_000:
+            break
+        time.sleep(0.1)
+    assert kept() - before < 200_000
+    assert table.read().count() == 20_000

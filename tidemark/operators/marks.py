@@ -63,7 +63,8 @@ def earlier_max(
     even if they have no key.  Rows with a null value raise nothing.
     """
     here = F.struct(*order)
-    blocks = staircases(rows if refused is None else rows.filter(~refused), key, order, value, listed)
+    # no staircase has a null key, but the join below would tell so to one of the two uses alone, and staircases be made twice
+    blocks = staircases(rows if refused is None else rows.filter(~refused), key, order, value, listed).filter("_key IS NOT NULL")
     # the block first, so that the largest entry is the highest block
     entry = F.struct("_block", "_low", F.when(F.col("_small"), F.col("_steps")).alias("_steps"))
     tops = blocks.groupBy("_key").agg(F.collect_list(entry).alias("_blocks"))

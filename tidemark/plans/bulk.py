@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.ingest import ingest_batch, prepare_lines
 from tidemark.plans.table import TradeTable
+from tidemark.session import shuffles_freed
 from tidemark.sinks.files import BULK_CHUNK, append_audit, build_manifest, write_records
 from tidemark.sources.files import read_chunks, read_manifest
 
@@ -19,10 +20,11 @@ def stage_bulk(records: DataFrame, folder: str, correlation_id: str, rows_per_ch
 
     A frame with a single ``line`` column is written as it stands, any other as JSON lines.
     """
-    # a chunk is read by one task, so it may as well be compressed
-    write_records(records, f"{folder}/chunks", "text" if records.columns == ["line"] else "json", rows_per_chunk, "gzip")
     path = f"{folder}/manifest"
-    build_manifest(records.sparkSession, f"{folder}/chunks", correlation_id, path).write.mode("overwrite").json(path)
+    with shuffles_freed(records.sparkSession):
+        # a chunk is read by one task, so it may as well be compressed
+        write_records(records, f"{folder}/chunks", "text" if records.columns == ["line"] else "json", rows_per_chunk, "gzip")
+        build_manifest(records.sparkSession, f"{folder}/chunks", correlation_id, path).write.mode("overwrite").json(path)
     return path
 
 
@@ -45,7 +47,8 @@ def bulk_ingest(
     try:
         manifest = read_manifest(spark, manifest_path, correlation_id)
         lines = read_chunks(spark, manifest).withColumns({name: F.expr(text) for name, text in order.items()})
-        done = ingest_batch(table, prepare_lines(lines), list(order), "bulk", correlation_id, as_of)
+        with shuffles_freed(spark):
+            done = ingest_batch(table, prepare_lines(lines), list(order), "bulk", correlation_id, as_of)
         status, details = "SUCCESS", {"seq": done.seq}
     except Exception as problem:
         details = {"error": str(problem)}

@@ -38,7 +38,7 @@ from tidemark.functions.keys import PARTITIONS, bucket_of
 from tidemark.operators.store import apply_rows, expire_matured, hash_layout, latest_active_version, latest_per_key, lookup
 from tidemark.plans.markers import Markers
 from tidemark.schemas import KEY, STORE, STORE_COLUMNS
-from tidemark.session import no_rows, one_row
+from tidemark.session import no_rows, one_row, shuffles_freed
 
 BATCH, GONE = "batch", "gone"
 CHANGES = T.StructType([*STORE.fields, T.StructField(GONE, T.BooleanType())])
@@ -197,9 +197,10 @@ class TradeTable(Markers):
     def _write_snapshot(self, store: DataFrame, seen: DataFrame, commits: DataFrame) -> str:
         """Write a snapshot to a folder of its own; it is part of the table once a marker names the folder."""
         folder = f"snapshot-{uuid.uuid4().hex}"
-        for name, rows in (("store", store), ("seen", seen)):
-            laid = hash_layout(rows, self.buckets).hint("rebalance", "bucket")
-            laid.write.partitionBy("bucket").parquet(f"{self.root}/{folder}/{name}")
+        with shuffles_freed(self.spark):
+            for name, rows in (("store", store), ("seen", seen)):
+                laid = hash_layout(rows, self.buckets).hint("rebalance", "bucket")
+                laid.write.partitionBy("bucket").parquet(f"{self.root}/{folder}/{name}")
         commits.write.parquet(f"{self.root}/{folder}/commits")
         return folder
 
