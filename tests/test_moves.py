@@ -111,7 +111,7 @@ def test_staircases_are_made_once(spark, settled_plans, tmp_path):
     held = spark.read.parquet(f"{tmp_path}/rows")
     start = spark.createDataFrame([("T1", 5), ("T99", 1)], "trade_id string, _start int")
     found = earlier_max(held, "trade_id", ["at"], F.col("version"), "seen", start)
-    assert moves(plan(found), "_key") == 5  # by key and value, by key and block, by key, the levels, and what both give
+    assert moves(plan(found), "_key") == 6  # by key and value, by key and block, by key, the levels, what both give, and large keys
     seen = {r["at"]: (r["seen"], r["_start"]) for r in found.collect()}
     assert len(seen) == 201 and seen[900] == (None, None) and seen[1] == (None, 5)
     assert all(seen[k][0] == max(i % 7 for i in range(k % 20, k, 20)) for k in range(20, 200))

@@ -58,7 +58,7 @@ def earlier_max(
 ) -> DataFrame:
     """Add ``out``, the maximum of the integer ``value`` over the earlier rows of the key, null if there is none.
 
-    ``order`` columns give a total order per key.  ``start`` has one row per key whose other columns are added too.  ``refused``
+    The key is text; ``order`` columns give a total order per key.  ``start`` has one row per key whose other columns are added too.  ``refused``
     rows raise nothing and get nulls; they take part in the joins under keys of their own, so they spread evenly
     even if they have no key.  Rows with a null value raise nothing.
     """
@@ -78,7 +78,9 @@ def earlier_max(
     held = held.withColumn("_top", F.array_max(F.filter("_blocks", lambda b: b["_low"] < here))).drop("_blocks")
     # by the key alone, by which the rows lie and are sorted already: an equality of blocks would be a second key and move every
     # row, also where no key is large, as both sides of a join are shuffled before Spark sees that one is empty
-    large = blocks.filter("NOT _small").select("_key", "_block", F.col("_steps").alias("_looked_up"))
+    # under another name for the key, so that these few rows are shuffled though they lie by it: Spark sees only of a shuffled side that
+    # it is empty
+    large = blocks.filter("NOT _small").select(F.coalesce("_key", F.lit("")).alias("_key"), "_block", F.col("_steps").alias("_looked_up"))
     same_block = F.col("_top._block") - F.col("_block") == 0
     held = held.join(large, (F.col("_own") == F.col("_key")) & same_block, "left")
     known = F.filter(F.coalesce("_top._steps", "_looked_up"), lambda v: v["_first"] < here)
